@@ -22,6 +22,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(fn, **bound) -> Column:
+    """Evaluate each bound expression once per row and pass them to ``fn`` as
+    fields of one struct. Expressions referenced inside lambdas are otherwise
+    re-evaluated at every reference (e.g. once per n-gram index)."""
+    packed = F.array(F.struct(*[v.alias(k) for k, v in bound.items()]))
+    return F.element_at(F.transform(packed, lambda s: fn(s)), 1)
+
+
 def tokens(c) -> Column:
     """Whitespace tokens (Python ``str.split()``); null -> empty array."""
     parts = F.split(F.trim(F.regexp_replace(_c(c), fixed.SPACE_RUN_PATTERN, " ")), " ")
@@ -48,12 +56,17 @@ def remove_stops(arr, stops: Iterable[str] | None = None) -> Column:
 
 def ngrams(arr, n: int) -> Column:
     """Space-joined n-grams of a token array (empty when shorter than n)."""
-    a = _c(arr)
     if n == 1:
-        return a
-    grams = F.transform(F.sequence(F.lit(1), F.size(a) - n + 1),
-                        lambda i: F.array_join(F.slice(a, i, n), " "))
-    return F.when(F.size(a) >= n, grams).otherwise(F.array().cast("array<string>"))
+        return _c(arr)
+
+    def grams(s):
+        a = s["a"]
+        g = F.transform(F.sequence(F.lit(1), F.size(a) - n + 1), lambda i: F.array_join(F.slice(a, i, n), " "))
+        return F.when(F.size(a) >= n, g).otherwise(F.array().cast("array<string>"))
+
+    if isinstance(arr, str):
+        return grams({"a": F.col(arr)})
+    return let(grams, a=_c(arr))
 
 
 def rouge_tokens(c) -> Column:
@@ -71,19 +84,22 @@ def symbol_tokens(c, lower: bool = False) -> Column:
 
 def jaccard(a, b) -> Column:
     """SI4: |A n B| / |A u B| over whitespace-token sets; 0 when both empty."""
-    ta, tb = tokens(a), tokens(b)
-    inter = F.size(F.array_intersect(ta, tb))
-    union = F.size(F.array_union(ta, tb))
-    return F.when(union == 0, F.lit(0.0)).otherwise(inter / union)
+    def f(s):
+        inter = F.size(F.array_intersect(s["a"], s["b"]))
+        union = F.size(F.array_union(s["a"], s["b"]))
+        return F.when(union == 0, F.lit(0.0)).otherwise(inter / union)
+    return let(f, a=tokens(a), b=tokens(b))
 
 
 def token_f1(ref, hyp) -> Column:
     """Q6: set overlap over list lengths (repeats count in the denominators)."""
-    tr, th = symbol_tokens(ref, lower=True), symbol_tokens(hyp, lower=True)
-    common = F.size(F.array_intersect(tr, th)).cast("double")
-    p = F.when(F.size(th) > 0, common / F.size(th)).otherwise(F.lit(0.0))
-    r = F.when(F.size(tr) > 0, common / F.size(tr)).otherwise(F.lit(0.0))
-    return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+    def f(s):
+        tr, th = s["r"], s["h"]
+        common = F.size(F.array_intersect(tr, th)).cast("double")
+        p = F.when(F.size(th) > 0, common / F.size(th)).otherwise(F.lit(0.0))
+        r = F.when(F.size(tr) > 0, common / F.size(tr)).otherwise(F.lit(0.0))
+        return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+    return let(f, r=symbol_tokens(ref, lower=True), h=symbol_tokens(hyp, lower=True))
 
 
 def dot(a, b) -> Column:
@@ -92,11 +108,12 @@ def dot(a, b) -> Column:
 
 def semantic_distance(a, b) -> Column:
     """SI2: 1 - cosine of two embedding arrays; zero norm -> distance 1."""
-    da = _c(a).cast("array<double>")
-    db = _c(b).cast("array<double>")
-    na = F.sqrt(dot(da, da))
-    nb = F.sqrt(dot(db, db))
-    return F.when((na == 0) | (nb == 0), F.lit(1.0)).otherwise(1.0 - dot(da, db) / (na * nb))
+    def f(s):
+        da, db = s["a"], s["b"]
+        na = F.sqrt(dot(da, da))
+        nb = F.sqrt(dot(db, db))
+        return F.when((na == 0) | (nb == 0), F.lit(1.0)).otherwise(1.0 - dot(da, db) / (na * nb))
+    return let(f, a=_c(a).cast("array<double>"), b=_c(b).cast("array<double>"))
 
 
 def sentences(c) -> Column:

@@ -20,28 +20,29 @@ from skein.functions.tokens import ngrams, rouge_tokens, symbol_tokens, token_f1
 BLEU_ORDERS = (1, 2, 3, 4)
 
 
-def _gram_specs(ref, hyp, rouge_orders: Sequence[int], bleu: bool):
-    specs = []
-    rr, rh = rouge_tokens(ref), rouge_tokens(hyp)
-    for n in rouge_orders:
-        specs.append((f"rouge{n}", n, rr, rh))
-    if bleu:
-        br, bh = symbol_tokens(ref), symbol_tokens(hyp)
-        for n in BLEU_ORDERS:
-            specs.append((f"bleu{n}", n, br, bh))
-    return specs
+def _tag(label: str, side: int):
+    def f(g):
+        return F.struct(F.lit(label).alias("m"), F.lit(side).alias("s"), g.alias("g"))
+    return f
 
 
 def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
                   rouge_orders: Sequence[int] = (1, 2), bleu: bool = True) -> DataFrame:
     """(key, <label>_overlap ...) clipped n-gram overlaps for every metric, and
     (key, <label>_ref, <label>_hyp) gram totals taken per row from sizes."""
-    specs = _gram_specs(F.col(ref), F.col(hyp), rouge_orders, bleu)
+    # Token arrays are materialised once as columns; the n-gram lambdas then
+    # read them instead of re-running the tokeniser per index.
+    toks = {"rr": rouge_tokens(F.col(ref)), "rh": rouge_tokens(F.col(hyp))}
+    if bleu:
+        toks.update(br=symbol_tokens(F.col(ref)), bh=symbol_tokens(F.col(hyp)))
+    df = df.select(key, *[v.alias(k) for k, v in toks.items()])
+    specs = [(f"rouge{n}", n, F.col("rr"), F.col("rh")) for n in rouge_orders]
+    if bleu:
+        specs += [(f"bleu{n}", n, F.col("br"), F.col("bh")) for n in BLEU_ORDERS]
     tagged = []
     for label, n, r, h in specs:
         for side, arr in ((0, r), (1, h)):
-            tagged.append(F.transform(ngrams(arr, n), lambda g, label=label, side=side:
-                                      F.struct(F.lit(label).alias("m"), F.lit(side).alias("s"), g.alias("g"))))
+            tagged.append(F.transform(ngrams(arr, n), _tag(label, side)))
     totals = {}
     for label, n, r, h in specs:
         totals[f"{label}_ref"] = F.greatest(F.size(r) - n + 1, F.lit(0))

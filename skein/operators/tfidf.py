@@ -42,6 +42,12 @@ def tfidf_weights(df: DataFrame, key: str, tok: str, idf: DataFrame, bounded: bo
     return w.select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
+def _side(i: int):
+    def f(t):
+        return F.struct(F.lit(i).alias("side"), t.alias("term"))
+    return f
+
+
 def cosine_tfidf(df: DataFrame, key: str, cols: Sequence[str], pairs: Sequence[tuple[str, str, str]],
                  fit_on: str, tok_fn, size: int | None = None) -> DataFrame:
     """SI1: TF-IDF cosine for several column pairs at once.
@@ -52,8 +58,7 @@ def cosine_tfidf(df: DataFrame, key: str, cols: Sequence[str], pairs: Sequence[t
     has no known term)."""
     fit_df = df.select(key, tok_fn(F.col(fit_on)).alias("__tok"))
     idf = fit_tfidf(fit_df, key, "__tok", size)
-    tagged = F.flatten(F.array(*[F.transform(tok_fn(F.col(c)), lambda t, i=i: F.struct(F.lit(i).alias("side"), t.alias("term")))
-                                 for i, c in enumerate(cols)]))
+    tagged = F.flatten(F.array(*[F.transform(tok_fn(F.col(c)), _side(i)) for i, c in enumerate(cols)]))
     ex = df.select(key, F.explode(tagged).alias("e")).select(key, "e.side", "e.term")
     tf = ex.groupBy(key, "side", "term").agg(F.count(F.lit(1)).alias("n"))
     w = tf.join(_idf_side(idf, size is not None), "term", "inner").withColumn("w", F.col("n") * F.col("idf"))

@@ -273,3 +273,201 @@ def encode_pairs(spark, sf):
     return e.select("doc_id", F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("input_ids"),
                     F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("attention"),
                     F.array_join(F.col("labels").cast("array<string>"), " ").alias("labels"))
+
+
+# ---------------------------------------------------------------- pair metrics (SI, Q)
+from skein.operators import quality as qa  # noqa: E402
+from skein.operators import tfidf as tf  # noqa: E402
+
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+_JACCARD_PAIRS = (("jaccard_doc_summary", "document", "summary"),
+                  ("jaccard_summary_predicted", "summary", "predicted_summary"),
+                  ("jaccard_doc_predicted", "document", "predicted_summary"))
+
+
+@register("jaccard", "SELECT doc_id, " + ", ".join(f"round({q.jaccard(a, b)}, 6) AS {n}" for n, a, b in _JACCARD_PAIRS)
+          + f" FROM ({fx.SQL['pairs3']})")
+def jaccard(spark, sf):
+    p = fx.pairs3(spark, sf)
+    return p.select("doc_id", *[_r6(tk.jaccard(F.col(a), F.col(b))).alias(n) for n, a, b in _JACCARD_PAIRS])
+
+
+@register("melt", " UNION ALL ".join(
+    f"SELECT doc_id, '{n}' AS Type, round({q.jaccard(a, b)}, 6) AS value FROM ({fx.SQL['pairs3']})"
+    for n, a, b in _JACCARD_PAIRS))
+def melt(spark, sf):
+    """The three similarity columns as a long (Type, value) table."""
+    return prep.melt(jaccard(spark, sf), ["doc_id"], [n for n, _, _ in _JACCARD_PAIRS], "Type", "value")
+
+
+@register("token_f1", f"SELECT doc_id, round({q.token_f1('summary', 'predicted_summary')}, 6) AS token_f1 "
+                      f"FROM ({fx.SQL['pairs3']})")
+def token_f1(spark, sf):
+    p = fx.pairs3(spark, sf)
+    return p.select("doc_id", _r6(tk.token_f1(F.col("summary"), F.col("predicted_summary"))).alias("token_f1"))
+
+
+_SCORES_SQL = q.pair_scores(fx.SQL["pairs3"], "doc_id", "summary", "predicted_summary", ", lang, source")
+
+
+def _scores(spark, sf):
+    p = fx.pairs3(spark, sf)
+    s = qa.score_pairs(p, "doc_id", "summary", "predicted_summary")
+    return s.join(p.select("doc_id", "lang", "source"), "doc_id")
+
+
+@register("pair_metrics", f"SELECT doc_id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, "
+                          f"round(bleu, 6) AS bleu, round(token_f1, 6) AS token_f1 FROM ({_SCORES_SQL})")
+def pair_metrics(spark, sf):
+    """SI5: ROUGE-1/2, BLEU and token F1 from one shared n-gram pass."""
+    s = qa.score_pairs(fx.pairs3(spark, sf), "doc_id", "summary", "predicted_summary")
+    return s.select("doc_id", *[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "bleu", "token_f1")])
+
+
+@register("rouge_1", f"SELECT doc_id, round(rouge1, 6) AS rouge1 FROM ({_SCORES_SQL})")
+def rouge_1(spark, sf):
+    return pair_metrics(spark, sf).select("doc_id", "rouge1")
+
+
+@register("rouge_2", f"SELECT doc_id, round(rouge2, 6) AS rouge2 FROM ({_SCORES_SQL})")
+def rouge_2(spark, sf):
+    return pair_metrics(spark, sf).select("doc_id", "rouge2")
+
+
+@register("bleu", f"SELECT doc_id, round(bleu, 6) AS bleu FROM ({_SCORES_SQL})")
+def bleu(spark, sf):
+    return pair_metrics(spark, sf).select("doc_id", "bleu")
+
+
+@register("bleu_turns", "SELECT conv_id, turn, round(bleu, 6) AS bleu FROM (" +
+          q.pair_scores(f"SELECT conv_id * 1000 + turn AS k, * FROM ({fx.SQL['turn_pairs']})", "k", "summary",
+                        "document", ", conv_id, turn") + ")")
+def bleu_turns(spark, sf):
+    """Q5 on user/assistant turn pairs (mostly the zero path)."""
+    t = fx.turn_pairs(spark, sf).withColumn("k", F.col("conv_id") * 1000 + F.col("turn"))
+    s = qa.score_pairs(t, "k", "summary", "document")
+    return s.join(t.select("k", "conv_id", "turn"), "k").select("conv_id", "turn", _r6(F.col("bleu")).alias("bleu"))
+
+
+_AVG = ", ".join(f"round(avg({m}), 6) AS {m}" for m in qa.METRICS)
+
+
+@register("evaluate", f"SELECT {_AVG}, CAST(count(*) AS BIGINT) AS n FROM ({_SCORES_SQL})")
+def evaluate(spark, sf):
+    """Q7: one row of averages (the driver receives one row)."""
+    e = qa.evaluate(_scores(spark, sf))
+    return e.select(*[_r6(F.col(m)).alias(m) for m in qa.METRICS], "n")
+
+
+@register("evaluate_rollup", f"SELECT lang, source, {_AVG}, CAST(count(*) AS BIGINT) AS n FROM ({_SCORES_SQL}) "
+                             "GROUP BY ROLLUP (lang, source)")
+def evaluate_rollup(spark, sf):
+    """Q8: averages per language and source with subtotals and a grand total."""
+    e = qa.evaluate(_scores(spark, sf), by=["lang", "source"], rollup=True)
+    return e.select("lang", "source", *[_r6(F.col(m)).alias(m) for m in qa.METRICS], "n")
+
+
+@register("semantic_distance",
+          "SELECT vec_id, round(CASE WHEN list_dot_product(a::DOUBLE[], a::DOUBLE[]) = 0 OR "
+          "list_dot_product(b::DOUBLE[], b::DOUBLE[]) = 0 THEN 1.0 ELSE "
+          "1.0 - list_cosine_similarity(a::DOUBLE[], b::DOUBLE[]) END, 6) AS semantic_distance "
+          f"FROM ({fx.SQL['embedding_pairs']})")
+def semantic_distance(spark, sf):
+    e = fx.embedding_pairs(spark, sf)
+    return e.select("vec_id", _r6(tk.semantic_distance(F.col("a"), F.col("b"))).alias("semantic_distance"))
+
+
+# TF-IDF: weights fitted on the documents (stop words out, 7,000 terms).
+def _tfidf_sql(apply_col: str) -> str:
+    toks = q.remove_stops(q.word_tokens("text"))
+    atoks = q.remove_stops(q.word_tokens(apply_col))
+    return (f"WITH t AS (SELECT doc_id, unnest({toks}) AS term FROM documents), "
+            "tc AS (SELECT doc_id, term, count(*) AS c FROM t GROUP BY ALL), "
+            "v AS (SELECT term, sum(c) AS tf, count(*) AS df FROM tc GROUP BY term ORDER BY tf DESC, term LIMIT 7000), "
+            "idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1.0 AS idf FROM v), "
+            f"a AS (SELECT doc_id, term, count(*) AS c FROM (SELECT doc_id, unnest({atoks}) AS term FROM documents) "
+            "GROUP BY ALL), w AS (SELECT doc_id, term, c * idf AS w FROM a JOIN idf USING (term)) "
+            "SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w")
+
+
+def _tfidf(spark, sf, apply_first_line: bool):
+    d = fx.table(spark, sf, "documents")
+    fit = d.select("doc_id", tk.remove_stops(tk.word_tokens(F.col("text"))).alias("t"))
+    idf = tf.fit_tfidf(fit, "doc_id", "t", size=7000)
+    src = fx.first_line(F.col("text")) if apply_first_line else F.col("text")
+    app = d.select("doc_id", tk.remove_stops(tk.word_tokens(src)).alias("t"))
+    w = tf.tfidf_weights(app, "doc_id", "t", idf, bounded=True)
+    return w.select("doc_id", "term", _r6(F.col("weight")).alias("weight"))
+
+
+@register("tfidf_weights", _tfidf_sql("text"))
+def tfidf_weights(spark, sf):
+    """M1: fit on the documents, weights of the documents themselves."""
+    return _tfidf(spark, sf, False)
+
+
+@register("tfidf_apply", _tfidf_sql("split_part(text, chr(10), 1)"))
+def tfidf_apply(spark, sf):
+    """M2: the fitted vocabulary applied to another column (first lines)."""
+    return _tfidf(spark, sf, True)
+
+
+_COS_PAIRS = (("cosine_sim_doc_summary", "document", "summary"),
+              ("cosine_sim_summary_predicted", "summary", "predicted_summary"),
+              ("cosine_sim_doc_predicted", "document", "predicted_summary"))
+_COS_COLS = ("document", "summary", "predicted_summary")
+
+
+def _cosine_sql() -> str:
+    t = " UNION ALL ".join(f"SELECT doc_id, {i} AS side, unnest({q.word_tokens(c)}) AS term FROM p"
+                           for i, c in enumerate(_COS_COLS))
+    idx = {c: i for i, c in enumerate(_COS_COLS)}
+    sims = ", ".join(f"round(coalesce(sum(w{idx[a]} * w{idx[b]}), 0.0), 6) AS {n}" for n, a, b in _COS_PAIRS)
+    return (f"WITH p AS ({fx.SQL['pairs3']}), t AS ({t}), "
+            "dfc AS (SELECT term, count(DISTINCT doc_id) AS df FROM t WHERE side = 0 GROUP BY term), "
+            "idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM p)) / (1.0 + df)) + 1.0 AS idf FROM dfc), "
+            "tf AS (SELECT doc_id, side, term, count(*) AS c FROM t GROUP BY ALL), "
+            "w AS (SELECT doc_id, side, term, c * idf AS w FROM tf JOIN idf USING (term)), "
+            "wn AS (SELECT doc_id, side, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id, side)) AS w FROM w), "
+            "pt AS (SELECT doc_id, term, " + ", ".join(f"sum(w) FILTER (WHERE side = {i}) AS w{i}" for i in range(3))
+            + " FROM wn GROUP BY doc_id, term) "
+            f"SELECT p.doc_id, {sims} FROM p LEFT JOIN pt USING (doc_id) GROUP BY p.doc_id")
+
+
+@register("cosine_tfidf", _cosine_sql())
+def cosine_tfidf(spark, sf):
+    """SI1: TF-IDF fitted on the documents (default vectoriser: no stop list,
+    no cap), cosine for the three column pairs."""
+    p = fx.pairs3(spark, sf)
+    c = tf.cosine_tfidf(p, "doc_id", _COS_COLS, _COS_PAIRS, "document", tk.word_tokens)
+    return c.select("doc_id", *[_r6(F.col(n)).alias(n) for n, _, _ in _COS_PAIRS])
+
+
+# ---------------------------------------------------------------- flagship
+def _flagship_src_sql() -> str:
+    return (f"SELECT doc_id, lang, {q.normalise('summary')} AS summary, "
+            f"{q.normalise(q.lead('document', 3))} AS predicted_summary FROM ({fx.SQL['pairs']})")
+
+
+@register("flagship", f"SELECT lang, {_AVG.replace('token_f1), 6) AS token_f1', 'token_f1), 6) AS token_f1')}, "
+                      f"round(avg(jaccard), 6) AS jaccard, CAST(count(*) AS BIGINT) AS n FROM ("
+                      f"SELECT s.*, {q.jaccard('x.summary', 'x.predicted_summary')} AS jaccard FROM ("
+                      + q.pair_scores(_flagship_src_sql(), "doc_id", "summary", "predicted_summary", ", lang")
+                      + f") s JOIN ({_flagship_src_sql()}) x USING (doc_id)) GROUP BY ROLLUP (lang)")
+def flagship(spark, sf):
+    """pairs -> normalise -> lead-3 extractive summary -> Jaccard, ROUGE-1/2,
+    BLEU, token F1 -> averages per language with a grand total."""
+    from skein.operators.summarise import lead_k
+
+    p = fx.pairs(spark, sf)
+    p = p.select("doc_id", "lang", tx.normalise_col(F.col("summary")).alias("summary"),
+                 tx.normalise_col(lead_k(F.col("document"), 3)).alias("predicted_summary"))
+    s = qa.score_pairs(p, "doc_id", "summary", "predicted_summary")
+    s = s.join(p.select("doc_id", "lang", tk.jaccard(F.col("summary"), F.col("predicted_summary")).alias("jaccard")),
+               "doc_id")
+    e = qa.evaluate(s, metrics=list(qa.METRICS) + ["jaccard"], by=["lang"], rollup=True)
+    return e.select("lang", *[_r6(F.col(m)).alias(m) for m in list(qa.METRICS) + ["jaccard"]], "n")

@@ -150,3 +150,41 @@ def sentences(x: str) -> str:
 def label(x: str) -> str:
     return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} >= {fixed.SENT_POSITIVE} THEN 'Positive' "
             f"WHEN {x} <= {fixed.SENT_NEGATIVE} THEN 'Negative' ELSE 'Neutral' END")
+
+
+def gram_overlap(src: str, key: str, ref: str, hyp: str, n: int, tok) -> str:
+    """(key, ov): clipped n-gram overlap of two text columns of ``src``."""
+    return (f"SELECT {key}, sum(least(cr, ch)) AS ov FROM (SELECT {key}, g, count(*) FILTER (WHERE s = 0) AS cr, "
+            f"count(*) FILTER (WHERE s = 1) AS ch FROM (SELECT {key}, 0 AS s, unnest({ngrams(tok(ref), n)}) AS g "
+            f"FROM ({src}) UNION ALL SELECT {key}, 1 AS s, unnest({ngrams(tok(hyp), n)}) AS g FROM ({src})) "
+            f"GROUP BY {key}, g) GROUP BY {key}")
+
+
+def pair_scores(src: str, key: str, ref: str, hyp: str, extra: str = "") -> str:
+    """(key, rouge1, rouge2, bleu, token_f1 [, extra]) for a pair of columns."""
+    joins, cols = [], {}
+    specs = [("r1", 1, rouge_tokens), ("r2", 2, rouge_tokens)] + [(f"b{n}", n, symbol_tokens) for n in (1, 2, 3, 4)]
+    for lab, n, tok in specs:
+        joins.append(f"LEFT JOIN ({gram_overlap(src, key, ref, hyp, n, tok)}) {lab} USING ({key})")
+        cols[f"{lab}_ov"] = f"coalesce({lab}.ov, 0)::DOUBLE"
+        cols[f"{lab}_ref"] = f"greatest(len({tok(ref)}) - {n - 1}, 0)"
+        cols[f"{lab}_hyp"] = f"greatest(len({tok(hyp)}) - {n - 1}, 0)"
+    inner = (f"SELECT s.*, {', '.join(f'{v} AS {k}' for k, v in cols.items())}, {token_f1(ref, hyp)} AS token_f1 "
+             f"FROM ({src}) s {' '.join(joins)}")
+
+    def fm(lab):
+        p = f"({lab}_ov / greatest({lab}_hyp, 1))"
+        r = f"({lab}_ov / greatest({lab}_ref, 1))"
+        return f"CASE WHEN {lab}_ov > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0 END"
+
+    ps = [f"({lab}_ov / greatest({lab}_hyp, 1))" for lab in ("b1", "b2", "b3", "b4")]
+    geo = f"exp((ln({ps[0]}) + ln({ps[1]}) + ln({ps[2]}) + ln({ps[3]})) / 4)"
+    bp = "CASE WHEN b1_hyp > b1_ref THEN 1.0 ELSE exp(1.0 - b1_ref::DOUBLE / greatest(b1_hyp, 1)) END"
+    bleu = (f"CASE WHEN b1_ov = 0 OR b2_ov = 0 OR b3_ov = 0 OR b4_ov = 0 OR b1_hyp = 0 THEN 0.0 "
+            f"ELSE {bp} * {geo} END")
+    return (f"SELECT {key}{extra}, {fm('r1')} AS rouge1, {fm('r2')} AS rouge2, {bleu} AS bleu, token_f1 "
+            f"FROM ({inner})")
+
+
+def lead(x: str, k: int) -> str:
+    return f"array_to_string(({sentences(x)})[1:{k}], ' ')"
