@@ -471,3 +471,244 @@ def flagship(spark, sf):
                "doc_id")
     e = qa.evaluate(s, metrics=list(qa.METRICS) + ["jaccard"], by=["lang"], rollup=True)
     return e.select("lang", *[_r6(F.col(m)).alias(m) for m in list(qa.METRICS) + ["jaccard"]], "n")
+
+
+# ---------------------------------------------------------------- sentiment (SE1-SE4)
+from skein.operators import sentiment as se  # noqa: E402
+
+
+@register("sentiment_score", "SELECT doc_id, score FROM (" +
+          q.sentiment("SELECT doc_id, text FROM documents", "doc_id", ["text"], fx.SQL["lexicon"]) + ")")
+def sentiment_score(spark, sf):
+    """SE1: compound score of every document with the corpus-derived lexicon."""
+    d = fx.table(spark, sf, "documents").select("doc_id", "text")
+    return se.sentiment_long(d, "doc_id", ["text"], fx.lexicon(spark, sf)).select("doc_id", "score")
+
+
+_SENT2 = q.sentiment(fx.SQL["pairs"], "doc_id", ["document", "summary"], fx.SQL["lexicon"])
+_SENT2_WIDE = ("SELECT doc_id, max(score) FILTER (WHERE \"column\" = 'document') AS document_score, "
+               "max(score) FILTER (WHERE \"column\" = 'summary') AS summary_score FROM (" + _SENT2 + ") GROUP BY doc_id")
+
+
+@register("sentiment_label", f"SELECT doc_id, document_score, summary_score, {q.label('document_score')} AS "
+                             f"document_sentiment, {q.label('summary_score')} AS summary_sentiment FROM ({_SENT2_WIDE})")
+def sentiment_label(spark, sf):
+    """SE2/SE3: two text columns scored in one token pass, score and label kept."""
+    p = fx.pairs(spark, sf)
+    return se.sentiment_scores(p, "doc_id", ["document", "summary"], fx.lexicon(spark, sf))
+
+
+@register("sentiment_summary",
+          "SELECT lang, " + ", ".join(f"CAST(count(*) FILTER (WHERE lab = '{x}') AS BIGINT) AS {x}"
+                                      for x in ("Positive", "Neutral", "Negative"))
+          + f" FROM (SELECT p.lang, {q.label('w.document_score')} AS lab FROM ({fx.SQL['pairs']}) p "
+            f"JOIN ({_SENT2_WIDE}) w USING (doc_id)) GROUP BY lang")
+def sentiment_summary(spark, sf):
+    """SE4: document label counts per language."""
+    p = fx.pairs(spark, sf)
+    s = se.sentiment_scores(p, "doc_id", ["document", "summary"], fx.lexicon(spark, sf))
+    return se.sentiment_summary(s.join(p.select("doc_id", "lang"), "doc_id"), ["lang"], "document_sentiment")
+
+
+# ---------------------------------------------------------------- summaries (SU)
+from skein.operators import summarise as su  # noqa: E402
+
+
+@register("lead_k", f"SELECT doc_id, {q.lead('text', 3)} AS lead FROM documents")
+def lead_k(spark, sf):
+    """SU4: lead-3 baseline summary of every document."""
+    return fx.table(spark, sf, "documents").select("doc_id", su.lead_k(F.col("text"), 3).alias("lead"))
+
+
+_SENT_SCORES_SQL = f"""
+WITH d AS (SELECT doc_id, text FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({q.word_tokens('text')}) AS term FROM d) GROUP BY ALL),
+idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM d)) / (1.0 + count(*))) + 1.0 AS idf FROM tf GROUP BY term),
+s AS (SELECT doc_id, unnest(range(0, len(ss))) AS spos, unnest(ss) AS sentence FROM (SELECT doc_id, {q.sentences('text')} AS ss FROM d)),
+st AS (SELECT doc_id, spos, sentence, {q.word_tokens('sentence')} AS st FROM s),
+terms AS (SELECT doc_id, spos, unnest(list_distinct(st)) AS term FROM st),
+mass AS (SELECT doc_id, spos, sum(tf * idf) AS mass FROM terms JOIN tf USING (doc_id, term) JOIN idf USING (term) GROUP BY ALL),
+sc AS (SELECT st.doc_id, st.spos, st.sentence, len(st.st) AS n_tokens,
+        round(CASE WHEN len(st.st) > 0 THEN coalesce(mass, 0.0) / len(st.st) ELSE 0.0 END, 6) AS score
+       FROM st LEFT JOIN mass USING (doc_id, spos))
+SELECT doc_id, CAST(spos AS INTEGER) AS spos, sentence, CAST(n_tokens AS INTEGER) AS n_tokens, score,
+       CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, spos) AS INTEGER) AS rank FROM sc"""
+
+
+@register("sentence_scores", _SENT_SCORES_SQL)
+def sentence_scores(spark, sf):
+    """SU2 scoring and ranking of every sentence of every document."""
+    return su.sentence_scores(fx.table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+@register("summarise", None)
+def summarise(spark, sf):
+    """SU2: extractive summaries with the batch preset (40..150 tokens)."""
+    d = fx.table(spark, sf, "documents").select("doc_id", "text")
+    p = su.PRESETS["batch"]
+    return su.summarise(d, "doc_id", "text", p["min_tokens"], p["max_tokens"], p["block_ngram"])
+
+
+@register("rouge_l", None)
+def rouge_l(spark, sf):
+    """Q3: ROUGE-L F of summary vs lead-2 via the bit-parallel LCS UDF."""
+    p = fx.pairs3(spark, sf).select("doc_id", tk.rouge_tokens(F.col("summary")).alias("r"),
+                                    tk.rouge_tokens(F.col("predicted_summary")).alias("h"))
+    return p.select("doc_id", _r6(qa.rouge_l_f(F.col("r"), F.col("h"))).alias("rougeL"))
+
+
+# ---------------------------------------------------------------- distributions (D)
+from skein.operators import dist  # noqa: E402
+
+_J_COLS = [n for n, _, _ in _JACCARD_PAIRS]
+_J_LONG_SQL = " UNION ALL ".join(f"SELECT '{n}' AS series, {q.jaccard(a, b)} AS x FROM ({fx.SQL['pairs3']})"
+                                 for n, a, b in _JACCARD_PAIRS)
+
+
+def _jaccard_raw(spark, sf):
+    p = fx.pairs3(spark, sf)
+    return p.select("doc_id", *[tk.jaccard(F.col(a), F.col(b)).alias(n) for n, a, b in _JACCARD_PAIRS])
+
+
+@register("histogram", f"""
+WITH long AS ({_J_LONG_SQL}),
+rng AS (SELECT series, min(x) AS mn, max(x) AS mx FROM long GROUP BY series),
+b AS (SELECT l.series, x, mn, mx, CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor((x - mn) / ((mx - mn) / 20)), 19) END AS INTEGER) AS bin
+      FROM long l JOIN rng USING (series))
+SELECT series, bin, round(CASE WHEN mx = mn THEN mn ELSE mn + bin * ((mx - mn) / 20) END, 6) AS lo,
+       round(CASE WHEN mx = mn THEN mx ELSE mn + (bin + 1) * ((mx - mn) / 20) END, 6) AS hi, CAST(count(*) AS BIGINT) AS n
+FROM b GROUP BY series, bin, mn, mx""")
+def histogram(spark, sf):
+    """20-bin histograms of the three Jaccard series."""
+    return dist.histogram(_jaccard_raw(spark, sf), _J_COLS, 20)
+
+
+_S2PI = repr(math.sqrt(2 * math.pi)) if (math := __import__("math")) else ""
+
+
+@register("density", f"""
+WITH w AS ({_SENT2_WIDE}),
+long AS (SELECT 'document_score' AS series, document_score AS x FROM w WHERE document_score IS NOT NULL
+         UNION ALL SELECT 'summary_score', summary_score FROM w WHERE summary_score IS NOT NULL),
+stats AS (SELECT series, count(*) AS n, stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM long GROUP BY series),
+binned AS (SELECT series, floor(x * 1000 + 0.5) / 1000 AS b, count(*) AS c FROM long GROUP BY ALL),
+g AS (SELECT unnest(range(0, 200)) AS i),
+contrib AS (SELECT series, i, n, h, CAST(-1.0 AS DOUBLE) + CAST(2.0 AS DOUBLE) * i / CAST(199 AS DOUBLE) AS gx, b, c FROM binned JOIN stats USING (series), g)
+SELECT series, CAST(i AS INTEGER) AS i, round(gx, 6) AS x,
+       round(CASE WHEN h > 0 THEN sum(c * exp(-pow((gx - b) / h, 2) / 2)) / (n * h * CAST({_S2PI} AS DOUBLE)) END, 6) AS y
+FROM contrib GROUP BY series, i, gx, n, h""")
+def density(spark, sf):
+    """Kernel density of document and summary sentiment on [-1, 1]."""
+    s = se.sentiment_scores(fx.pairs(spark, sf), "doc_id", ["document", "summary"], fx.lexicon(spark, sf), labels=False)
+    d = dist.density(s, ["document_score", "summary_score"], -1.0, 1.0, 200)
+    return d.select("series", F.col("i").cast("int").alias("i"), "x", "y")
+
+
+@register("metric_summary", f"SELECT series, CAST(count(*) AS BIGINT) AS n, round(avg(x), 6) AS mean, "
+                            f"round(stddev_samp(x), 6) AS sd, min(x) AS min, max(x) AS max FROM ({_J_LONG_SQL}) "
+                            "GROUP BY series")
+def metric_summary(spark, sf):
+    """Numeric summary of the three Jaccard series."""
+    return dist.metric_summary(_jaccard_raw(spark, sf), _J_COLS)
+
+
+# ---------------------------------------------------------------- hashtags (H)
+from skein.operators import tags as tg  # noqa: E402
+
+
+def _kp_sql(src: str) -> str:
+    stops = q.stop_list()
+    W = q.W
+
+    def runs(member: str, kind: int) -> str:
+        return (f"(SELECT doc_id, {kind} AS kind, string_agg(tok, ' ' ORDER BY pos) AS phrase, min(pos) AS first_pos, "
+                f"count(*) AS n_words, max(CAST(sent_start AS INTEGER)) AS starts FROM "
+                f"(SELECT *, floor((row_number() OVER (PARTITION BY doc_id, run ORDER BY pos) - 1) / 4) AS chunk FROM "
+                f"(SELECT *, sum(CASE WHEN {member} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos "
+                f"ROWS UNBOUNDED PRECEDING) AS run FROM f2) WHERE {member}) GROUP BY doc_id, run, chunk)")
+
+    return f"""
+WITH src AS ({src}),
+toks AS (SELECT doc_id, unnest(range(0, len(tt))) AS pos, unnest(tt) AS tok FROM (SELECT doc_id, {q.symbol_tokens('text')} AS tt FROM src)),
+f AS (SELECT *, regexp_matches(tok, '^{W}') AS is_word, list_contains({stops}, lower(tok)) AS is_stop,
+        lag(tok) OVER (PARTITION BY doc_id ORDER BY pos) AS prev FROM toks),
+f2 AS (SELECT *, is_word AND regexp_matches(tok, '^\\p{{Lu}}') AS is_cap,
+        (pos = 0 OR coalesce(prev IN ('.', '!', '?'), false)) AS sent_start FROM f),
+cands AS (SELECT * FROM {runs('is_word AND NOT is_stop', 1)}
+          UNION ALL SELECT * FROM {runs('is_cap', 0)} WHERE NOT (n_words = 1 AND starts = 1)),
+kp AS (SELECT doc_id, phrase, min(kind) AS kind, CAST(count(*) AS BIGINT) AS freq, min(first_pos) AS first_pos
+       FROM cands WHERE NOT list_contains({stops}, lower(phrase)) GROUP BY doc_id, phrase)"""
+
+
+_TAG_SRC = f"SELECT doc_id, lang, predicted_summary AS text FROM ({fx.SQL['pairs3']})"
+_TAGS_SQL = (_kp_sql(_TAG_SRC) + ", top AS (SELECT doc_id, '#' || lower(replace(phrase, ' ', '')) AS tag, "
+             "row_number() OVER (PARTITION BY doc_id ORDER BY kind, freq DESC, first_pos, phrase) AS r FROM kp QUALIFY r <= 3), "
+             "line AS (SELECT doc_id, string_agg(tag, ', ' ORDER BY r) AS line FROM top GROUP BY doc_id) ")
+
+
+@register("key_phrases", _kp_sql(_TAG_SRC) + " SELECT doc_id, phrase, CAST(kind AS INTEGER) AS kind, freq, "
+                                             "CAST(first_pos AS INTEGER) AS first_pos FROM kp")
+def key_phrases(spark, sf):
+    """H1-H3: candidate phrases of every lead-2 summary."""
+    src = fx.pairs3(spark, sf).select("doc_id", F.col("predicted_summary").alias("text"))
+    k = tg.key_phrases(src, "doc_id", "text")
+    return k.select("doc_id", "phrase", F.col("kind").cast("int").alias("kind"), "freq",
+                    F.col("first_pos").cast("int").alias("first_pos"))
+
+
+@register("hashtags", _TAGS_SQL + f"SELECT s.doc_id, coalesce(line.line, '') AS hashtag_line FROM ({_TAG_SRC}) s "
+                                  "LEFT JOIN line USING (doc_id)")
+def hashtags(spark, sf):
+    """H4/H5: three hashtags per summary, joined for display."""
+    src = fx.pairs3(spark, sf).select("doc_id", F.col("predicted_summary").alias("text"))
+    return tg.hashtags(src, "doc_id", "text", 3).select("doc_id", "hashtag_line")
+
+
+@register("hashtag_counts", _TAGS_SQL + "SELECT lang, tag, n, CAST(rank AS INTEGER) AS rank FROM ("
+                                        "SELECT lang, tag, CAST(count(*) AS BIGINT) AS n, row_number() OVER "
+                                        "(PARTITION BY lang ORDER BY count(*) DESC, tag) AS rank FROM top JOIN "
+                                        f"({_TAG_SRC}) s USING (doc_id) GROUP BY lang, tag) WHERE rank <= 10")
+def hashtag_counts(spark, sf):
+    """H6: the ten most used hashtags per language."""
+    src = fx.pairs3(spark, sf).select("doc_id", "lang", F.col("predicted_summary").alias("text"))
+    t = tg.hashtags(src, "doc_id", "text", 3).join(src.select("doc_id", "lang"), "doc_id")
+    return tg.hashtag_counts(t, ["lang"], 10).select("lang", "tag", "n", F.col("rank").cast("int").alias("rank"))
+
+
+@register("share_url", f"SELECT doc_id, {q.lit(fixed.SHARE_PREFIX)} || summary AS url, {q.lit(fixed.SHARE_PREFIX)} || "
+                       "replace(replace(replace(url_encode(summary), '%20', '+'), '%2A', '*'), '~', '%7E') AS url_encoded "
+                       f"FROM ({fx.SQL['pairs']})")
+def share_url(spark, sf):
+    """H7: share link, raw as the app builds it and URL-encoded."""
+    p = fx.pairs(spark, sf)
+    return p.select("doc_id", tk.share_url(F.col("summary")).alias("url"),
+                    tk.share_url(F.col("summary"), encode=True).alias("url_encoded"))
+
+
+# ---------------------------------------------------------------- topics (M)
+from skein.operators import topics as tp  # noqa: E402
+
+
+@register("enrich_with_topics", f"""
+WITH t AS (SELECT doc_id, CAST(doc_id % 10 AS INTEGER) AS topic, text FROM documents),
+c AS (SELECT topic, term, count(*) AS n FROM (SELECT topic, unnest({q.remove_stops(q.word_tokens('text'))}) AS term FROM t) GROUP BY ALL),
+r AS (SELECT topic, term, row_number() OVER (PARTITION BY topic ORDER BY n DESC, term) AS r FROM c QUALIFY r <= 10),
+kw AS (SELECT topic, string_agg(term, ' ' ORDER BY r DESC) AS kw FROM r GROUP BY topic)
+SELECT doc_id, topic, concat_ws(' ', text, kw) AS new_document FROM t LEFT JOIN kw USING (topic)""")
+def enrich_with_topics(spark, sf):
+    """M6 with a model-free topic table: topic = doc_id mod 10, keywords =
+    the topic's ten most frequent terms (weakest first)."""
+    d = fx.table(spark, sf, "documents").select("doc_id", "text").join(fx.topic_assignment(spark, sf), "doc_id")
+    kw = tp.keywords_by_counts(d.select("topic", tk.remove_stops(tk.word_tokens(F.col("text"))).alias("t")), "topic", "t")
+    return tp.enrich_with_topics(d, "text", "topic", kw).select("doc_id", "topic", "new_document")
+
+
+# ---------------------------------------------------------------- threads (ST)
+from skein.streaming import threads as th  # noqa: E402
+
+
+@register("assemble_threads", "SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, "
+                              "string_agg(text, chr(10) ORDER BY turn) AS thread FROM conversations GROUP BY conv_id")
+def assemble_threads(spark, sf):
+    """ST3: conversations as one text each, turns in order."""
+    return th.assemble_threads(fx.table(spark, sf, "conversations"))

@@ -188,3 +188,48 @@ def pair_scores(src: str, key: str, ref: str, hyp: str, extra: str = "") -> str:
 
 def lead(x: str, k: int) -> str:
     return f"array_to_string(({sentences(x)})[1:{k}], ' ')"
+
+
+def _upper(t: str) -> str:
+    return f"(upper({t}) = {t} AND lower({t}) <> {t})"
+
+
+def sentiment(src: str, key: str, cols, lexicon: str) -> str:
+    """(key, column, score) with the rules of ``skein.operators.sentiment``."""
+    u = " UNION ALL ".join(f"SELECT {key}, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS text FROM ({src})"
+                           for c in cols)
+    B, D, N = fixed.SENT_BOOST, fixed.SENT_BOOST_DECAY, fixed.SENT_NEGATE
+    boost = " + ".join(f"CASE WHEN k{d} = 'booster' THEN sgn * {B} * {D[d - 1]} ELSE 0.0 END" for d in (1, 2, 3))
+    neg = " * ".join(f"CASE WHEN k{d} = 'negation' THEN {N} ELSE 1.0 END" for d in (1, 2, 3))
+    return f"""
+WITH lex AS ({lexicon}),
+u AS ({u}),
+r AS (SELECT {key}, "column", text,
+        coalesce(regexp_extract_all(coalesce(text, ''), '{W}+'), []) AS toks,
+        length(text) - length(replace(text, '!', '')) AS bang,
+        length(text) - length(replace(text, '?', '')) AS quest FROM u),
+r2 AS (SELECT *, list_transform(toks, lambda t: lower(t)) AS low,
+        least(bang, {fixed.SENT_EXCLAIM_MAX}) * {fixed.SENT_EXCLAIM} + CASE WHEN quest > 3 THEN {fixed.SENT_QUESTION_MANY}
+          WHEN quest > 1 THEN quest * {fixed.SENT_QUESTION} ELSE 0.0 END AS amp,
+        len(list_filter(toks, lambda t: {_upper('t')})) > 0 AND len(list_filter(toks, lambda t: NOT {_upper('t')})) > 0 AS caps_mix
+      FROM r),
+r3 AS (SELECT *, coalesce(list_position(low, 'but'), 0) - 1 AS but FROM r2),
+ex AS (SELECT {key}, "column", caps_mix, but, pos, low[pos + 1] AS token, {_upper('toks[pos + 1]')} AS up,
+         CASE WHEN pos >= 1 THEN low[pos] END AS p1, CASE WHEN pos >= 2 THEN low[pos - 1] END AS p2,
+         CASE WHEN pos >= 3 THEN low[pos - 2] END AS p3
+       FROM (SELECT *, unnest(range(0, len(low))) AS pos FROM r3)),
+tagged AS (SELECT ex.*, w.valence, m1.kind AS k1, m2.kind AS k2, m3.kind AS k3 FROM ex
+       JOIN (SELECT token, valence FROM lex WHERE kind = 'word') w ON w.token = ex.token
+       LEFT JOIN (SELECT token, kind FROM lex WHERE kind <> 'word') m1 ON m1.token = ex.p1
+       LEFT JOIN (SELECT token, kind FROM lex WHERE kind <> 'word') m2 ON m2.token = ex.p2
+       LEFT JOIN (SELECT token, kind FROM lex WHERE kind <> 'word') m3 ON m3.token = ex.p3),
+v1 AS (SELECT *, valence + CASE WHEN caps_mix AND up THEN (CASE WHEN valence > 0 THEN {fixed.SENT_CAPS} ELSE -{fixed.SENT_CAPS} END) ELSE 0.0 END AS v FROM tagged),
+v2 AS (SELECT *, CASE WHEN v < 0 THEN -1.0 ELSE 1.0 END AS sgn FROM v1),
+v3 AS (SELECT {key}, "column", (v + {boost}) * {neg} * (CASE WHEN but < 0 THEN 1.0 WHEN pos < but THEN {fixed.SENT_BUT_BEFORE}
+          WHEN pos > but THEN {fixed.SENT_BUT_AFTER} ELSE 1.0 END) AS v FROM v2),
+s AS (SELECT {key}, "column", sum(v) AS s FROM v3 GROUP BY ALL),
+j AS (SELECT r3.{key}, r3."column", r3.text IS NULL AS is_null, r3.amp, coalesce(s.s, 0.0) AS s FROM r3
+      LEFT JOIN s ON s.{key} = r3.{key} AND s."column" = r3."column"),
+k AS (SELECT *, s + CASE WHEN s > 0 THEN amp WHEN s < 0 THEN -amp ELSE 0.0 END AS s2 FROM j)
+SELECT {key}, "column", CASE WHEN is_null THEN NULL ELSE round(s2 / sqrt(s2 * s2 + {fixed.SENT_ALPHA}), 4) END AS score FROM k
+"""
