@@ -89,3 +89,25 @@ def encode_pairs(df: DataFrame, key: str, doc_tok: str, sum_tok: str, vocab: Dat
                              F.array_repeat(F.lit(0), F.greatest(F.lit(width_in) - F.size("input_ids"), F.lit(0))))
                     .alias("attention_mask"),
                     padded("label_ids", width_out).alias("labels"))
+
+
+def batched(df: DataFrame, size: int) -> DataFrame:
+    """(partition, batch) for every row: batches of ``size`` consecutive
+    rows inside each partition, numbered in ``mapInPandas`` (no global row
+    number, no shuffle)."""
+    import pandas as pd
+    from pyspark import TaskContext
+    from pyspark.sql import types as T
+
+    schema = T.StructType(list(df.schema.fields) + [T.StructField("partition", T.IntegerType()),
+                                                     T.StructField("batch", T.LongType())])
+
+    def run(it):
+        pid = TaskContext.get().partitionId()
+        seen = 0
+        for pdf in it:
+            idx = pd.RangeIndex(seen, seen + len(pdf))
+            seen += len(pdf)
+            yield pdf.assign(partition=pid, batch=(idx // size).to_numpy(dtype="int64"))
+
+    return df.mapInPandas(run, schema=schema)

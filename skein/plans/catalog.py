@@ -7,6 +7,7 @@ that is the feature itself, as in ``sample_n`` or a top-k report).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -712,3 +713,110 @@ from skein.streaming import threads as th  # noqa: E402
 def assemble_threads(spark, sf):
     """ST3: conversations as one text each, turns in order."""
     return th.assemble_threads(fx.table(spark, sf, "conversations"))
+
+
+# ---------------------------------------------------------------- model-based, rows-only
+from skein.operators import ranker as rk  # noqa: E402
+from skein.operators import similar as sm  # noqa: E402
+
+
+def _topic_model(spark, sf):
+    d = fx.table(spark, sf, "documents").select("doc_id", "source", "text")
+    return d, tp.fit_topics(d, "text", k=10, iters=10, seed=42, vocab_size=7000)
+
+
+@register("topics", None)
+def topics(spark, sf):
+    """M3/M4: LDA (10 topics, 10 iterations, seed 42) over TF-IDF of the
+    documents; the dominant topic of every document."""
+    d, m = _topic_model(spark, sf)
+    return tp.dominant_topic(m, d, "text").select("doc_id", "topic")
+
+
+@register("topic_keywords", None)
+def topic_keywords(spark, sf):
+    """M5: ten keywords per fitted topic, weakest first."""
+    _, m = _topic_model(spark, sf)
+    return tp.topic_keywords(m, spark, 10).select("topic", F.array_join("keywords", " ").alias("keywords"))
+
+
+@register("dominant_topic_enriched", None)
+def dominant_topic_enriched(spark, sf):
+    """M4+M5+M6 as the model notebook chains them: fitted topic per document,
+    its keywords appended to the text."""
+    d, m = _topic_model(spark, sf)
+    dt = tp.dominant_topic(m, d, "text")
+    return tp.enrich_with_topics(dt, "text", "topic", tp.topic_keywords(m, spark, 10)).select("doc_id", "topic", "new_document")
+
+
+@register("topic_summary", None)
+def topic_summary(spark, sf):
+    """M7: documents per fitted topic and source."""
+    d, m = _topic_model(spark, sf)
+    return tp.topic_summary(tp.dominant_topic(m, d, "text"), "topic", ["source"])
+
+
+@register("embed", None)
+def embed(spark, sf):
+    """SI3 + SI2: hashed-term embeddings of the three texts, distances per pair."""
+    pairs = (("doc_summary", "document", "summary"), ("summary_predicted", "summary", "predicted_summary"),
+             ("doc_predicted", "document", "predicted_summary"))
+    e = sm.embedding_distances(fx.pairs3(spark, sf), "doc_id", pairs, "hashing", 64)
+    return e.select("doc_id", *[_r6(F.col(c)).alias(c) for c in e.columns if c != "doc_id"])
+
+
+@register("sentence_ranker", None)
+def sentence_ranker(spark, sf):
+    """SU3: logistic sentence ranker trained on the 80 % split, scored on the 20 %."""
+    _, scored = rk.fit_sentence_ranker(fx.pairs(spark, sf), "doc_id", "document", "summary")
+    return scored.select("doc_id", "spos", "label", _r6(F.col("p")).alias("p"))
+
+
+@register("summarise_with", None)
+def summarise_with(spark, sf):
+    """SU1 with a supplied summariser (here: first sentence of the text, built
+    once per partition); failures come back as null + error."""
+    def make():
+        def first_sentence(t: str) -> str:
+            cut = [i for i in (t.find(". "), t.find("\n")) if i >= 0]
+            return t[:min(cut) + 1] if cut else t
+        return first_sentence
+    d = fx.table(spark, sf, "documents").select("doc_id", "text")
+    return su.summarise_with(d, "doc_id", "text", make)
+
+
+@register("evaluate_model", None)
+def evaluate_model(spark, sf):
+    """Q9: exact 80/20 split -> extractive summaries of the test documents ->
+    ROUGE-1/2/L, BLEU, token F1 -> one row of averages."""
+    p = fx.pairs(spark, sf)
+    _, test = prep.split_exact(p, "doc_id", 0.2, 42)
+    pre = su.PRESETS["pipeline"]
+    gen = su.summarise(test.select("doc_id", "document"), "doc_id", "document",
+                       pre["min_tokens"], pre["max_tokens"], pre["block_ngram"])
+    pairs_df = test.select("doc_id", "summary").join(gen.withColumnRenamed("summary", "predicted"), "doc_id")
+    s = qa.score_pairs(pairs_df, "doc_id", "summary", "predicted", rouge_l=True)
+    e = qa.evaluate(s, metrics=["rouge1", "rouge2", "rougeL", "bleu", "token_f1"])
+    return e.select(*[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL", "bleu", "token_f1")], "n")
+
+
+@register("batched", None)
+def batched(spark, sf):
+    """Fixed-size batches of 10 rows, numbered inside each partition
+    (partition id, batch number) - never a global row number."""
+    from skein.operators.terms import batched as tb
+    return tb(fx.table(spark, sf, "documents").select("doc_id", "text"), 10).select("doc_id", "partition", "batch")
+
+
+@register("thread_stream", None)
+def thread_stream(spark, sf):
+    """ST1: documents through the streaming flow (file source, foreachBatch,
+    Parquet sink, availableNow), read back from the sink."""
+    import uuid
+
+    from skein.session import ensure_checkpoint_dir
+    base = os.path.join(ensure_checkpoint_dir(spark), "streams", uuid.uuid4().hex)
+    sink, ckpt = th.sink_paths(base)
+    schema = fx.table(spark, sf, "documents").select("doc_id", "text").schema
+    th.thread_stream(spark, sf, "documents.parquet", schema, "doc_id", "text", sink, ckpt)
+    return spark.read.parquet(sink)
