@@ -48,7 +48,8 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
         totals[f"{label}_ref"] = F.greatest(F.size(r) - n + 1, F.lit(0))
         totals[f"{label}_hyp"] = F.greatest(F.size(h) - n + 1, F.lit(0))
     base = df.select(key, *[v.alias(k) for k, v in totals.items()])
-    ex = df.select(key, F.explode(F.flatten(F.array(*tagged))).alias("e")).select(key, "e.m", "e.s", "e.g")
+    ex = (df.select(key, F.explode_outer(F.flatten(F.array(*tagged))).alias("e")).filter(F.col("e").isNotNull())
+          .select(key, "e.m", "e.s", "e.g"))
     clipped = (ex.groupBy(key, "m", "g")
                .agg(F.sum(F.when(F.col("s") == 0, 1).otherwise(0)).alias("cr"),
                     F.sum(F.when(F.col("s") == 1, 1).otherwise(0)).alias("ch"))

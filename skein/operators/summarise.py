@@ -46,13 +46,15 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     best sentence, ties to the earlier position."""
     n = df.count()
     docs = df.select(key, word_tokens(F.col(text)).alias("t"))
-    tf = (docs.select(key, F.explode("t").alias("term")).groupBy(key, "term")
+    tf = (docs.select(key, F.explode_outer("t").alias("term")).filter(F.col("term").isNotNull()).groupBy(key, "term")
           .agg(F.count(F.lit(1)).alias("tf")))
     idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
-    sents = df.select(key, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
+    sents = (df.select(key, F.posexplode_outer(sentences(F.col(text))).alias("spos", "sentence"))
+             .filter(F.col("sentence").isNotNull()))
     sents = sents.withColumn("st", word_tokens(F.col("sentence"))).withColumn("n_tokens", F.size("st"))
-    terms = sents.select(key, "spos", F.explode(F.array_distinct("st")).alias("term"))
+    terms = (sents.select(key, "spos", F.explode_outer(F.array_distinct("st")).alias("term"))
+             .filter(F.col("term").isNotNull()))
     mass = (terms.join(tf, [key, "term"]).join(idf, "term")
             .groupBy(key, "spos").agg(F.sum(F.col("tf") * F.col("idf")).alias("mass")))
     scored = (sents.join(mass, [key, "spos"], "left")

@@ -15,7 +15,7 @@ from skein import fixed
 
 def term_counts(df: DataFrame, key: str, tok: str) -> DataFrame:
     """(key, term, n) for an array-of-tokens column."""
-    return (df.select(key, F.explode(tok).alias("term"))
+    return (df.select(key, F.explode_outer(tok).alias("term")).filter(F.col("term").isNotNull())
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -24,7 +24,7 @@ def vocabulary(df: DataFrame, tok: str, size: int | None = 7000) -> DataFrame:
 
     The global count is a partial+final aggregate; the top-k is a
     TakeOrderedAndProject (each task keeps ``size`` rows)."""
-    counts = (df.select(F.explode(tok).alias("term")).groupBy("term")
+    counts = (df.select(F.explode_outer(tok).alias("term")).filter(F.col("term").isNotNull()).groupBy("term")
               .agg(F.count(F.lit(1)).alias("n")))
     ordered = counts.orderBy(F.col("n").desc(), F.col("term"))
     top = ordered.limit(size) if size else ordered
@@ -40,13 +40,16 @@ def doc_top_terms(df: DataFrame, key: str, tok: str, k: int = 5, out: str = "top
     A one-topic model fit on a single document ranks its words by count, so
     the per-row model becomes one aggregate. ``row_number() <= k`` plans as a
     WindowGroupLimit, which also trims each task's rows before the shuffle."""
-    counts = term_counts(df, key, tok)
-    w = Window.partitionBy(key).orderBy(F.col("n").desc(), F.col("term"))
+    # explode_outer keeps rows with no token (one null term), so every key
+    # survives to the final aggregate without a join back to the input.
+    counts = (df.select(key, F.explode_outer(tok).alias("term"))
+              .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
+    w = Window.partitionBy(key).orderBy(F.col("term").isNull(), F.col("n").desc(), F.col("term"))
     top = (counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k)
-           .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("r", "term"))).alias("t")))
+           .groupBy(key).agg(F.array_sort(F.collect_list(
+               F.when(F.col("term").isNotNull(), F.struct("r", "term")))).alias("t")))
     joined = F.array_join(F.transform("t", lambda s: s["term"]), fixed.TOPIC_JOIN)
-    return (df.select(key).join(top, key, "left")
-            .select(key, F.coalesce(joined, F.lit(fixed.NO_TOPIC)).alias(out)))
+    return top.select(key, F.when(F.size("t") > 0, joined).otherwise(F.lit(fixed.NO_TOPIC)).alias(out))
 
 
 def encode(df: DataFrame, key: str, tok: str, vocab: DataFrame, max_len: int,
@@ -55,7 +58,7 @@ def encode(df: DataFrame, key: str, tok: str, vocab: DataFrame, max_len: int,
     rank. The vocabulary is capped (``size``) so the broadcast side is bounded.
     Output: (key, ids, length) truncated to ``max_len``."""
     ids = vocab.select(F.col("term"), (F.col("rank") + 1).cast("int").alias("id"))
-    exploded = df.select(key, F.posexplode(tok).alias("pos", "term")).filter(F.col("pos") < max_len)
+    exploded = df.select(key, F.posexplode_outer(tok).alias("pos", "term")).filter(F.col("pos") < max_len)
     joined = exploded.join(F.broadcast(ids), "term", "left")
     return (joined.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(1)).alias("id")))).alias("s"))

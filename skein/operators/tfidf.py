@@ -59,7 +59,8 @@ def cosine_tfidf(df: DataFrame, key: str, cols: Sequence[str], pairs: Sequence[t
     fit_df = df.select(key, tok_fn(F.col(fit_on)).alias("__tok"))
     idf = fit_tfidf(fit_df, key, "__tok", size)
     tagged = F.flatten(F.array(*[F.transform(tok_fn(F.col(c)), _side(i)) for i, c in enumerate(cols)]))
-    ex = df.select(key, F.explode(tagged).alias("e")).select(key, "e.side", "e.term")
+    ex = (df.select(key, F.explode_outer(tagged).alias("e")).filter(F.col("e").isNotNull())
+          .select(key, "e.side", "e.term"))
     tf = ex.groupBy(key, "side", "term").agg(F.count(F.lit(1)).alias("n"))
     w = tf.join(_idf_side(idf, size is not None), "term", "inner").withColumn("w", F.col("n") * F.col("idf"))
     w = w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key, "side"))))

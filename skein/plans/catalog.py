@@ -107,7 +107,8 @@ def slang_stats(spark, sf):
     """Which slang entries fire, how often and in how many texts
     (explode straight into a partial aggregate)."""
     c = fx.corpus(spark, sf)
-    hits = c.select("kind", "id", F.explode(tx.slang_hits(F.lower(tx.clean_text(F.col("text"))))).alias("slang"))
+    hits = (c.select("kind", "id", F.explode_outer(tx.slang_hits(F.lower(tx.clean_text(F.col("text"))))).alias("slang"))
+            .filter(F.col("slang").isNotNull()))
     return hits.groupBy("slang").agg(F.count(F.lit(1)).alias("hits"),
                                      F.count_distinct("kind", "id").alias("texts"))
 

@@ -17,8 +17,26 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# Row key of each text table: scans that come out narrower than the cluster
+# are hash-partitioned on it, which also co-locates each document's rows for
+# the per-document aggregates that follow.
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "embeddings": "vec_id",
+        "labels": "doc_id", "benchmark": "item_id"}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-partition a scan that has fewer partitions than the session's
+    default parallelism (e.g. a single large row group); wide scans - the
+    normal case for many files - are returned untouched, with no shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df, KEYS.get(name)) if name in KEYS else df
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +96,8 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind): invented words carry no real polarity, so the valence is a hash of
     the token; tokens whose md5 starts with 00 are boosters, 01 negations."""
     d = table(spark, sf_dir, "documents")
-    toks = (d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("token"))
-            .distinct())
+    toks = (d.select(F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("token"))
+            .filter(F.col("token").isNotNull()).distinct())
     h = F.md5(F.col("token"))
     hx = F.conv(F.substring(h, 1, 2), 16, 10).cast("int")
     kind = (F.when(F.substring(h, 1, 2) == "00", "booster")
