@@ -30,7 +30,9 @@ def read_threads(spark: SparkSession, paths: str | Sequence[str], fmt: str = "js
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     if fmt == "csv":
-        options = {"header": "true", "multiLine": "true", "escape": '"', **options}
+        # Newlines survive (multiLine) and null stays distinct from ''.
+        options = {"header": "true", "multiLine": "true", "escape": '"', "nullValue": "\\N",
+                   "emptyValue": "", **options}
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load(paths)
@@ -41,7 +43,7 @@ def write_threads(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
     """IO4: Parquet by default; CSV with header (arrays must be flattened)."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        options = {"header": "true", "escape": '"', **options}
+        options = {"header": "true", "escape": '"', "nullValue": "\\N", "emptyValue": '""', **options}
     for k, v in options.items():
         w = w.option(k, v)
     if partition_by:
