@@ -8,10 +8,10 @@ longest common subsequence, computed per row in an Arrow UDF.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +27,23 @@ def _tag(label: str, side: int):
 
 
 def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
-                  rouge_orders: Sequence[int] = (1, 2), bleu: bool = True) -> DataFrame:
-    """(key, <label>_overlap ...) clipped n-gram overlaps for every metric, and
-    (key, <label>_ref, <label>_hyp) gram totals taken per row from sizes."""
-    # Token arrays are materialised once as columns; the n-gram lambdas then
-    # read them instead of re-running the tokeniser per index.
+                  rouge_orders: Sequence[int] = (1, 2), bleu: bool = True,
+                  carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """(key, <label>_overlap, <label>_ref, <label>_hyp ... , *carry).
+
+    One projection tokenises each side once; one Generate emits every tagged
+    n-gram; per-row values (gram totals and the ``carry`` columns) ride along
+    as one struct grouped along with the key, so no join back to the input is
+    needed. ``explode_outer`` keeps rows that have
+    no gram at all. On input co-located by ``key`` both aggregates run
+    without a shuffle."""
+    carry = dict(carry or {})
     toks = {"rr": rouge_tokens(F.col(ref)), "rh": rouge_tokens(F.col(hyp))}
     if bleu:
         toks.update(br=symbol_tokens(F.col(ref)), bh=symbol_tokens(F.col(hyp)))
-    df = df.select(key, *[v.alias(k) for k, v in toks.items()])
+    # Token arrays are materialised once as columns; the n-gram lambdas then
+    # read them instead of re-running the tokeniser per index.
+    df = df.select(key, *[v.alias(k) for k, v in toks.items()], *[v.alias(k) for k, v in carry.items()])
     specs = [(f"rouge{n}", n, F.col("rr"), F.col("rh")) for n in rouge_orders]
     if bleu:
         specs += [(f"bleu{n}", n, F.col("br"), F.col("bh")) for n in BLEU_ORDERS]
@@ -43,23 +51,23 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     for label, n, r, h in specs:
         for side, arr in ((0, r), (1, h)):
             tagged.append(F.transform(ngrams(arr, n), _tag(label, side)))
-    totals = {}
+    info = {}
     for label, n, r, h in specs:
-        totals[f"{label}_ref"] = F.greatest(F.size(r) - n + 1, F.lit(0))
-        totals[f"{label}_hyp"] = F.greatest(F.size(h) - n + 1, F.lit(0))
-    base = df.select(key, *[v.alias(k) for k, v in totals.items()])
-    ex = (df.select(key, F.explode_outer(F.flatten(F.array(*tagged))).alias("e")).filter(F.col("e").isNotNull())
-          .select(key, "e.m", "e.s", "e.g"))
-    clipped = (ex.groupBy(key, "m", "g")
-               .agg(F.sum(F.when(F.col("s") == 0, 1).otherwise(0)).alias("cr"),
-                    F.sum(F.when(F.col("s") == 1, 1).otherwise(0)).alias("ch"))
-               .filter((F.col("cr") > 0) & (F.col("ch") > 0)))
+        info[f"{label}_ref"] = F.greatest(F.size(r) - n + 1, F.lit(0))
+        info[f"{label}_hyp"] = F.greatest(F.size(h) - n + 1, F.lit(0))
+    info.update({k: F.col(k) for k in carry})
+    ex = df.select(key, F.struct(*[v.alias(k) for k, v in info.items()]).alias("info"),
+                   F.explode_outer(F.flatten(F.array(*tagged))).alias("e"))
+    # ``info`` is functionally dependent on ``key``: as a grouping key it rides
+    # through both hash aggregates (a struct buffer would force a sort).
+    clipped = (ex.groupBy(key, "info", F.col("e.m").alias("m"), F.col("e.g").alias("g"))
+               .agg(F.sum(F.when(F.col("e.s") == 0, 1).otherwise(0)).alias("cr"),
+                    F.sum(F.when(F.col("e.s") == 1, 1).otherwise(0)).alias("ch")))
     labels = [s[0] for s in specs]
-    ov = (clipped.groupBy(key)
+    ov = (clipped.groupBy(key, "info")
           .agg(*[F.sum(F.when(F.col("m") == lab, F.least("cr", "ch"))).alias(f"{lab}_overlap") for lab in labels]))
-    out = base.join(ov, key, "left")
-    return out.withColumns({f"{lab}_overlap": F.coalesce(F.col(f"{lab}_overlap"), F.lit(0)).cast("bigint")
-                            for lab in labels})
+    return ov.select(key, *[F.coalesce(F.col(f"{lab}_overlap"), F.lit(0)).cast("bigint").alias(f"{lab}_overlap")
+                            for lab in labels], "info.*")
 
 
 def _fmeasure(ov, n_ref, n_hyp):
@@ -87,15 +95,17 @@ def bleu_col(o: DataFrame):
     return F.when(any_zero | (h == 0), F.lit(0.0)).otherwise(bp * geo)
 
 
-def score_pairs(df: DataFrame, key: str, ref: str, hyp: str, rouge_l: bool = False) -> DataFrame:
-    """Q1, Q2, Q5, Q6 (and Q3 when asked): one row per key."""
-    o = gram_overlaps(df, key, ref, hyp)
-    scored = o.select(key, rouge_n_col(o, 1).alias("rouge1"), rouge_n_col(o, 2).alias("rouge2"),
-                      bleu_col(o).alias("bleu"))
-    per_row = df.select(key, token_f1(F.col(ref), F.col(hyp)).alias("token_f1"),
-                        *([rouge_l_f(rouge_tokens(F.col(ref)), rouge_tokens(F.col(hyp))).alias("rougeL")]
-                          if rouge_l else []))
-    return scored.join(per_row, key, "inner")
+def score_pairs(df: DataFrame, key: str, ref: str, hyp: str, rouge_l: bool = False,
+                carry: Sequence[str] | Mapping[str, Column] = ()) -> DataFrame:
+    """Q1, Q2, Q5, Q6 (and Q3 when asked): one row per key with rouge1,
+    rouge2, bleu, token_f1 [, rougeL] and the ``carry`` columns."""
+    extra = dict(carry) if isinstance(carry, Mapping) else {c: F.col(c) for c in carry}
+    per_row = {"token_f1": token_f1(F.col(ref), F.col(hyp))}
+    if rouge_l:
+        per_row["rougeL"] = rouge_l_f(rouge_tokens(F.col(ref)), rouge_tokens(F.col(hyp)))
+    o = gram_overlaps(df, key, ref, hyp, carry={**per_row, **extra})
+    return o.select(key, rouge_n_col(o, 1).alias("rouge1"), rouge_n_col(o, 2).alias("rouge2"),
+                    bleu_col(o).alias("bleu"), *per_row, *extra)
 
 
 def _lcs_len(a, b) -> int:

@@ -32,10 +32,6 @@ from skein.functions.tokens import WORD_RUN, sentiment_label
 BROADCAST_ROWS = 2_000_000
 
 
-def _maybe_broadcast(df: DataFrame, limit: int) -> DataFrame:
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def _is_upper(t):
     return (F.upper(t) == t) & (F.lower(t) != t)
 
@@ -63,8 +59,12 @@ def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFr
     ex = rows.select(key, "column", "is_null", "amp", "but", "caps_mix", F.explode_outer(occ).alias("o"))
     ex = ex.select(key, "column", "is_null", "amp", "but", "caps_mix", "o.*")
 
-    words = _maybe_broadcast(lexicon.filter(F.col("kind") == "word").select("token", "valence"), broadcast_rows)
-    mods = _maybe_broadcast(lexicon.filter(F.col("kind") != "word").select("token", "kind"), broadcast_rows)
+    # One size check for the whole lexicon decides how both sides join.
+    small = lexicon.count() <= broadcast_rows
+    words = lexicon.filter(F.col("kind") == "word").select("token", "valence")
+    mods = lexicon.filter(F.col("kind") != "word").select("token", "kind")
+    if small:
+        words, mods = F.broadcast(words), F.broadcast(mods)
     ex = ex.join(words, "token", "left")
     for d in (1, 2, 3):
         m = mods.select(F.col("token").alias(f"p{d}"), F.col("kind").alias(f"k{d}"))

@@ -318,8 +318,7 @@ _SCORES_SQL = q.pair_scores(fx.SQL["pairs3"], "doc_id", "summary", "predicted_su
 
 def _scores(spark, sf):
     p = fx.pairs3(spark, sf)
-    s = qa.score_pairs(p, "doc_id", "summary", "predicted_summary")
-    return s.join(p.select("doc_id", "lang", "source"), "doc_id")
+    return qa.score_pairs(p, "doc_id", "summary", "predicted_summary", carry=["lang", "source"])
 
 
 @register("pair_metrics", f"SELECT doc_id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, "
@@ -351,8 +350,8 @@ def bleu(spark, sf):
 def bleu_turns(spark, sf):
     """Q5 on user/assistant turn pairs (mostly the zero path)."""
     t = fx.turn_pairs(spark, sf).withColumn("k", F.col("conv_id") * 1000 + F.col("turn"))
-    s = qa.score_pairs(t, "k", "summary", "document")
-    return s.join(t.select("k", "conv_id", "turn"), "k").select("conv_id", "turn", _r6(F.col("bleu")).alias("bleu"))
+    s = qa.score_pairs(t, "k", "summary", "document", carry=["conv_id", "turn"])
+    return s.select("conv_id", "turn", _r6(F.col("bleu")).alias("bleu"))
 
 
 _AVG = ", ".join(f"round(avg({m}), 6) AS {m}" for m in qa.METRICS)
@@ -468,9 +467,8 @@ def flagship(spark, sf):
     p = fx.pairs(spark, sf)
     p = p.select("doc_id", "lang", tx.normalise_col(F.col("summary")).alias("summary"),
                  tx.normalise_col(lead_k(F.col("document"), 3)).alias("predicted_summary"))
-    s = qa.score_pairs(p, "doc_id", "summary", "predicted_summary")
-    s = s.join(p.select("doc_id", "lang", tk.jaccard(F.col("summary"), F.col("predicted_summary")).alias("jaccard")),
-               "doc_id")
+    s = qa.score_pairs(p, "doc_id", "summary", "predicted_summary",
+                       carry={"lang": F.col("lang"), "jaccard": tk.jaccard(F.col("summary"), F.col("predicted_summary"))})
     e = qa.evaluate(s, metrics=list(qa.METRICS) + ["jaccard"], by=["lang"], rollup=True)
     return e.select("lang", *[_r6(F.col(m)).alias(m) for m in list(qa.METRICS) + ["jaccard"]], "n")
 
