@@ -3,9 +3,9 @@
 * ``lead_k``: first k sentences (row expression).
 * ``sentence_scores``: every sentence scored by the TF-IDF mass of its words
   and ranked inside its document (explode + joins + a per-document window).
-* ``summarise``: greedy pick under a token budget with n-gram blocking. The
-  pick is sequential per document, so it runs in ``applyInPandas`` over one
-  document's scored sentences (bounded by that document's own length).
+* ``summarise``: greedy pick under a token budget with n-gram blocking, a
+  fold over each document's ranked sentences (``greedy_pick`` is the plain
+  Python statement of the same rule, used as the reference in tests).
 * ``summarise_with``: any supplied summariser, built once per partition in
   ``mapInPandas``; a failing row yields null plus an error message.
 """
@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.functions.tokens import sentences, word_tokens
+from skein.functions.tokens import ngrams, sentences, tokens, word_tokens
 
 # Named generation presets: (max_in, min_tokens, max_tokens, block_ngram).
 # Beams and length penalties have no extractive meaning; they are passed to a
@@ -43,23 +43,30 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     score = sum over the sentence's distinct word tokens of (count of the term
     in the whole document x idf) / word tokens in the sentence, rounded to 6;
     idf = ln((1+n)/(1+df)) + 1 over the documents of ``df``. Rank 1 is the
-    best sentence, ties to the earlier position."""
+    best sentence, ties to the earlier position.
+
+    Plan: sentences and their terms are exploded once; the document count of
+    a term is a window over (key, term) and its first occurrence marks the
+    document frequency, both inside the key's partition. Only the corpus idf
+    (one partial aggregate by term) and its join move data by term; one
+    repartition by key then serves the per-sentence sum and the rank window."""
     n = df.count()
-    docs = df.select(key, word_tokens(F.col(text)).alias("t"))
-    tf = (docs.select(key, F.explode_outer("t").alias("term")).filter(F.col("term").isNotNull()).groupBy(key, "term")
-          .agg(F.count(F.lit(1)).alias("tf")))
-    idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
-        "term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
     sents = (df.select(key, F.posexplode_outer(sentences(F.col(text))).alias("spos", "sentence"))
              .filter(F.col("sentence").isNotNull()))
     sents = sents.withColumn("st", word_tokens(F.col("sentence"))).withColumn("n_tokens", F.size("st"))
-    terms = (sents.select(key, "spos", F.explode_outer(F.array_distinct("st")).alias("term"))
-             .filter(F.col("term").isNotNull()))
-    mass = (terms.join(tf, [key, "term"]).join(idf, "term")
-            .groupBy(key, "spos").agg(F.sum(F.col("tf") * F.col("idf")).alias("mass")))
-    scored = (sents.join(mass, [key, "spos"], "left")
-              .withColumn("score", F.round(F.when(F.col("n_tokens") > 0, F.coalesce("mass", F.lit(0.0)) / F.col("n_tokens"))
-                                           .otherwise(F.lit(0.0)), 6)))
+    occ = (sents.select(key, "spos", "sentence", "n_tokens", F.explode_outer("st").alias("term"))
+           .groupBy(key, "spos", "sentence", "n_tokens", "term").agg(F.count(F.lit(1)).alias("c")))
+    by_term = Window.partitionBy(key, "term")
+    occ = occ.withColumns({"tf": F.sum("c").over(by_term),
+                           "first": F.row_number().over(by_term.orderBy("spos")) == 1})
+    idf = (occ.filter(F.col("first") & F.col("term").isNotNull()).groupBy("term")
+           .agg(F.count(F.lit(1)).alias("df"))
+           .select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+    mass = (occ.join(idf, "term", "left").repartition(key)
+            .groupBy(key, "spos", "sentence", "n_tokens")
+            .agg(F.sum(F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))).alias("mass")))
+    scored = mass.withColumn("score", F.round(F.when(F.col("n_tokens") > 0, F.col("mass") / F.col("n_tokens"))
+                                              .otherwise(F.lit(0.0)), 6))
     w = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("spos"))
     return scored.select(key, "spos", "sentence", "n_tokens", "score", F.row_number().over(w).alias("rank"))
 
@@ -90,23 +97,38 @@ def summarise(df: DataFrame, key: str, text: str, min_tokens: int = 40, max_toke
               block_ngram: int = 0) -> DataFrame:
     """SU2: extractive summary per document. Rank in SQL, pick greedily: take
     sentences by rank, skipping one that would pass ``max_tokens`` or share a
-    ``block_ngram``-gram with those already taken, until ``min_tokens`` is
-    reached; if nothing fits, the top sentence cut to ``max_tokens`` words;
-    output in document order."""
-    scored = sentence_scores(df, key, text).select(key, "spos", "sentence", "n_tokens", "rank")
-    key_type = df.schema[key].dataType.simpleString()
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        chosen = greedy_pick(pdf, min_tokens, max_tokens, block_ngram)
-        if chosen:
-            body = " ".join(pdf.set_index("spos").loc[sorted(chosen), "sentence"].astype(str))
-        else:
-            top = pdf.sort_values("rank").iloc[0]
-            body = " ".join(str(top["sentence"]).split()[:max_tokens])
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "summary": [body]})
-
-    picked = scored.groupBy(key).applyInPandas(pick, schema=f"{key} {key_type}, summary string")
-    return df.select(key).join(picked, key, "left")
+    ``block_ngram``-gram (lower-cased words) with those already taken, until
+    ``min_tokens`` is reached; if nothing fits, the top sentence cut to
+    ``max_tokens`` words; output in document order.
+
+    The pick is sequential, so it is a fold (``aggregate``) over each
+    document's rank-sorted sentence array - a native expression whose input is
+    bounded by that one document."""
+    scored = sentence_scores(df, key, text)
+    words = F.transform(tokens(F.col("sentence")), F.lower)
+    grams = ngrams(words, block_ngram) if block_ngram else F.array().cast("array<string>")
+    per_doc = (scored.groupBy(key)
+               .agg(F.array_sort(F.collect_list(F.struct("rank", "spos", "n_tokens", "sentence",
+                                                         grams.alias("grams")))).alias("s")))
+    init = F.struct(F.lit(0).alias("used"),
+                    F.array().cast("array<struct<spos:int,sentence:string>>").alias("picked"),
+                    F.array().cast("array<string>").alias("seen"))
+
+    def step(acc, x):
+        stop = (F.size(acc["picked"]) > 0) & (acc["used"] >= min_tokens)
+        too_long = acc["used"] + x["n_tokens"] > max_tokens
+        blocked = F.arrays_overlap(acc["seen"], x["grams"]) if block_ngram else F.lit(False)
+        take = F.struct((acc["used"] + x["n_tokens"]).alias("used"),
+                        F.concat(acc["picked"], F.array(F.struct(x["spos"].alias("spos"),
+                                                                 x["sentence"].alias("sentence")))).alias("picked"),
+                        F.concat(acc["seen"], x["grams"]).alias("seen"))
+        return F.when(stop | too_long | F.coalesce(blocked, F.lit(False)), acc).otherwise(take)
+
+    picked = F.aggregate("s", init, step)["picked"]
+    body = F.array_join(F.transform(F.array_sort(picked), lambda p: p["sentence"]), " ")
+    fallback = F.array_join(F.slice(tokens(F.element_at("s", 1)["sentence"]), 1, max_tokens), " ")
+    out = per_doc.select(key, F.when(F.size(picked) > 0, body).otherwise(fallback).alias("summary"))
+    return df.select(key).join(out, key, "left")
 
 
 def summarise_with(df: DataFrame, key: str, text: str, make_fn: Callable[[], Callable[[str], str]],

@@ -74,3 +74,23 @@ def test_doc_top_terms_golden(spark):
     df = spark.createDataFrame([(1, "b a a c b a"), (2, "")], "k int, t string")
     out = terms.doc_top_terms(df.select("k", tk.tokens(F.col("t")).alias("tok")), "k", "tok", 2)
     assert dict(out.collect()) == {1: "a + b", 2: "No Topic"}
+
+
+def test_summarise_matches_reference_pick(spark):
+    import pandas as pd
+
+    from conftest import SMOKE
+    from skein.operators import summarise as su
+    from skein.sources import fixtures as fx
+    d = fx.table(spark, SMOKE, "documents").select("doc_id", "text")
+    for mn, mx, block in ((40, 150, 0), (80, 150, 2), (0, 150, 0), (5, 8, 1)):
+        got = dict(su.summarise(d, "doc_id", "text", mn, mx, block).collect())
+        sc = su.sentence_scores(d, "doc_id", "text").toPandas()
+        for doc, pdf in sc.groupby("doc_id"):
+            chosen = su.greedy_pick(pdf, mn, mx, block)
+            if chosen:
+                want = " ".join(pdf.set_index("spos").loc[sorted(chosen), "sentence"].astype(str))
+            else:
+                want = " ".join(str(pdf.sort_values("rank").iloc[0]["sentence"]).split()[:mx])
+            assert got[doc] == want, (doc, mn, mx, block)
+        assert isinstance(pd.__version__, str)
