@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skein.functions.stem import stem_tokens
 from skein.functions.tokens import ngrams, rouge_tokens, symbol_tokens, token_f1
 
 BLEU_ORDERS = (1, 2, 3, 4)
@@ -28,7 +29,7 @@ def _tag(label: str, side: int):
 
 def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
                   rouge_orders: Sequence[int] = (1, 2), bleu: bool = True,
-                  carry: Mapping[str, Column] | None = None) -> DataFrame:
+                  carry: Mapping[str, Column] | None = None, stem: bool = False) -> DataFrame:
     """(key, <label>_overlap, <label>_ref, <label>_hyp ... , *carry).
 
     One projection tokenises each side once; one Generate emits every tagged
@@ -39,6 +40,8 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     without a shuffle."""
     carry = dict(carry or {})
     toks = {"rr": rouge_tokens(F.col(ref)), "rh": rouge_tokens(F.col(hyp))}
+    if stem:
+        toks = {k: stem_tokens(v) for k, v in toks.items()}
     if bleu:
         toks.update(br=symbol_tokens(F.col(ref)), bh=symbol_tokens(F.col(hyp)))
     # Token arrays are materialised once as columns; the n-gram lambdas then
@@ -96,14 +99,18 @@ def bleu_col(o: DataFrame):
 
 
 def score_pairs(df: DataFrame, key: str, ref: str, hyp: str, rouge_l: bool = False,
-                carry: Sequence[str] | Mapping[str, Column] = ()) -> DataFrame:
+                carry: Sequence[str] | Mapping[str, Column] = (), stem: bool = False) -> DataFrame:
     """Q1, Q2, Q5, Q6 (and Q3 when asked): one row per key with rouge1,
-    rouge2, bleu, token_f1 [, rougeL] and the ``carry`` columns."""
+    rouge2, bleu, token_f1 [, rougeL] and the ``carry`` columns; ``stem``
+    applies Porter stemming to the ROUGE tokens (Q4)."""
     extra = dict(carry) if isinstance(carry, Mapping) else {c: F.col(c) for c in carry}
     per_row = {"token_f1": token_f1(F.col(ref), F.col(hyp))}
     if rouge_l:
-        per_row["rougeL"] = rouge_l_f(rouge_tokens(F.col(ref)), rouge_tokens(F.col(hyp)))
-    o = gram_overlaps(df, key, ref, hyp, carry={**per_row, **extra})
+        rt, ht = rouge_tokens(F.col(ref)), rouge_tokens(F.col(hyp))
+        if stem:
+            rt, ht = stem_tokens(rt), stem_tokens(ht)
+        per_row["rougeL"] = rouge_l_f(rt, ht)
+    o = gram_overlaps(df, key, ref, hyp, carry={**per_row, **extra}, stem=stem)
     return o.select(key, rouge_n_col(o, 1).alias("rouge1"), rouge_n_col(o, 2).alias("rouge2"),
                     bleu_col(o).alias("bleu"), *per_row, *extra)
 

@@ -787,14 +787,15 @@ def summarise_with(spark, sf):
 @register("evaluate_model", None)
 def evaluate_model(spark, sf):
     """Q9: exact 80/20 split -> extractive summaries of the test documents ->
-    ROUGE-1/2/L, BLEU, token F1 -> one row of averages."""
+    ROUGE-1/2/L (stemmed, as the reference scores), BLEU, token F1 -> one row
+    of averages."""
     p = fx.pairs(spark, sf)
     _, test = prep.split_exact(p, "doc_id", 0.2, 42)
     pre = su.PRESETS["pipeline"]
     gen = su.summarise(test.select("doc_id", "document"), "doc_id", "document",
                        pre["min_tokens"], pre["max_tokens"], pre["block_ngram"])
     pairs_df = test.select("doc_id", "summary").join(gen.withColumnRenamed("summary", "predicted"), "doc_id")
-    s = qa.score_pairs(pairs_df, "doc_id", "summary", "predicted", rouge_l=True)
+    s = qa.score_pairs(pairs_df, "doc_id", "summary", "predicted", rouge_l=True, stem=True)
     e = qa.evaluate(s, metrics=["rouge1", "rouge2", "rougeL", "bleu", "token_f1"])
     return e.select(*[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL", "bleu", "token_f1")], "n")
 
@@ -819,3 +820,10 @@ def thread_stream(spark, sf):
     schema = fx.table(spark, sf, "documents").select("doc_id", "text").schema
     th.thread_stream(spark, sf, "documents.parquet", schema, "doc_id", "text", sink, ckpt)
     return spark.read.parquet(sink)
+
+
+@register("rouge_stemmed", None)
+def rouge_stemmed(spark, sf):
+    """Q1-Q4: ROUGE-1/2/L with Porter stemming (tokens over 3 characters)."""
+    s = qa.score_pairs(fx.pairs3(spark, sf), "doc_id", "summary", "predicted_summary", rouge_l=True, stem=True)
+    return s.select("doc_id", *[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL")])

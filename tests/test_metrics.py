@@ -94,3 +94,27 @@ def test_summarise_matches_reference_pick(spark):
                 want = " ".join(str(pdf.sort_values("rank").iloc[0]["sentence"]).split()[:mx])
             assert got[doc] == want, (doc, mn, mx, block)
         assert isinstance(pd.__version__, str)
+
+
+def test_porter_published_examples():
+    from skein.functions.stem import porter, stem_token
+    cases = {"caresses": "caress", "ponies": "poni", "ties": "ti", "caress": "caress", "cats": "cat",
+             "feed": "feed", "agreed": "agre", "plastered": "plaster", "bled": "bled", "motoring": "motor",
+             "sing": "sing", "conflated": "conflat", "troubled": "troubl", "sized": "size", "hopping": "hop",
+             "tanned": "tan", "falling": "fall", "hissing": "hiss", "fizzed": "fizz", "failing": "fail",
+             "filing": "file", "happy": "happi", "sky": "sky", "relational": "relat", "conditional": "condit",
+             "rational": "ration", "valenci": "valenc", "digitizer": "digit", "generalizations": "gener",
+             "oscillators": "oscil", "hopeful": "hope", "goodness": "good", "revival": "reviv",
+             "adjustable": "adjust", "controll": "control", "roll": "roll", "probate": "probat", "rate": "rate",
+             "cease": "ceas", "adoption": "adopt"}
+    for w, want in cases.items():
+        assert porter(w) == want, (w, porter(w), want)
+    assert stem_token("tie") == "tie"      # tokens of 3 characters or fewer are kept
+    assert stem_token("cats") == "cat"
+
+
+def test_rouge_with_stemming(spark):
+    df = spark.createDataFrame([(1, "the cats were running", "the cat was run")], "k int, ref string, hyp string")
+    plain = qa.score_pairs(df, "k", "ref", "hyp").first()["rouge1"]
+    stemmed = qa.score_pairs(df, "k", "ref", "hyp", stem=True).first()["rouge1"]
+    assert stemmed > plain and math.isclose(stemmed, 2 * (3 / 4) * (3 / 4) / 1.5)
