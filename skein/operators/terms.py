@@ -7,8 +7,10 @@ present everywhere is collapsed inside its task before anything is shuffled.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein import fixed
 
@@ -98,9 +100,7 @@ def batched(df: DataFrame, size: int) -> DataFrame:
     """(partition, batch) for every row: batches of ``size`` consecutive
     rows inside each partition, numbered in ``mapInPandas`` (no global row
     number, no shuffle)."""
-    import pandas as pd
     from pyspark import TaskContext
-    from pyspark.sql import types as T
 
     schema = T.StructType(list(df.schema.fields) + [T.StructField("partition", T.IntegerType()),
                                                      T.StructField("batch", T.LongType())])
@@ -114,3 +114,74 @@ def batched(df: DataFrame, size: int) -> DataFrame:
             yield pdf.assign(partition=pid, batch=(idx // size).to_numpy(dtype="int64"))
 
     return df.mapInPandas(run, schema=schema)
+
+
+UNKNOWN_PIECE = "[UNK]"
+CONTINUATION = "##"
+
+
+def piece_vocabulary(df: DataFrame, tok: str, size: int = 7000) -> DataFrame:
+    """(piece): the ``size`` most frequent words plus every character seen, as
+    a start piece and as a continuation piece. Bounded by ``size`` plus the
+    alphabet, so it can be shipped to every task."""
+    words = vocabulary(df, tok, size).select(F.col("term").alias("piece"))
+    distinct_words = df.select(F.explode_outer(tok).alias("w")).filter(F.col("w").isNotNull()).distinct()
+    chars = (distinct_words.select(F.explode(F.split(F.col("w"), "")).alias("c"))
+             .filter(F.col("c") != "").distinct())
+    return words.unionByName(chars.select(F.col("c").alias("piece"))).unionByName(
+        chars.select(F.concat(F.lit(CONTINUATION), F.col("c")).alias("piece"))).distinct()
+
+
+def word_pieces(words, vocab: set[str], max_chars: int = 100):
+    """Greedy longest-match split of each word; a word with an unmatched part
+    (or longer than ``max_chars``) becomes one unknown piece."""
+    out = []
+    for w in words:
+        if len(w) > max_chars:
+            out.append(UNKNOWN_PIECE)
+            continue
+        start, pieces = 0, []
+        while start < len(w):
+            end, cur = len(w), None
+            while start < end:
+                sub = w[start:end] if start == 0 else CONTINUATION + w[start:end]
+                if sub in vocab:
+                    cur = sub
+                    break
+                end -= 1
+            if cur is None:
+                pieces = [UNKNOWN_PIECE]
+                break
+            pieces.append(cur)
+            start = end
+        out.extend(pieces)
+    return out
+
+
+def wordpiece(df: DataFrame, tok: str, vocab: DataFrame, out: str = "pieces", max_vocab: int = 100_000) -> DataFrame:
+    """Word pieces for a token-array column. The vocabulary table is
+    checked against ``max_vocab`` rows before it is shipped to the tasks;
+    each task memoises the split of every distinct word it meets."""
+    rows = vocab.limit(max_vocab + 1).collect()
+    if len(rows) > max_vocab:
+        raise ValueError(f"piece vocabulary larger than {max_vocab} rows")
+    pieces = frozenset(r[0] for r in rows)
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def split_words(arrs: pd.Series) -> pd.Series:
+        memo: dict = {}
+
+        def one(a):
+            if a is None:
+                return None
+            res = []
+            for w in a:
+                p = memo.get(w)
+                if p is None:
+                    p = memo[w] = word_pieces([w], pieces)
+                res.extend(p)
+            return res
+
+        return arrs.map(one)
+
+    return df.withColumn(out, split_words(F.col(tok)))

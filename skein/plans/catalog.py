@@ -827,3 +827,14 @@ def rouge_stemmed(spark, sf):
     """Q1-Q4: ROUGE-1/2/L with Porter stemming (tokens over 3 characters)."""
     s = qa.score_pairs(fx.pairs3(spark, sf), "doc_id", "summary", "predicted_summary", rouge_l=True, stem=True)
     return s.select("doc_id", *[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL")])
+
+
+@register("wordpiece", None)
+def wordpiece(spark, sf):
+    """Word pieces of every document over a corpus-built piece vocabulary
+    (7,000 words plus single-character pieces)."""
+    d = fx.table(spark, sf, "documents").select("doc_id", tk.word_tokens(F.col("text")).alias("t"))
+    vocab = terms.piece_vocabulary(d, "t", 7000)
+    w = terms.wordpiece(d, "t", vocab)
+    return w.select("doc_id", F.size("t").alias("n_words"), F.size("pieces").alias("n_pieces"),
+                    F.array_join("pieces", " ").alias("pieces"))

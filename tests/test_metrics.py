@@ -118,3 +118,16 @@ def test_rouge_with_stemming(spark):
     plain = qa.score_pairs(df, "k", "ref", "hyp").first()["rouge1"]
     stemmed = qa.score_pairs(df, "k", "ref", "hyp", stem=True).first()["rouge1"]
     assert stemmed > plain and math.isclose(stemmed, 2 * (3 / 4) * (3 / 4) / 1.5)
+
+
+def test_word_pieces_greedy_longest_match(spark):
+    from skein.operators.terms import piece_vocabulary, word_pieces, wordpiece
+    vocab = {"un", "##aff", "##able", "aff", "##a", "##b", "##l", "##e", "a", "b"}
+    assert word_pieces(["unaffable"], vocab) == ["un", "##aff", "##able"]
+    assert word_pieces(["able"], vocab) == ["a", "##b", "##l", "##e"]
+    assert word_pieces(["xyz"], vocab) == ["[UNK]"]
+    df = spark.createDataFrame([(1, ["aa", "ab", "aa"]), (2, ["bb"])], "k int, t array<string>")
+    v = piece_vocabulary(df, "t", 1)
+    assert {r[0] for r in v.collect()} == {"aa", "a", "b", "##a", "##b"}
+    got = dict(wordpiece(df, "t", v).select("k", "pieces").collect())
+    assert got == {1: ["aa", "a", "##b", "aa"], 2: ["b", "##b"]}
