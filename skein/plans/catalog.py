@@ -819,7 +819,7 @@ def thread_stream(spark, sf):
     sink, ckpt = th.sink_paths(base)
     schema = fx.table(spark, sf, "documents").select("doc_id", "text").schema
     th.thread_stream(spark, sf, "documents.parquet", schema, "doc_id", "text", sink, ckpt)
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).select("doc_id", "summary", "share_url", "hashtag_line")
 
 
 @register("rouge_stemmed", None)
