@@ -54,14 +54,20 @@ def doc_top_terms(df: DataFrame, key: str, tok: str, k: int = 5, out: str = "top
     return top.select(key, F.when(F.size("t") > 0, joined).otherwise(F.lit(fixed.NO_TOPIC)).alias(out))
 
 
+BROADCAST_VOCAB_ROWS = 1_000_000
+
+
 def encode(df: DataFrame, key: str, tok: str, vocab: DataFrame, max_len: int,
-           prefix: str = "input") -> DataFrame:
+           prefix: str = "input", small_vocab: bool | None = None) -> DataFrame:
     """Token ids for one text column: 0 = pad, 1 = unknown, 2.. by vocabulary
-    rank. The vocabulary is capped (``size``) so the broadcast side is bounded.
-    Output: (key, ids, length) truncated to ``max_len``."""
+    rank, truncated to the model input length ``max_len`` (as the model's own
+    tokenizer truncates). The vocabulary is broadcast only when its row count
+    is within ``BROADCAST_VOCAB_ROWS`` (checked unless the caller knows)."""
     ids = vocab.select(F.col("term"), (F.col("rank") + 1).cast("int").alias("id"))
+    if small_vocab is None:
+        small_vocab = ids.limit(BROADCAST_VOCAB_ROWS + 1).count() <= BROADCAST_VOCAB_ROWS
     exploded = df.select(key, F.posexplode_outer(tok).alias("pos", "term")).filter(F.col("pos") < max_len)
-    joined = exploded.join(F.broadcast(ids), "term", "left")
+    joined = exploded.join(F.broadcast(ids) if small_vocab else ids, "term", "left")
     return (joined.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(1)).alias("id")))).alias("s"))
             .select(key, F.transform("s", lambda s: s["id"]).alias(f"{prefix}_ids")))
@@ -74,8 +80,9 @@ def encode_pairs(df: DataFrame, key: str, doc_tok: str, sum_tok: str, vocab: Dat
     ``pad='longest'`` pads to the longest row (one extra global max, a
     one-row aggregate), ``pad='max'`` to ``max_in`` / ``max_out``."""
     base = df.select(key)
-    enc_in = encode(df, key, doc_tok, vocab, max_in, "input")
-    enc_out = encode(df, key, sum_tok, vocab, max_out, "label")
+    small = vocab.limit(BROADCAST_VOCAB_ROWS + 1).count() <= BROADCAST_VOCAB_ROWS
+    enc_in = encode(df, key, doc_tok, vocab, max_in, "input", small)
+    enc_out = encode(df, key, sum_tok, vocab, max_out, "label", small)
     t = (base.join(enc_in, key, "left").join(enc_out, key, "left")
          .withColumns({"input_ids": F.coalesce("input_ids", F.array().cast("array<int>")),
                        "label_ids": F.coalesce("label_ids", F.array().cast("array<int>"))}))
