@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from skein import fixed
 from skein.functions.tokens import WORD_RUN, sentiment_label
+from skein.session import cut_lineage
 
 BROADCAST_ROWS = 2_000_000
 
@@ -59,13 +60,20 @@ def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFr
     ex = rows.select(key, "column", "is_null", "amp", "but", "caps_mix", F.explode_outer(occ).alias("o"))
     ex = ex.select(key, "column", "is_null", "amp", "but", "caps_mix", "o.*")
 
-    # One size check for the whole lexicon decides how both sides join.
+    # The lexicon is read by four lookups (token and its three predecessors):
+    # checkpoint it once into the shared folder so its lineage (possibly a
+    # whole-corpus aggregate) runs once, then one size check decides how the
+    # lookups join.
+    lexicon = cut_lineage(lexicon.select("token", "valence", "kind"))
     small = lexicon.count() <= broadcast_rows
     words = lexicon.filter(F.col("kind") == "word").select("token", "valence")
     mods = lexicon.filter(F.col("kind") != "word").select("token", "kind")
     if small:
         words, mods = F.broadcast(words), F.broadcast(mods)
     ex = ex.join(words, "token", "left")
+    # Only lexicon words need their predecessors; one anchor row per text
+    # (position 0, or the empty-text row) keeps every (key, column) alive.
+    ex = ex.filter(F.col("valence").isNotNull() | F.col("pos").isNull() | (F.col("pos") == 0))
     for d in (1, 2, 3):
         m = mods.select(F.col("token").alias(f"p{d}"), F.col("kind").alias(f"k{d}"))
         ex = ex.join(m, f"p{d}", "left")
