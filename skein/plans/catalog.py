@@ -840,3 +840,21 @@ def wordpiece(spark, sf):
     w = terms.wordpiece(d, "t", vocab)
     return w.select("doc_id", F.size("t").alias("n_words"), F.size("pieces").alias("n_pieces"),
                     F.array_join("pieces", " ").alias("pieces"))
+
+
+@register("series_filter", f"SELECT doc_id, Type, value FROM (" + " UNION ALL ".join(
+    f"SELECT doc_id, '{n}' AS Type, round({q.jaccard(a, b)}, 6) AS value FROM ({fx.SQL['pairs3']})"
+    for n, a, b in _JACCARD_PAIRS) + ") WHERE Type = 'jaccard_summary_predicted'")
+def series_filter(spark, sf):
+    """One series of the long (Type, value) table, as each density curve
+    selects its own series."""
+    return melt(spark, sf).filter(F.col("Type") == "jaccard_summary_predicted")
+
+
+@register("row_ids", None)
+def row_ids(spark, sf):
+    """P10: stable ids for the combined documents + benchmark table, hashed
+    from the source name and its key (identical on every re-run)."""
+    docs = fx.table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("key"), "text")
+    bench = fx.table(spark, sf, "benchmark").select(F.lit("benchmark").alias("src"), F.col("item_id").alias("key"), "text")
+    return prep.with_row_id(io.combine([docs, bench]), ["src", "key"]).select("src", "key", "row_id")
