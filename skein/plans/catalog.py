@@ -612,6 +612,21 @@ def metric_summary(spark, sf):
     return dist.metric_summary(_jaccard_raw(spark, sf), _J_COLS)
 
 
+_QUANTS = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+
+
+@register("metric_quantiles", f"WITH r AS (SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY x) AS rk, "
+                              f"count(*) OVER (PARTITION BY series) AS n FROM ({_J_LONG_SQL}) WHERE x IS NOT NULL) "
+                              "SELECT series, " + ", ".join(f"min(x) FILTER (WHERE rk >= ceil({p} * n)) AS {c}"
+                                                            for c, p in _QUANTS) + " FROM r GROUP BY series")
+def metric_quantiles(spark, sf):
+    """D4 quartiles of the three Jaccard series: a mergeable sketch (rank
+    error below n / 10,000, so exact at the checked size), bounded memory per
+    task however large a series is."""
+    q = dist.metric_quantiles(_jaccard_raw(spark, sf), _J_COLS, [p for _, p in _QUANTS])
+    return q.select("series", *[F.col("q")[i].alias(c) for i, (c, _) in enumerate(_QUANTS)])
+
+
 # ---------------------------------------------------------------- hashtags (H)
 from skein.operators import tags as tg  # noqa: E402
 
