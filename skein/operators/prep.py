@@ -50,7 +50,12 @@ def _kth_smallest(df: DataFrame, hcol: str, key: str, k: int):
     while True:
         scope = df.filter(F.startswith(F.col(hcol), F.lit(prefix))) if prefix else df
         n_scope = scope.count()
-        if n_scope <= _SELECT_FINAL or len(prefix) >= 32:
+        if n_scope > _SELECT_FINAL and len(prefix) >= 32:
+            # Only repeated keys share a full digest: the rows cannot be told
+            # apart by (hash, key), and ranking them would pull the whole
+            # group to one place.
+            raise ValueError(f"split key {key!r} repeats: {n_scope} rows share one value")
+        if n_scope <= _SELECT_FINAL:
             rows = scope.orderBy(hcol, key).select(hcol, key).limit(k - before).collect()
             last = rows[-1]
             return last[0], last[1]

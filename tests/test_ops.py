@@ -36,6 +36,23 @@ def test_split_exact_radix_path(spark, monkeypatch):
     assert train.count() == 350
 
 
+def test_split_exact_rejects_repeated_key(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(prep, "_SELECT_FINAL", 3)
+    d = spark.range(0, 40).select(F.lit(5).alias("k"))
+    with pytest.raises(ValueError, match="repeats"):
+        prep.split_exact(d, "k", 0.5, 1)
+
+
+def test_metric_quantiles_exact_ranks(spark):
+    vals = [((i * 37) % 101) / 7.0 for i in range(301)]
+    df = spark.createDataFrame([(v, -v) for v in vals], "x double, y double")
+    got = {r["series"]: list(r["q"]) for r in dist.metric_quantiles(df, ["x", "y"], [0.1, 0.5, 0.9]).collect()}
+    for name, col in (("x", vals), ("y", [-v for v in vals])):
+        s = sorted(col)
+        assert got[name] == [s[math.ceil(p * len(s)) - 1] for p in (0.1, 0.5, 0.9)]
+
+
 def test_split_approx_partitions_rows(spark):
     d = fx.table(spark, SMOKE, "documents").select("doc_id")
     train, test = prep.split_approx(d, "doc_id", 0.2)
