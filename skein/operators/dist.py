@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.session import cut_lineage
+
 
 def stack(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(series, x) for the given numeric columns, nulls dropped."""
@@ -47,11 +49,18 @@ def density(df: DataFrame, cols: Sequence[str], lo: float = -1.0, hi: float = 1.
     binned row emits its grid contributions through a Generate (no join of
     the grid with the data). Bandwidth h = stddev_samp x n^(-1/5); y is null
     when h = 0."""
-    long = stack(df, cols)
-    stats = long.groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"))
-    stats = stats.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), -0.2))
-    binned = (long.groupBy("series", (F.floor(F.col("x") * resolution + 0.5) / resolution).alias("b"))
-              .agg(F.count(F.lit(1)).alias("c")))
+    long = stack(df, cols).withColumn("b", F.floor(F.col("x") * resolution + 0.5) / resolution)
+    # Bin counts and per-series statistics come out of one grouping-sets
+    # aggregate (one Expand, one partial aggregate, one exchange). Its result
+    # (one row per bin, plus one per series) is checkpointed into the shared
+    # folder, so the input - often a whole scoring job - runs once although
+    # two branches read it; no series is ever gathered into one task.
+    agg = cut_lineage(long.groupingSets([["series", "b"], ["series"]], "series", "b")
+                      .agg(F.count(F.lit(1)).alias("c"), F.stddev_samp("x").alias("sd"),
+                           F.grouping_id().alias("gid")))
+    stats = (agg.filter(F.col("gid") == 1)
+             .select("series", F.col("c").alias("n"), (F.col("sd") * F.pow(F.col("c").cast("double"), -0.2)).alias("h")))
+    binned = agg.filter(F.col("gid") == 0).select("series", "b", "c")
     g = F.lit(lo) + F.lit(hi - lo) * F.col("i") / (points - 1)
     contrib = (binned.join(F.broadcast(stats), "series")
                .select("series", "b", "c", "n", "h", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
