@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.tokens import ngrams, sentences, tokens, word_tokens
+from skein.operators.terms import BROADCAST_VOCAB_ROWS
+from skein.session import cut_lineage
 
 # Named generation presets: (max_in, min_tokens, max_tokens, block_ngram).
 # Beams and length penalties have no extractive meaning; they are passed to a
@@ -48,8 +50,9 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     Plan: sentences and their terms are exploded once; the document count of
     a term is a window over (key, term) and its first occurrence marks the
     document frequency, both inside the key's partition. Only the corpus idf
-    (one partial aggregate by term) and its join move data by term; one
-    repartition by key then serves the per-sentence sum and the rank window."""
+    (one partial aggregate by term) moves data by term; its result is
+    broadcast when a row-count check allows, else joined by term and re-keyed
+    once for the per-sentence sum and the rank window."""
     n = df.count()
     sents = (df.select(key, F.posexplode_outer(sentences(F.col(text))).alias("spos", "sentence"))
              .filter(F.col("sentence").isNotNull()))
@@ -62,7 +65,16 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     idf = (occ.filter(F.col("first") & F.col("term").isNotNull()).groupBy("term")
            .agg(F.count(F.lit(1)).alias("df"))
            .select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
-    mass = (occ.join(idf, "term", "left").repartition(key)
+    # The idf table grows with the vocabulary, not the corpus: materialised
+    # once in the shared folder, it is broadcast under a checked row count -
+    # then the sentence terms never leave their document's partition - and
+    # joined by term (then re-keyed) above it.
+    idf = cut_lineage(idf)
+    if idf.limit(BROADCAST_VOCAB_ROWS + 1).count() <= BROADCAST_VOCAB_ROWS:
+        joined = occ.join(F.broadcast(idf), "term", "left")
+    else:
+        joined = occ.join(idf, "term", "left").repartition(key)
+    mass = (joined
             .groupBy(key, "spos", "sentence", "n_tokens")
             .agg(F.sum(F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))).alias("mass")))
     scored = mass.withColumn("score", F.round(F.when(F.col("n_tokens") > 0, F.col("mass") / F.col("n_tokens"))
