@@ -27,8 +27,12 @@ def stack(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
     """(series, bin, lo, hi, n), equal-width bins over each series' own
     [min, max]; bin = least(floor((x - min) / w), bins - 1); one bin if
-    max = min."""
-    long = stack(df, cols)
+    max = min.
+
+    The bins need each series' range first, so the stacked values are read
+    twice; they are checkpointed into the shared folder (a few numbers per
+    row) so the input - e.g. a tokenising similarity pass - runs once."""
+    long = cut_lineage(stack(df, cols))
     rng = long.groupBy("series").agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
     w = (F.col("mx") - F.col("mn")) / bins
     b = (F.when(F.col("mx") == F.col("mn"), F.lit(0))
