@@ -33,11 +33,12 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     """(key, <label>_overlap, <label>_ref, <label>_hyp ... , *carry).
 
     One projection tokenises each side once; one Generate emits every tagged
-    n-gram; per-row values (gram totals and the ``carry`` columns) ride along
-    as one struct grouped along with the key, so no join back to the input is
-    needed. ``explode_outer`` keeps rows that have
-    no gram at all. On input co-located by ``key`` both aggregates run
-    without a shuffle."""
+    n-gram; the per-row ``carry`` values ride along as one small struct
+    grouped along with the key, so no join back to the input is needed. Gram
+    totals per side are sums of the per-gram counts (the number of n-gram
+    positions), so they need not be carried. ``explode_outer`` keeps rows
+    that have no gram at all. On input co-located by ``key`` both aggregates
+    run without a shuffle."""
     carry = dict(carry or {})
     toks = {"rr": rouge_tokens(F.col(ref)), "rh": rouge_tokens(F.col(hyp))}
     if stem:
@@ -54,23 +55,28 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     for label, n, r, h in specs:
         for side, arr in ((0, r), (1, h)):
             tagged.append(F.transform(ngrams(arr, n), _tag(label, side)))
-    info = {}
-    for label, n, r, h in specs:
-        info[f"{label}_ref"] = F.greatest(F.size(r) - n + 1, F.lit(0))
-        info[f"{label}_hyp"] = F.greatest(F.size(h) - n + 1, F.lit(0))
-    info.update({k: F.col(k) for k in carry})
-    ex = df.select(key, F.struct(*[v.alias(k) for k, v in info.items()]).alias("info"),
-                   F.explode_outer(F.flatten(F.array(*tagged))).alias("e"))
-    # ``info`` is functionally dependent on ``key``: as a grouping key it rides
-    # through both hash aggregates (a struct buffer would force a sort).
-    clipped = (ex.groupBy(key, "info", F.col("e.m").alias("m"), F.col("e.g").alias("g"))
+    group = [key]
+    cols = [key]
+    if carry:
+        # ``info`` is functionally dependent on ``key``: as a grouping key it
+        # rides through both hash aggregates (a struct buffer would force a
+        # sort).
+        cols.append(F.struct(*[F.col(k) for k in carry]).alias("info"))
+        group.append("info")
+    ex = df.select(*cols, F.explode_outer(F.flatten(F.array(*tagged))).alias("e"))
+    clipped = (ex.groupBy(*group, F.col("e.m").alias("m"), F.col("e.g").alias("g"))
                .agg(F.sum(F.when(F.col("e.s") == 0, 1).otherwise(0)).alias("cr"),
                     F.sum(F.when(F.col("e.s") == 1, 1).otherwise(0)).alias("ch")))
-    labels = [s[0] for s in specs]
-    ov = (clipped.groupBy(key, "info")
-          .agg(*[F.sum(F.when(F.col("m") == lab, F.least("cr", "ch"))).alias(f"{lab}_overlap") for lab in labels]))
-    return ov.select(key, *[F.coalesce(F.col(f"{lab}_overlap"), F.lit(0)).cast("bigint").alias(f"{lab}_overlap")
-                            for lab in labels], "info.*")
+    aggs = []
+    for label, _, _, _ in specs:
+        mine = F.col("m") == label
+        aggs += [F.sum(F.when(mine, F.least("cr", "ch"))).alias(f"{label}_overlap"),
+                 F.sum(F.when(mine, F.col("cr"))).alias(f"{label}_ref"),
+                 F.sum(F.when(mine, F.col("ch"))).alias(f"{label}_hyp")]
+    ov = clipped.groupBy(*group).agg(*aggs)
+    out = [F.coalesce(F.col(f"{label}_{part}"), F.lit(0)).cast("bigint" if part == "overlap" else "int")
+           .alias(f"{label}_{part}") for label, _, _, _ in specs for part in ("overlap", "ref", "hyp")]
+    return ov.select(key, *out, *(["info.*"] if carry else []))
 
 
 def _fmeasure(ov, n_ref, n_hyp):
