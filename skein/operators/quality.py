@@ -21,9 +21,9 @@ from skein.functions.tokens import ngrams, rouge_tokens, symbol_tokens, token_f1
 BLEU_ORDERS = (1, 2, 3, 4)
 
 
-def _tag(label: str, side: int):
+def _tag(metric: int, side: int):
     def f(g):
-        return F.struct(F.lit(label).alias("m"), F.lit(side).alias("s"), g.alias("g"))
+        return F.struct(F.lit(metric).alias("m"), F.lit(side).alias("s"), g.alias("g"))
     return f
 
 
@@ -51,10 +51,12 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     specs = [(f"rouge{n}", n, F.col("rr"), F.col("rh")) for n in rouge_orders]
     if bleu:
         specs += [(f"bleu{n}", n, F.col("br"), F.col("bh")) for n in BLEU_ORDERS]
+    # Grams are tagged with the metric's position in ``specs`` (an int is
+    # cheaper to hash and compare than the label string).
     tagged = []
-    for label, n, r, h in specs:
+    for i, (_, n, r, h) in enumerate(specs):
         for side, arr in ((0, r), (1, h)):
-            tagged.append(F.transform(ngrams(arr, n), _tag(label, side)))
+            tagged.append(F.transform(ngrams(arr, n), _tag(i, side)))
     group = [key]
     cols = [key]
     if carry:
@@ -68,8 +70,8 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
                .agg(F.sum(F.when(F.col("e.s") == 0, 1).otherwise(0)).alias("cr"),
                     F.sum(F.when(F.col("e.s") == 1, 1).otherwise(0)).alias("ch")))
     aggs = []
-    for label, _, _, _ in specs:
-        mine = F.col("m") == label
+    for i, (label, _, _, _) in enumerate(specs):
+        mine = F.col("m") == i
         aggs += [F.sum(F.when(mine, F.least("cr", "ch"))).alias(f"{label}_overlap"),
                  F.sum(F.when(mine, F.col("cr"))).alias(f"{label}_ref"),
                  F.sum(F.when(mine, F.col("ch"))).alias(f"{label}_hyp")]
