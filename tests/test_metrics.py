@@ -131,3 +131,48 @@ def test_word_pieces_greedy_longest_match(spark):
     assert {r[0] for r in v.collect()} == {"aa", "a", "b", "##a", "##b"}
     got = dict(wordpiece(df, "t", v).select("k", "pieces").collect())
     assert got == {1: ["aa", "a", "##b", "aa"], 2: ["b", "##b"]}
+
+
+def _brute(ref, hyp):
+    """ROUGE-1/2 F and BLEU-4 straight from their definitions (plain words)."""
+    from collections import Counter
+    r, h = ref.split(), hyp.split()
+
+    def grams(t, n):
+        return Counter(tuple(t[i:i + n]) for i in range(len(t) - n + 1))
+
+    def f(n):
+        gr, gh = grams(r, n), grams(h, n)
+        ov = sum((gr & gh).values())
+        if ov == 0:
+            return 0.0
+        p, rc = ov / max(sum(gh.values()), 1), ov / max(sum(gr.values()), 1)
+        return 2 * p * rc / (p + rc)
+
+    prec = []
+    for n in (1, 2, 3, 4):
+        gr, gh = grams(r, n), grams(h, n)
+        ov = sum((gr & gh).values())
+        if ov == 0 or not h:
+            return f(1), f(2), 0.0
+        prec.append(ov / sum(gh.values()))
+    bp = 1.0 if len(h) > len(r) else math.exp(1 - len(r) / len(h))
+    return f(1), f(2), bp * math.exp(sum(math.log(p) for p in prec) / 4)
+
+
+def test_gram_metrics_match_brute_force(spark):
+    import random
+    rnd = random.Random(3)
+    words = "a b c d e f".split()
+    rows = []
+    for k in range(60):
+        ref = " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 14)))
+        hyp = " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 14)))
+        rows.append((k, ref, hyp))
+    df = spark.createDataFrame(rows, "k int, ref string, hyp string")
+    got = {r["k"]: r for r in qa.score_pairs(df, "k", "ref", "hyp").collect()}
+    for k, ref, hyp in rows:
+        r1, r2, b = _brute(ref, hyp)
+        assert math.isclose(got[k]["rouge1"], r1, abs_tol=1e-12), (ref, hyp)
+        assert math.isclose(got[k]["rouge2"], r2, abs_tol=1e-12), (ref, hyp)
+        assert math.isclose(got[k]["bleu"], b, abs_tol=1e-12), (ref, hyp)
