@@ -56,9 +56,11 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     n = df.count()
     sents = (df.select(key, F.posexplode_outer(sentences(F.col(text))).alias("spos", "sentence"))
              .filter(F.col("sentence").isNotNull()))
-    sents = sents.withColumn("st", word_tokens(F.col("sentence"))).withColumn("n_tokens", F.size("st"))
-    occ = (sents.select(key, "spos", "sentence", "n_tokens", F.explode_outer("st").alias("term"))
-           .groupBy(key, "spos", "sentence", "n_tokens", "term").agg(F.count(F.lit(1)).alias("c")))
+    # Term rows carry only (key, spos): the sentence text is attached once per
+    # sentence at the end (a join on the same key partitioning), instead of
+    # being hashed and sorted with every term of the sentence.
+    occ = (sents.select(key, "spos", F.explode_outer(word_tokens(F.col("sentence"))).alias("term"))
+           .groupBy(key, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
     by_term = Window.partitionBy(key, "term")
     occ = occ.withColumns({"tf": F.sum("c").over(by_term),
                            "first": F.row_number().over(by_term.orderBy("spos")) == 1})
@@ -75,8 +77,10 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     else:
         joined = occ.join(idf, "term", "left").repartition(key)
     mass = (joined
-            .groupBy(key, "spos", "sentence", "n_tokens")
-            .agg(F.sum(F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))).alias("mass")))
+            .groupBy(key, "spos")
+            .agg(F.sum(F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))).alias("mass"),
+                 F.sum(F.when(F.col("term").isNotNull(), F.col("c")).otherwise(0)).cast("int").alias("n_tokens"))
+            .join(sents, [key, "spos"]))
     scored = mass.withColumn("score", F.round(F.when(F.col("n_tokens") > 0, F.col("mass") / F.col("n_tokens"))
                                               .otherwise(F.lit(0.0)), 6))
     w = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("spos"))
