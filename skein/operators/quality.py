@@ -47,7 +47,12 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
         toks.update(br=symbol_tokens(F.col(ref)), bh=symbol_tokens(F.col(hyp)))
     # Token arrays are materialised once as columns; the n-gram lambdas then
     # read them instead of re-running the tokeniser per index.
-    df = df.select(key, *[v.alias(k) for k, v in toks.items()], *[v.alias(k) for k, v in carry.items()])
+    # Co-locate each row's tokens by key at their narrowest (a few token
+    # arrays per row, far smaller than the tagged grams): both aggregates
+    # below then run without an exchange. On input already hash-partitioned
+    # by key with the same partition count, Spark drops this exchange.
+    df = df.select(key, *[v.alias(k) for k, v in toks.items()],
+                   *[v.alias(k) for k, v in carry.items()]).repartition(key)
     specs = [(f"rouge{n}", n, F.col("rr"), F.col("rh")) for n in rouge_orders]
     if bleu:
         specs += [(f"bleu{n}", n, F.col("br"), F.col("bh")) for n in BLEU_ORDERS]

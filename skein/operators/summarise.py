@@ -54,6 +54,12 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     broadcast when a row-count check allows, else joined by term and re-keyed
     once for the per-sentence sum and the rank window."""
     n = df.count()
+    # One exchange of the texts by key; every per-document step below (term
+    # counts, the (key, term) window, the per-sentence sum, the sentence join
+    # and the rank window) then stays inside the key's partition instead of
+    # shuffling term rows several times. Spark drops this exchange when the
+    # input is already hash-partitioned by key with the same count.
+    df = df.select(key, text).repartition(key)
     sents = (df.select(key, F.posexplode_outer(sentences(F.col(text))).alias("spos", "sentence"))
              .filter(F.col("sentence").isNotNull()))
     # Term rows carry only (key, spos): the sentence text is attached once per
