@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from skein.functions.stem import stem_tokens
 from skein.functions.tokens import ngrams, rouge_tokens, symbol_tokens, token_f1
+from skein.session import shuffle_partitions
 
 BLEU_ORDERS = (1, 2, 3, 4)
 
@@ -52,7 +53,7 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     # below then run without an exchange. On input already hash-partitioned
     # by key with the same partition count, Spark drops this exchange.
     df = df.select(key, *[v.alias(k) for k, v in toks.items()],
-                   *[v.alias(k) for k, v in carry.items()]).repartition(key)
+                   *[v.alias(k) for k, v in carry.items()]).repartition(shuffle_partitions(df), key)
     specs = [(f"rouge{n}", n, F.col("rr"), F.col("rh")) for n in rouge_orders]
     if bleu:
         specs += [(f"bleu{n}", n, F.col("br"), F.col("bh")) for n in BLEU_ORDERS]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.tokens import ngrams, sentences, tokens, word_tokens
 from skein.operators.terms import BROADCAST_VOCAB_ROWS
-from skein.session import cut_lineage
+from skein.session import cut_lineage, shuffle_partitions
 
 # Named generation presets: (max_in, min_tokens, max_tokens, block_ngram).
 # Beams and length penalties have no extractive meaning; they are passed to a
@@ -58,8 +58,9 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     # counts, the (key, term) window, the per-sentence sum, the sentence join
     # and the rank window) then stays inside the key's partition instead of
     # shuffling term rows several times. Spark drops this exchange when the
-    # input is already hash-partitioned by key with the same count.
-    df = df.select(key, text).repartition(key)
+    # input is already hash-partitioned by key with the same count. The count
+    # is fixed (not coalesced by AQE): the steps after it are CPU-heavy.
+    df = df.select(key, text).repartition(shuffle_partitions(df), key)
     sents = (df.select(key, F.posexplode_outer(sentences(F.col(text))).alias("spos", "sentence"))
              .filter(F.col("sentence").isNotNull()))
     # Term rows carry only (key, spos): the sentence text is attached once per

@@ -67,3 +67,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "tables", name)
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's shuffle partition count, for an explicit repartition by
+    key ahead of CPU-heavy per-key work (AQE would coalesce a keys-only
+    repartition into a few large tasks)."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
