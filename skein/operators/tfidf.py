@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators.terms import term_counts
+from skein.session import shuffle_partitions
 
 
 def fit_tfidf(df: DataFrame, key: str, tok: str, size: int | None = None) -> DataFrame:
@@ -56,10 +57,15 @@ def cosine_tfidf(df: DataFrame, key: str, cols: Sequence[str], pairs: Sequence[t
     exploded in a single Generate tagged by column, so all pairs share one
     aggregate on (key, term). Output: key + one column per pair (0 when a side
     has no known term)."""
-    fit_df = df.select(key, tok_fn(F.col(fit_on)).alias("__tok"))
+    # Every column is tokenised before one exchange of the token arrays by
+    # key; every per-key step below (counts, norms, per-term products, sums)
+    # then stays in its partition (on a wide scan: 4 exchanges instead of 6).
+    base = (df.select(key, *[tok_fn(F.col(c)).alias(f"__t{i}") for i, c in enumerate(cols)])
+            .repartition(shuffle_partitions(df), key))
+    fit_df = base.select(key, F.col(f"__t{list(cols).index(fit_on)}").alias("__tok"))
     idf = fit_tfidf(fit_df, key, "__tok", size)
-    tagged = F.flatten(F.array(*[F.transform(tok_fn(F.col(c)), _side(i)) for i, c in enumerate(cols)]))
-    ex = (df.select(key, F.explode_outer(tagged).alias("e")).filter(F.col("e").isNotNull())
+    tagged = F.flatten(F.array(*[F.transform(F.col(f"__t{i}"), _side(i)) for i in range(len(cols))]))
+    ex = (base.select(key, F.explode_outer(tagged).alias("e")).filter(F.col("e").isNotNull())
           .select(key, "e.side", "e.term"))
     tf = ex.groupBy(key, "side", "term").agg(F.count(F.lit(1)).alias("n"))
     w = tf.join(_idf_side(idf, size is not None), "term", "inner").withColumn("w", F.col("n") * F.col("idf"))
@@ -70,5 +76,5 @@ def cosine_tfidf(df: DataFrame, key: str, cols: Sequence[str], pairs: Sequence[t
     sims = per_term.groupBy(key).agg(*[
         F.sum(F.coalesce(F.col(f"w{idx[a]}") * F.col(f"w{idx[b]}"), F.lit(0.0))).alias(name)
         for name, a, b in pairs])
-    return (df.select(key).join(sims, key, "left")
+    return (base.select(key).join(sims, key, "left")
             .select(key, *[F.coalesce(F.col(name), F.lit(0.0)).alias(name) for name, _, _ in pairs]))
