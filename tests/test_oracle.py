@@ -41,3 +41,18 @@ def test_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(res.columns)
     assert canon(df.columns, df.collect()) == canon(res.columns, res.fetchall())
     assert not math.isnan(len(df.columns))
+
+
+WIDE_SCAN = ["pair_metrics", "evaluate_rollup", "sentence_scores", "cosine_tfidf", "key_phrases", "doc_top_terms"]
+
+
+@pytest.mark.parametrize("name", WIDE_SCAN)
+def test_wide_scan_plan_matches_oracle(spark, con, name, monkeypatch):
+    """The plan a cluster runs: scans wide enough that ``spread`` leaves them
+    alone, so the operators' own exchanges by key do the co-location."""
+    from skein.sources import fixtures as fx
+    monkeypatch.setattr(fx, "spread", lambda df, key=None: df)
+    q = REGISTRY[name]
+    df = q.run(spark, SMOKE)
+    res = con.sql(q.sql)
+    assert canon(df.columns, df.collect()) == canon(res.columns, res.fetchall())
