@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein import fixed
+from skein.session import shuffle_partitions
 
 
 def term_counts(df: DataFrame, key: str, tok: str) -> DataFrame:
@@ -42,6 +43,10 @@ def doc_top_terms(df: DataFrame, key: str, tok: str, k: int = 5, out: str = "top
     A one-topic model fit on a single document ranks its words by count, so
     the per-row model becomes one aggregate. ``row_number() <= k`` plans as a
     WindowGroupLimit, which also trims each task's rows before the shuffle."""
+    # One exchange of the token arrays by key (Spark drops it on input already
+    # partitioned by key): the counts, the per-key top-k and the final
+    # aggregate then stay in the key's partition.
+    df = df.select(key, tok).repartition(shuffle_partitions(df), key)
     # explode_outer keeps rows with no token (one null term), so every key
     # survives to the final aggregate without a join back to the input.
     counts = (df.select(key, F.explode_outer(tok).alias("term"))
