@@ -7,11 +7,6 @@ reproduces. They are stated plainly and in their natural order.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 # --- FIXED VALUES: slang dictionary (batch jobs), in its published order ---------
 SLANG = {
     "u": "you",
@@ -116,16 +111,24 @@ NO_TOPIC = "No Topic"
 TOPIC_JOIN = " + "
 SHARE_PREFIX = "https://twitter.com/intent/tweet?text="
 
+# --- FIXED VALUES: English stop words (181), in their published order -------------
+ENGLISH_STOP_WORDS = (
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves",
+    "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their",
+    "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are",
+    "was", "were", "be", "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an",
+    "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by", "for", "with", "about",
+    "against", "between", "into", "through", "during", "before", "after", "above", "below", "to", "from", "up",
+    "down", "in", "out", "on", "off", "over", "under", "again", "further", "then", "once", "here", "there", "when",
+    "where", "why", "how", "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no",
+    "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don",
+    "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll", "i'd", "you'd", "he'd", "she'd",
+    "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're", "they're", "i've", "we've", "you've",
+    "they've", "isn't", "aren't", "wasn't", "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't",
+    "won't", "wouldn't", "shan't", "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could", "here's",
+    "how's", "let's", "ought", "that's", "there's", "what's", "when's", "where's", "who's", "why's", "would",
+)
 
-@lru_cache(maxsize=None)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's English stop-word list (181 words), read from the Spark ML jar
-    that ships with pyspark, so no JVM is needed to build SQL or tests."""
-    import pyspark
 
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            raw = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-            return tuple(w.strip() for w in raw.splitlines() if w.strip())
-    raise RuntimeError("Spark ML jar with stop words not found")
+def english_stop_words() -> tuple[str, ...]:
+    return ENGLISH_STOP_WORDS

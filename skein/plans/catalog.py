@@ -7,6 +7,7 @@ that is the feature itself, as in ``sample_n`` or a top-k report).
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein import fixed
+from skein import fixed, session
 from skein.functions import text as tx
 from skein.functions import tokens as tk
 from skein.operators import prep
@@ -27,16 +28,20 @@ from skein.sources import io
 @dataclass
 class Query:
     run: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
+    sql: str | Callable[[], str] | None   # a callable is built when the statement is asked for
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | Callable[[], str] | None):
     def deco(fn):
-        REGISTRY[name] = Query(fn, sql)
-        return fn
+        @functools.wraps(fn)
+        def run(spark, sf):
+            session.ship_package(spark)
+            return fn(spark, sf)
+        REGISTRY[name] = Query(run, sql)
+        return run
     return deco
 
 

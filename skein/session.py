@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,12 +45,17 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "skein
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a scratch one only when
-    the session names none (local runs and tests). On a cluster the shared
-    folder in ``spark.checkpoint.dir`` is always used as is."""
+    a local session (one machine, so every task sees the folder) names none.
+    On a cluster the shared folder in ``spark.checkpoint.dir`` is always used
+    as is, and leaving it unset is an error: a machine-local folder would not
+    be readable by the other executors."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="skein-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -64,9 +70,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "tables", name)
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    Arrow functions find it wherever the job was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_skein_shipped", None) == sc.applicationId:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):  # else it was imported from a shipped archive already
+        archive = os.path.join(tempfile.mkdtemp(prefix="skein-ship-"), "skein-package.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, files in os.walk(package):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.join("skein", os.path.relpath(full, package)))
+        sc.addPyFile(archive)
+    sc._skein_shipped = sc.applicationId
 
 
 def shuffle_partitions(df: DataFrame) -> int:

@@ -11,7 +11,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein import fixed
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -134,5 +133,3 @@ SQL = {
                 "'[\\p{L}\\p{N}_]+')) AS token FROM documents))"),
     "topic_assignment": "SELECT doc_id, CAST(doc_id % 10 AS INTEGER) AS topic FROM documents",
 }
-# Shared with the oracle: the slang table as SQL rows.
-SLANG_ROWS = fixed.SLANG
