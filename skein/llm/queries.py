@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein import session
+from skein.llm import bpe
 from skein.llm import exact_dedup as ed
 from skein.llm.frames import table
 
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -41,3 +48,9 @@ NORM_SQL = f"translate(coalesce(text, ''), '{ed.UPPER}', '{ed.LOWER}')"
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ed.exact_dedup(docs, keep="largest").select("doc_id", *ed.OUTPUTS)
+
+
+@register("op9_bpe_lexicon")
+def op9_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, tokenizer_file(), outputs=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
