@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skein import session
 from skein.llm import bpe
 from skein.llm import exact_dedup as ed
+from skein.llm import sharding, warc
 from skein.llm.frames import table
 
 
@@ -40,6 +41,18 @@ def register(name: str, sql: str | None = None):
 NORM_SQL = f"translate(coalesce(text, ''), '{ed.UPPER}', '{ed.LOWER}')"
 
 
+@register("op2_warc_derivatives", warc.sql())
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.derivatives(warc.responses_of(pages)).withColumnRenamed("key", "page_id")
+
+
+@register("op6_differencing_shards")
+def op6_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, 8).select("doc_id", *sharding.OUTPUTS)
+
+
 @register("op7_exact_dedup", f"""
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
            row_number() OVER (PARTITION BY {NORM_SQL} ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
