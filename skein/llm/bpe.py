@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with a transducer lexicon.
 
 The words of a text are the pieces that the tokenizer's split pattern makes.
-Spark counts the words of the whole corpus; the ``lexicon_size`` most
-frequent ones (a documented size, ties by word) are encoded once and compiled
+Spark counts the words of the whole corpus; the most frequent
+ones (``lexicon_size`` at most, a documented size) are encoded once and compiled
 into a minimal acyclic transducer: states with equal futures are shared, and
 the outputs along a word's arcs add up to its place in the table of ids. The
 automaton is one block of bytes that the workers map into memory. Words that
@@ -25,9 +25,11 @@ import json
 import mmap
 import os
 import re
+import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.frames import col
+from skein.llm.frames import col, written
+from skein.llm.vec import in_parts
 
-LEXICON_SIZE = 131_072
-CACHE_ENTRIES = 400_000   # memoised chunks in a worker; only speed depends on it
-COUNT_ENTRIES = 300_000   # distinct chunks that a counting task holds before it hands them on
-LONG_WORD = 48            # bytes from which merging uses a heap
+LEXICON_SIZE = 262_144
+CACHE_ENTRIES = 600_000   # memoised words in a worker; only speed depends on it
+PART = 8 << 20             # characters that a worker encodes at once
+COUNT_ENTRIES = 300_000   # distinct words that a counting task holds before it hands them on
+LONG_WORD = 48            # bytes from which merging uses a heap, and the lexicon is not asked
 
 # --- FIXED VALUES: the split pattern of the tokenizer files -----------------------
 LETTERS, DIGITS = r"\p{L}", r"\p{N}"
@@ -66,31 +70,30 @@ def _pattern(letters: str, digits: str) -> str:
             .replace("{l}", letters).replace("{n}", digits))
 
 
+def _near(first: str) -> str:
+    """The characters below NEAR whose category begins with ``first``, as a class."""
+    return "".join(re.escape(c) for c in map(chr, range(NEAR)) if unicodedata.category(c)[0] == first)
+
+
+NEAR = 0x558   # below this, one bitmap of letters and numbers holds for every Unicode version in use
+_FAR = re.compile(f"[{chr(NEAR)}-{chr(0x10FFFF)}\x1c-\x1f]")   # re's white space also has 1C to 1F
 _ASCII = re.compile(_pattern("A-Za-z", "0-9"), re.ASCII)
+_LATIN = re.compile(_pattern(_near("L"), _near("N")))
 _ANY = regex.compile(_pattern(LETTERS, DIGITS))
 _LATE = re.compile(f"[{LATE}]")
 _OLD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}--[X]]+| ?[\p{N}--[X]]+| ?(?:[^\s\p{L}\p{N}]|[X])+|\s+(?!\S)|\s+"
                      .replace("X", LATE), regex.V1)
-# White space beside a space, or a space at an end: there the text must be split as a whole.
-_BESIDE = re.compile(r" (?:\s|\Z)|\s |\A\s")
 
 
 def words_of(text: str) -> list[str]:
     """The pieces between which no merge reaches."""
     if text.isascii():
         return _ASCII.findall(text)
+    if not _FAR.search(text):
+        return _LATIN.findall(text)
     return (_OLD if _LATE.search(text) else _ANY).findall(text)
 
 
-def chunks_of(text: str) -> list[str]:
-    """Parts that split the same alone as in the text: a lone space between
-    other characters always begins a word, a lone line end always is one."""
-    if _BESIDE.search(text) or "\n\n" in text:
-        return [text]
-    parts = text.replace("\n", " \n").split(" ")
-    return [parts[0], *[p if p[:1] == "\n" else " " + p for p in parts[1:]]]
-
-
 # ------------------------------------------------------------------ tokenizer file
 def byte_signs() -> dict[str, int]:
     """The printable character that stands for each byte in a byte-level
@@ -129,45 +132,42 @@ class Merger:
 
     def __init__(self, spec: dict):
         rows = np.frombuffer(spec["merges"], dtype=np.int32).reshape(-1, 3).tolist()
-        self.rank = {(a, b): (r, c) for r, (a, b, c) in enumerate(rows)}
+        self.rank = {(a, b): r for r, (a, b, _) in enumerate(rows)}
+        self.made = [c for _, _, c in rows]
         self.single = spec["bytes"]
 
     def ids(self, word: bytes) -> list[int]:
         ids = [self.single[b] for b in word]
         if len(ids) >= LONG_WORD:
             return self._by_heap(ids)
-        rank = self.rank
-        found = [rank.get(p) for p in zip(ids, ids[1:])]
-        while True:
-            best, at = None, -1
-            for i, r in enumerate(found):
-                if r is not None and (best is None or r[0] < best[0]):
-                    best, at = r, i
-            if best is None:
-                return ids
-            ids[at:at + 2] = [best[1]]
+        rank, none = self.rank.get, len(self.made)
+        found = [rank(p, none) for p in zip(ids, ids[1:])]
+        while found and (best := min(found)) < none:
+            at = found.index(best)
+            ids[at:at + 2] = [self.made[best]]
             del found[at]
             if at < len(found):
-                found[at] = rank.get((ids[at], ids[at + 1]))
+                found[at] = rank((ids[at], ids[at + 1]), none)
             if at:
-                found[at - 1] = rank.get((ids[at - 1], ids[at]))
+                found[at - 1] = rank((ids[at - 1], ids[at]), none)
+        return ids
 
     def _by_heap(self, ids: list) -> list[int]:
         n, rank = len(ids), self.rank
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(r[0], i, ids[i], ids[i + 1], r[1]) for i in range(n - 1) if (r := rank.get((ids[i], ids[i + 1])))]
+        heap = [(rank[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in rank]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, c = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = c, None, after[j]
+            ids[i], ids[j], after[i] = self.made[r], None, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for k in (before[i], i):
-                if k >= 0 and after[k] >= 0 and (r := rank.get((ids[k], ids[after[k]]))):
-                    heapq.heappush(heap, (r[0], k, ids[k], ids[after[k]], r[1]))
+                if k >= 0 and after[k] >= 0 and (p := (ids[k], ids[after[k]])) in rank:
+                    heapq.heappush(heap, (rank[p], k, *p))
         return [i for i in ids if i is not None]
 
 
@@ -229,12 +229,11 @@ def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
 
 
 class Lexicon:
-    """Look-up in a memory-mapped lexicon."""
+    """Look-up of many words at once in a memory-mapped lexicon."""
 
     def __init__(self, block: bytes):
         if hasattr(os, "memfd_create"):   # a file in memory, gone with the process
-            fd = os.memfd_create("lexicon")
-            with os.fdopen(fd, "r+b") as f:
+            with os.fdopen(os.memfd_create("lexicon"), "r+b") as f:
                 f.write(block)
                 f.flush()
                 self.map = mmap.mmap(f.fileno(), len(block), access=mmap.ACCESS_READ)
@@ -242,73 +241,88 @@ class Lexicon:
             self.map = mmap.mmap(-1, len(block))
             self.map.write(block)
         arcs, states, words, ids, pad, _ = np.frombuffer(block[:24], dtype="<i4").tolist()
-        view, at = memoryview(self.map), 24
-        self.labels, at = at, at + arcs
-        self.ends, at = view[at:at + states], at + states + pad
-        parts = []
+        part = lambda at, n, kind="<i4": np.frombuffer(self.map, dtype=kind, count=n, offset=at)
+        labels, self.ends = part(24, arcs, "u1"), part(24 + arcs, states, "?")
+        at, parts = 24 + arcs + states + pad, []
         for n in (states + 1, arcs, arcs, words, ids):
-            parts.append(view[at:at + 4 * n].cast("i"))
+            parts.append(part(at, n))
             at += 4 * n
-        self.first, self.target, self.out, self.offsets, self.ids = parts
+        first, self.target, self.out, self.offsets, self.ids = parts
+        # Arcs lie by state, then label: their keys rise.
+        self.keys = np.repeat(np.arange(states, dtype=np.int64) << 8, np.diff(first)) | labels
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The place of each word in the table of ids, -1 for one not held."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        starts, raw = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(words) + b"\0", dtype=np.uint8)
+        state, total = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        live = np.arange(len(words)) if len(self.keys) else np.zeros(0, dtype=np.int64)
+        total[:] = -1 if not len(live) else 0
+        step = 0
+        while len(live):
+            more = lengths[live] > step
+            done = live[~more]
+            total[done] = np.where(self.ends[state[done]], total[done], -1)
+            live = live[more]
+            key = (state[live] << 8) | raw[starts[live] + step]
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            held = self.keys[arc] == key
+            total[live[~held]] = -1
+            live, arc = live[held], arc[held]
+            total[live] += self.out[arc]
+            state[live] = self.target[arc]
+            step += 1
+        if not len(self.keys) and len(self.ends) and self.ends[0]:
+            total[lengths == 0] = 0
+        return total
 
     def get(self, word: bytes) -> list[int] | None:
-        state = total = 0
-        find, base = self.map.find, self.labels
-        for b in word:
-            arc = find(_ONE[b], base + self.first[state], base + self.first[state + 1]) - base
-            if arc < 0:
-                return None
-            total += self.out[arc]
-            state = self.target[arc]
-        return self.ids[self.offsets[total]:self.offsets[total + 1]].tolist() if self.ends[state] else None
-
-
-_ONE = [bytes([b]) for b in range(256)]
+        at = int(self.find([word])[0])
+        return None if at < 0 else self.ids[self.offsets[at]:self.offsets[at + 1]].tolist()
 
 
 class Coder:
-    """Encodes and decodes in a worker; memoises chunks between batches."""
+    """Encodes and decodes in a worker; memoises words between batches, as ids
+    in decimal and as the bytes that they decode to."""
 
     def __init__(self, spec: dict, block: bytes):
         self.tokens, self.special = spec["tokens"], spec["special"]
         self.merger, self.lexicon = Merger(spec), Lexicon(block)
-        self.memo: dict[str, tuple[str, bytes, bytes]] = {}
+        self.ids: dict[str, str] = {}
+        self.raw: dict[str, bytes] = {}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
-
-    def _chunk(self, chunk: str) -> tuple[str, bytes, bytes]:
-        ids: list[int] = []
-        for word in words_of(chunk):
-            raw = word.encode("utf-8")
-            known = self.lexicon.get(raw)
-            ids += self.merger.ids(raw) if known is None else known
-        return self._entry(ids)
-
-    def _entry(self, ids: list[int]) -> tuple[str, bytes, bytes]:
-        """Ids as decimal text, as int32, and the bytes they decode to."""
-        return ",".join(map(str, ids)), np.array(ids, dtype="<i4").tobytes(), b"".join(map(self.tokens.__getitem__, ids))
-
-    def encode(self, text: str) -> tuple[str, bytes, str]:
-        """Ids as decimal text and as int32, and their decoded text."""
-        if not text:
-            return "", b"", ""
-        found = []
-        parts = self.cut.split(text) if self.cut and self.cut.search(text) else [text]
-        for part in parts:
-            if part in self.special:
-                found.append(self._entry([self.special[part]]))
-            elif part:
-                for chunk in chunks_of(part):
-                    got = self.memo.get(chunk)
-                    if got is None:
-                        got = self._chunk(chunk)
-                        if len(chunk) <= 64:
-                            if len(self.memo) >= CACHE_ENTRIES:
-                                self.memo.clear()
-                            self.memo[chunk] = got
-                    found.append(got)
-        return (",".join([f[0] for f in found if f[0]]), b"".join([f[1] for f in found]),
-                b"".join([f[2] for f in found]).decode("utf-8", "replace"))
+        self.decimal = {i: str(i) for i in self.tokens}
+        for content, i in self.special.items():
+            self.ids[content], self.raw[content] = self._entry([i])
+
+    def _entry(self, ids: list[int]) -> tuple[str, bytes]:
+        return ",".join([self.decimal[i] for i in ids]), b"".join([self.tokens[i] for i in ids])
+
+    def _learn(self, new: list[str]) -> None:
+        """Memoise words: by the lexicon, and the rest merged."""
+        raw = [w.encode("utf-8") for w in new]
+        short = [i for i, w in enumerate(raw) if len(w) < LONG_WORD]
+        place = np.full(len(raw), -1)
+        place[short] = self.lexicon.find([raw[i] for i in short])
+        offsets, held = self.lexicon.offsets, self.lexicon.ids
+        lo, hi = offsets[place].tolist(), offsets[np.minimum(place + 1, len(offsets) - 1)].tolist()
+        for w, r, known, a, b in zip(new, raw, (place >= 0).tolist(), lo, hi):
+            self.ids[w], self.raw[w] = self._entry(held[a:b].tolist() if known else self.merger.ids(r))
+
+    def _parts(self, text: str) -> list[str]:
+        if self.cut and self.cut.search(text):
+            return [w for part in self.cut.split(text) if part for w in ([part] if part in self.special else words_of(part))]
+        return words_of(text)
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """Of each text its ids, in decimal joined by commas, and their decoded text."""
+        if len(self.ids) > CACHE_ENTRIES:   # the first ones learned are the frequent ones
+            self.ids, self.raw = (dict(islice(d.items(), CACHE_ENTRIES // 2)) for d in (self.ids, self.raw))
+        parts = [self._parts(t) for t in texts]
+        self._learn(list(set().union(*parts).difference(self.ids)))
+        for p in parts:
+            yield ",".join(map(self.ids.__getitem__, p)), b"".join(map(self.raw.__getitem__, p)).decode("utf-8", "replace")
 
 
 _CODERS: dict[str, Coder] = {}
@@ -329,20 +343,14 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
         held: Counter = Counter()
 
         def handed_on():
-            words: Counter = Counter()
-            for chunk, n in held.items():
-                for w in words_of(chunk):
-                    words[w] += n
+            out = pa.RecordBatch.from_arrays([pa.array([w.encode("utf-8") for w in held], pa.binary()),
+                                              pa.array(list(held.values()), pa.int64())], names=["word", "n"])
             held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w.encode("utf-8") for w in words], pa.binary()), pa.array(list(words.values()), pa.int64())],
-                names=["word", "n"])
+            return out
 
         for batch in batches:
             for t in batch.column(0):
-                t = t.as_py()
-                if t:
-                    held.update(chunks_of(t))
+                held.update(words_of(t.as_py() or ""))
                 if len(held) >= COUNT_ENTRIES:
                     yield handed_on()
         if held:
@@ -352,10 +360,20 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def build_lexicon(df: DataFrame, spec: dict, text: str = "text", size: int = LEXICON_SIZE) -> bytes:
-    """The lexicon of the ``size`` most frequent words of ``df``."""
-    top = word_counts(df, text).orderBy(F.desc("count"), "word").limit(size).select("word")
+    """The lexicon of the most frequent words of ``df``, ``size`` at most: all
+    those from the least step of a sixteenth power of two on that fits."""
+    counts = written(word_counts(df, text), "word-counts")
+    step = F.floor(F.log2("count") * 16).cast("int")   # at most 1,024 steps
+    steps = counts.groupBy(step.alias("step")).count().collect()
+    least, held = None, 0
+    for r in sorted(steps, key=lambda r: -r.step):
+        held += r["count"]
+        if held > size:
+            break
+        least = r.step
+    top = counts.filter(step >= least).select("word").collect() if least is not None else []
     merger = Merger(spec)
-    return compile_lexicon([(w, merger.ids(w)) for w in (bytes(r.word) for r in top.collect())])
+    return compile_lexicon([(w, merger.ids(w)) for w in (bytes(r.word) for r in top)])
 
 
 FIELDS = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "ids_sha256": T.StringType(),
@@ -377,31 +395,28 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", lexicon_size: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(name, shared)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                made = {o: [] for o in outputs}
-                lengths = []
-                for t in batch.column(at):
-                    ids, raw, decoded = coder.encode(t.as_py() or "")
-                    lengths.append(len(raw) // 4)
-                    if "ids" in made:
-                        made["ids"].append(raw)
-                    if "ids_sha256" in made:
-                        made["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
-                    if "decoded" in made:
-                        made["decoded"].append(decoded)
-                    if "decoded_sha256" in made:
-                        made["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                if "n_tokens" in made:
-                    made["n_tokens"] = pa.array(lengths, pa.int64())
+        for batch, texts in in_parts(batches, at, PART):
+            made = {o: [] for o in outputs}
+            lengths = []
+            for ids, decoded in coder.encode(texts):
+                lengths.append(ids.count(",") + 1 if ids else 0)
                 if "ids" in made:
-                    values = np.frombuffer(b"".join(made["ids"]), dtype="<i4")
-                    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int32)
-                    made["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
-                cols = [batch.column(i) for i in keep_at]
-                cols += [made[o] if isinstance(made[o], pa.Array) else pa.array(made[o], pa.string()) for o in outputs]
-                yield pa.RecordBatch.from_arrays(cols, names=[*kept, *outputs])
+                    made["ids"].append(ids)
+                if "ids_sha256" in made:
+                    made["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
+                if "decoded" in made:
+                    made["decoded"].append(decoded)
+                if "decoded_sha256" in made:
+                    made["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+            if "n_tokens" in made:
+                made["n_tokens"] = pa.array(lengths, pa.int64())
+            if "ids" in made:
+                values = np.fromstring(",".join([x for x in made["ids"] if x]), dtype=np.int32, sep=",")
+                offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int32)
+                made["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+            cols = [batch.column(i) for i in keep_at]
+            cols += [made[o] if isinstance(made[o], pa.Array) else pa.array(made[o], pa.string()) for o in outputs]
+            yield pa.RecordBatch.from_arrays(cols, names=[*kept, *outputs])
 
     return df.mapInArrow(run, schema)
 

@@ -31,9 +31,8 @@ HARD = ["", " ", "  a", "a  ", "a \n b", "a\n\nb", "\n", " \n", "it's we'll 's",
 
 def check(coder, library, text):
     want = library.encode(text, add_special_tokens=False).ids
-    ids, raw, decoded = coder.encode(text)
+    (ids, decoded), = coder.encode([text])
     assert ids == ",".join(map(str, want))
-    assert len(raw) == 4 * len(want)
     assert decoded == library.decode(want, skip_special_tokens=False)
 
 
