@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from skein import session
 from skein.llm import bpe
 from skein.llm import exact_dedup as ed
-from skein.llm import sharding, warc
+from skein.llm import quality, sharding, toxicity, warc
 from skein.llm.frames import table
 
 
@@ -67,3 +67,19 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, tokenizer_file(), outputs=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
+
+
+@register("op5_toxicity_cnn")
+def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    model, thresholds = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold != 2)
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    return toxicity.score(docs, model, thresholds).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged", "threshold")
+
+
+@register("op10_weak_label_quality")
+def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs).select("doc_id", *quality.OUTPUTS)
