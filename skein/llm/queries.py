@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skein import session
 from skein.llm import bpe
+from skein.llm import decontaminate
 from skein.llm import exact_dedup as ed
 from skein.llm import quality, sharding, toxicity, warc
 from skein.llm.frames import table
@@ -83,3 +84,9 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.classify(docs).select("doc_id", *quality.OUTPUTS)
+
+
+@register("op3_qgram_decontaminate")
+def op3_qgram_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.scan(docs, table(spark, sf_dir, "benchmark")).select("doc_id", *decontaminate.OUTPUTS)
