@@ -12,7 +12,7 @@ from skein import session
 from skein.llm import bpe
 from skein.llm import decontaminate
 from skein.llm import exact_dedup as ed
-from skein.llm import quality, sharding, toxicity, warc
+from skein.llm import quality, repeats, sharding, toxicity, warc
 from skein.llm.frames import table
 
 
@@ -90,3 +90,9 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_qgram_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.scan(docs, table(spark, sf_dir, "benchmark")).select("doc_id", *decontaminate.OUTPUTS)
+
+
+@register("op4_repeated_passages")
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs, unit="sentence")
