@@ -12,7 +12,7 @@ from skein import session
 from skein.llm import bpe
 from skein.llm import decontaminate
 from skein.llm import exact_dedup as ed
-from skein.llm import quality, repeats, sharding, toxicity, warc
+from skein.llm import ngram_join, quality, repeats, sharding, toxicity, warc
 from skein.llm.frames import table
 
 
@@ -96,3 +96,8 @@ def op3_qgram_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.remove_repeats(docs, unit="sentence")
+
+
+@register("op1_ngram_jaccard_join")
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
