@@ -12,7 +12,7 @@ from skein import session
 from skein.llm import bpe
 from skein.llm import decontaminate
 from skein.llm import exact_dedup as ed
-from skein.llm import ngram_join, quality, repeats, sharding, toxicity, warc
+from skein.llm import ngram_join, ppm, quality, repeats, sharding, toxicity, warc
 from skein.llm.frames import table
 
 
@@ -101,3 +101,11 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_ngram_jaccard_join")
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op8_ppm_scores")
+def op8_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
+    return ppm.score(docs, ~held_out).select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                                             "base_score", "score")

@@ -101,3 +101,37 @@ def in_parts(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20
             size += len(t)
         if texts:
             yield batch.slice(start), texts[start:]
+
+
+class Table:
+    """A hash table of 64-bit keys (any but the largest) in two arrays; many
+    keys are looked up at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.empty = np.uint64(0xFFFFFFFFFFFFFFFF)
+        self.keys = np.full(1 << self.bits, self.empty, dtype=np.uint64)
+        self.values = np.zeros(1 << self.bits, dtype=values.dtype)
+        left, at = np.arange(len(keys)), self._slots(keys)
+        while len(left):
+            free = self.keys[at] == self.empty
+            self.keys[at[free]] = keys[left[free]]
+            mine = self.keys[at] == keys[left]
+            self.values[at[mine]] = values[left[mine]]
+            left, at = left[~mine], (at[~mine] + 1) & ((1 << self.bits) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _MIX[0]) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values, and which keys the table holds."""
+        at = self._slots(keys)
+        found = self.keys[at]
+        held = found == keys
+        left = np.flatnonzero(~held & (found != self.empty))
+        while len(left):
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            found = self.keys[at[left]]
+            held[left] = found == keys[left]
+            left = left[~held[left] & (found != self.empty)]
+        return self.values[at], held
