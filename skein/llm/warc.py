@@ -34,7 +34,7 @@ STEPS = ([(r"(?s)<!--.*?(-->|\z)", " ")]
          + [(rf"(?is)<{t}\b.*?(</{t}[ \t\r\n\f]*>|\z)", " ") for t in DROPPED]
          + [(rf"(?i)</?({BLOCKS})\b[^>]*>", "\n"), (r"<[a-zA-Z/!?][^>]*>", "")])
 ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
-SPACES = [(r"[ \t\r\f\x{00a0}]+", " "), (r" ?\n[ \n]*", "\n")]
+SPACES = [(r"[ \t\r\f\x{00a0}]{2,}|[\t\r\f\x{00a0}]", " "), (r" ?\n[ \n]*", "\n")]
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
 LANG = r"(?i)<html\b[^>]*\blang=\"?([a-zA-Z-]+)"
 CHARSET = r"(?i)<meta\b[^>]*\bcharset=\"?([a-zA-Z0-9_-]+)"
@@ -55,18 +55,30 @@ def _character(entity: Column) -> Column:
             .otherwise(F.coalesce(F.try_element_at(names, body), entity)))
 
 
-def plain_text(html: Column) -> Column:
-    """The text of a page: comments, scripts and styles out, a line for each
-    block element, entities decoded once, runs of white space closed up."""
-    out = F.coalesce(html, F.lit(""))
-    for pattern, by in STEPS:
-        out = F.regexp_replace(out, pattern, by)
-    ends = F.concat(F.transform(F.regexp_extract_all(out, F.lit(ENTITY), 0), _character), F.array(F.lit("")))
-    decoded = F.array_join(F.zip_with(F.split(out, ENTITY, -1), ends, lambda p, e: F.concat(p, e)), "")
-    out = F.when(F.instr(out, "&") > 0, decoded).otherwise(out)
-    for pattern, by in SPACES:
-        out = F.regexp_replace(out, pattern, by)
-    return F.trim(F.regexp_replace(F.regexp_replace(out, r"^[ \n]+", ""), r"[ \n]+$", ""))
+def with_plain_text(df: DataFrame, html: dict[str, Column]) -> DataFrame:
+    """``df`` with the text of pages: comments, scripts and styles out, a line
+    for each block element, entities decoded once, runs of white space closed
+    up. ``html`` has the source of each new column. In three projections, as
+    each step reads the one before more than once."""
+    out = {}
+    for name, source in html.items():
+        source = F.coalesce(source, F.lit(""))
+        for pattern, by in STEPS:
+            source = F.regexp_replace(source, pattern, by)
+        out[name] = source
+    df = df.withColumns(out)
+    for name in html:
+        c = F.col(name)
+        ends = F.concat(F.transform(F.regexp_extract_all(c, F.lit(ENTITY), 0), _character), F.array(F.lit("")))
+        decoded = F.array_join(F.zip_with(F.split(c, ENTITY, -1), ends, lambda p, e: F.concat(p, e)), "")
+        out[name] = F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
+    df = df.withColumns(out)
+    for name in html:
+        c = F.col(name)
+        for pattern, by in SPACES:
+            c = F.regexp_replace(c, pattern, by)
+        out[name] = F.trim(F.regexp_replace(F.regexp_replace(c, r"^[ \n]+", ""), r"[ \n]+\z", ""))
+    return df.withColumns(out)
 
 
 def digest(block: Column) -> Column:
@@ -125,11 +137,11 @@ def derivatives(responses: DataFrame) -> DataFrame:
     payload = F.coalesce(F.col("payload"), F.lit(""))
     step = responses.select(
         "key", F.col("record_id").alias("refers_to"), safe_uri(F.col("target_uri")).alias("target_uri"), "date",
-        "http_headers", digest(payload).alias("source_digest"), plain_text(payload).alias("text"),
-        plain_text(F.regexp_extract(payload, TITLE, 1)).alias("title"),
+        "http_headers", "payload", digest(payload).alias("source_digest"), F.regexp_extract(payload, TITLE, 1).alias("raw_title"),
         F.lower(F.regexp_extract(payload, LANG, 1)).alias("lang"), F.regexp_count(payload, F.lit(LINK)).alias("links"),
         record_id(F.lit("metadata"), F.col("record_id")).alias("metadata_id"),
         record_id(F.lit("conversion"), F.col("record_id")).alias("conversion_id"))
+    step = with_plain_text(step, {"text": F.col("payload"), "title": F.col("raw_title")})
     source = F.array_join(F.transform(F.split(F.coalesce("http_headers", F.lit("")), CRLF),
                                       lambda x: F.concat(F.lit("source-header: "), x)), CRLF)
     fields = F.concat(
@@ -189,7 +201,7 @@ def _decoded_sql(raw: str) -> str:
     out = f"CASE WHEN contains({raw}, '&') THEN {joined} ELSE {raw} END"
     for pattern, by in SPACES:
         out = f"regexp_replace({out}, {_lit(pattern)}, {_lit(by)}, 'g')"
-    return f"trim(regexp_replace(regexp_replace({out}, '^[ \\n]+', ''), '[ \\n]+$', ''), ' ')"
+    return f"trim(regexp_replace(regexp_replace({out}, '^[ \\n]+', ''), '[ \\n]+\\z', ''), ' ')"
 
 
 def _id_sql(kind: str, *names: str) -> str:

@@ -57,7 +57,7 @@ def test_text_against_an_html_parser(spark):
                 self.out.append(data)
 
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    rows = pages.select("html", warc.plain_text(F.col("html")).alias("text")).collect()
+    rows = warc.with_plain_text(pages, {"text": F.col("html")}).select("html", "text").collect()
     for r in rows:
         p = Words()
         p.feed(r.html)
