@@ -115,7 +115,7 @@ def estimate(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, float
     """Posterior of good for each vote pattern, and the labellers' accuracies
     (how often a vote is right), by expectation-maximisation."""
     patterns = sorted(counts)
-    accuracy, prior = np.full(len(LABELLERS), 0.8), 0.8
+    accuracy, prior = np.full(len(LABELLERS), 0.9), 0.5
     if not patterns:
         return {}, accuracy
     votes = np.array([[{"0": -1, "1": 1, "-": 0}[c] for c in p] for p in patterns])
@@ -124,9 +124,9 @@ def estimate(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, float
         odds = np.log(prior / (1 - prior)) + votes @ np.log(accuracy / (1 - accuracy))
         post = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
         right = np.where(votes > 0, post[:, None], 1 - post[:, None]) * (votes != 0) * n[:, None]
-        # As if each labeller had been right in 8 votes of 10 before; none is taken for worse than chance.
-        accuracy = np.clip((right.sum(0) + 8) / (((votes != 0) * n[:, None]).sum(0) + 10), 0.55, 0.99)
-        prior = float(np.clip((post @ n + 8) / (n.sum() + 10), 0.05, 0.95))
+        # As if each labeller had been right in 9 votes of 10 before; none is taken for worse than chance.
+        accuracy = np.clip((right.sum(0) + 9) / (((votes != 0) * n[:, None]).sum(0) + 10), 0.55, 0.99)
+        prior = float(np.clip((post @ n + 1) / (n.sum() + 2), 0.05, 0.95))
     return dict(zip(patterns, post.tolist())), accuracy
 
 

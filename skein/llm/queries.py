@@ -109,3 +109,9 @@ def op8_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
     return ppm.score(docs, ~held_out).select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                                              "base_score", "score")
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
