@@ -17,22 +17,26 @@ so extra columns cannot clash.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from html.entities import name2codepoint
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein.llm.frames import col
+from skein.llm.vec import in_parts
 
 CRLF = "\r\n"
 NO_DATE = "1970-01-01T00:00:00Z"
 DROPPED = ["script", "style", "noscript", "template"]
 BLOCKS = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|"
           "li|main|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|title|tr|ul")
-#: What is replaced in turn; patterns that mean the same to Java and RE2.
-STEPS = ([(r"(?s)<!--.*?(-->|\z)", " ")]
-         + [(rf"(?is)<{t}\b.*?(</{t}[ \t\r\n\f]*>|\z)", " ") for t in DROPPED]
-         + [(rf"(?i)</?({BLOCKS})\b[^>]*>", "\n"), (r"<[a-zA-Z/!?][^>]*>", "")])
+#: What is replaced in turn; patterns that mean the same to Python and RE2 (whose end of text is \\z).
+STEPS = [(r"(?is)<(!--.*?(-->|\Z)|" + "|".join(rf"{t}\b.*?(</{t}[ \t\r\n\f]*>|\Z)" for t in DROPPED) + ")", " "),
+         (rf"(?i)</?({BLOCKS})\b[^>]*>", "\n"), (r"<[a-zA-Z/!?][^>]*>", "")]
 ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 SPACES = [(r"[ \t\r\f\x{00a0}]{2,}|[\t\r\f\x{00a0}]", " "), (r" ?\n[ \n]*", "\n")]
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
@@ -42,43 +46,48 @@ LINK = r"(?i)<a\b[^>]*\bhref="
 NAMED = {n: chr(c) for n, c in sorted(name2codepoint.items())} | {"apos": "'"}
 
 
-def _character(entity: Column) -> Column:
+_STEPS = [(re.compile(p, re.ASCII), by) for p, by in STEPS]
+_ENTITY = re.compile(ENTITY, re.ASCII)
+_BLANK = str.maketrans("\t\r\f\xa0", "    ")
+
+
+def _character(m: re.Match) -> str:
     """What one entity stands for; an unknown name stays as it is."""
-    body = F.substring(entity, 2, 12)
-    body = F.regexp_replace(body, ";.*", "")
-    code = (F.when(body.rlike("^#[xX]"), F.conv(F.regexp_replace(body, "^#[xX]", ""), 16, 10).cast("int"))
-            .when(body.startswith("#"), F.regexp_replace(body, "^#", "").cast("int")))
-    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    point = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
-    return (F.when(body.startswith("#"), F.when(valid, point).otherwise("�"))
-            .otherwise(F.coalesce(F.try_element_at(names, body), entity)))
-
-
-def with_plain_text(df: DataFrame, html: dict[str, Column]) -> DataFrame:
-    """``df`` with the text of pages: comments, scripts and styles out, a line
-    for each block element, entities decoded once, runs of white space closed
-    up. ``html`` has the source of each new column. In three projections, as
-    each step reads the one before more than once."""
-    out = {}
-    for name, source in html.items():
-        source = F.coalesce(source, F.lit(""))
-        for pattern, by in STEPS:
-            source = F.regexp_replace(source, pattern, by)
-        out[name] = source
-    df = df.withColumns(out)
-    for name in html:
-        c = F.col(name)
-        ends = F.concat(F.transform(F.regexp_extract_all(c, F.lit(ENTITY), 0), _character), F.array(F.lit("")))
-        decoded = F.array_join(F.zip_with(F.split(c, ENTITY, -1), ends, lambda p, e: F.concat(p, e)), "")
-        out[name] = F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
-    df = df.withColumns(out)
-    for name in html:
-        c = F.col(name)
-        for pattern, by in SPACES:
-            c = F.regexp_replace(c, pattern, by)
-        out[name] = F.trim(F.regexp_replace(F.regexp_replace(c, r"^[ \n]+", ""), r"[ \n]+\z", ""))
-    return df.withColumns(out)
+    body = m[1]
+    if body[0] != "#":
+        return NAMED.get(body, m[0])
+    code = int(body[2:], 16) if body[1] in "xX" else int(body[1:])
+    return chr(code) if 0 < code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF else "\ufffd"
+
+
+def plain_text(html: str) -> str:
+    """The text of a page: comments, scripts and styles out, a line for each
+    block element, entities decoded once, runs of white space closed up."""
+    for pattern, by in _STEPS:
+        html = pattern.sub(by, html)
+    if "&" in html:
+        html = _ENTITY.sub(_character, html)
+    if any(c in html for c in "\t\r\f\xa0"):
+        html = html.translate(_BLANK)
+    lines = (" ".join(filter(None, line.split(" "))) for line in html.split("\n"))
+    return "\n".join(filter(None, lines))
+
+
+def with_plain_text(df: DataFrame, html: str, text: str, title: str) -> DataFrame:
+    """``df`` with two more columns: the text of the page in column ``html``
+    and of its title."""
+    at = df.columns.index(html)
+    found = re.compile(TITLE, re.ASCII)
+    schema = T.StructType([*df.schema.fields, T.StructField(text, T.StringType()), T.StructField(title, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, pages in in_parts(batches, at, 8 << 20):
+            titles = [m[1] if (m := found.search(p)) else "" for p in pages]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array([plain_text(p) for p in pages], pa.string()),
+                 pa.array([plain_text(t) for t in titles], pa.string())], names=schema.names)
+
+    return df.mapInArrow(run, schema)
 
 
 def digest(block: Column) -> Column:
@@ -137,11 +146,11 @@ def derivatives(responses: DataFrame) -> DataFrame:
     payload = F.coalesce(F.col("payload"), F.lit(""))
     step = responses.select(
         "key", F.col("record_id").alias("refers_to"), safe_uri(F.col("target_uri")).alias("target_uri"), "date",
-        "http_headers", "payload", digest(payload).alias("source_digest"), F.regexp_extract(payload, TITLE, 1).alias("raw_title"),
+        "http_headers", payload.alias("payload"), digest(payload).alias("source_digest"),
         F.lower(F.regexp_extract(payload, LANG, 1)).alias("lang"), F.regexp_count(payload, F.lit(LINK)).alias("links"),
         record_id(F.lit("metadata"), F.col("record_id")).alias("metadata_id"),
         record_id(F.lit("conversion"), F.col("record_id")).alias("conversion_id"))
-    step = with_plain_text(step, {"text": F.col("payload"), "title": F.col("raw_title")})
+    step = with_plain_text(step, "payload", "text", "title")
     source = F.array_join(F.transform(F.split(F.coalesce("http_headers", F.lit("")), CRLF),
                                       lambda x: F.concat(F.lit("source-header: "), x)), CRLF)
     fields = F.concat(
@@ -182,7 +191,7 @@ def _lit(s: str) -> str:
 def _text_sql(html: str) -> str:
     out = f"coalesce({html}, '')"
     for pattern, by in STEPS:
-        out = f"regexp_replace({out}, {_lit(pattern)}, {_lit(by)}, 'g')"
+        out = f"regexp_replace({out}, {_lit(pattern.replace(chr(92) + "Z", chr(92) + "z"))}, {_lit(by)}, 'g')"
     return out
 
 

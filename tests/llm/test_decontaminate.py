@@ -10,14 +10,15 @@ ITEMS = [(1, "The quick brown fox jumps over the lazy dog and then it sleeps und
 
 
 def least_edits(item, text):
-    """Sellers' algorithm: the whole item against any stretch of the text."""
+    """Sellers' algorithm: the whole item against any stretch of the text,
+    the full table row by row."""
     a, b = dc.folded(item), dc.folded(text)
+    at = np.arange(len(b) + 1)
     row = np.zeros(len(b) + 1, dtype=int)
     for c in a:
-        new = [row[0] + 1]
-        for j in range(1, len(b) + 1):
-            new.append(min(row[j - 1] + (c != b[j - 1]), row[j] + 1, new[-1] + 1))
-        row = np.array(new)
+        new = row + 1
+        new[1:] = np.minimum(new[1:], row[:-1] + (b != c))
+        row = np.minimum.accumulate(new - at) + at
     return int(row.min())
 
 

@@ -1,8 +1,6 @@
 import hashlib
 from html.parser import HTMLParser
 
-from pyspark.sql import functions as F
-
 from skein.llm import warc
 
 PAGES = [
@@ -57,7 +55,7 @@ def test_text_against_an_html_parser(spark):
                 self.out.append(data)
 
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    rows = warc.with_plain_text(pages, {"text": F.col("html")}).select("html", "text").collect()
+    rows = warc.with_plain_text(pages, "html", "text", "title").select("html", "text").collect()
     for r in rows:
         p = Words()
         p.feed(r.html)
