@@ -11,17 +11,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.session import cut_lineage
 
 
 def stack(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(series, x) for the given numeric columns, nulls dropped."""
+    """(series, x) for the given numeric columns, nulls and NaN dropped."""
     return (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("x"))
                                           for c in cols])).alias("s"))
-            .select("s.series", "s.x").filter(F.col("x").isNotNull()))
+            .select("s.series", "s.x").filter(F.col("x").isNotNull() & ~F.isnan("x")))
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
@@ -75,16 +75,32 @@ def density(df: DataFrame, cols: Sequence[str], lo: float = -1.0, hi: float = 1.
 
 
 def metric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """N, mean, sd, min, max and approximate quartiles per series."""
+    """N, mean, sd, min and max per series."""
     long = stack(df, cols)
     return long.groupBy("series").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("x"), 6).alias("mean"),
         F.round(F.stddev_samp("x"), 6).alias("sd"), F.min("x").alias("min"), F.max("x").alias("max"))
 
 
-def metric_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75),
-                     accuracy: int = 10000) -> DataFrame:
-    """Approximate quantiles per series (mergeable sketch, bounded memory per
-    task whatever the group size)."""
+def metric_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles per series: (series, q), the least value at or below
+    which lie at least p of the rows.
+
+    Counts per distinct value are range-partitioned and ranked in two steps,
+    the totals of the partitions first (one row for each series and
+    partition), then running sums inside each, so no series is gathered in
+    one task."""
     long = stack(df, cols)
-    return long.groupBy("series").agg(F.percentile_approx("x", list(probs), accuracy).alias("q"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = long.groupBy("series", "x").agg(F.count(F.lit(1)).alias("c"))
+    ranged = cut_lineage(counts.repartitionByRange(n, "series", "x").withColumn("part", F.spark_partition_id()))
+    parts = ranged.groupBy("series", "part").agg(F.sum("c").alias("own"))
+    by_series = Window.partitionBy("series")
+    before = by_series.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("series", "part", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("before"),
+                         F.sum("own").over(by_series).alias("n"))
+    running = Window.partitionBy("series", "part").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank = F.col("before") + F.sum("c").over(running)
+    ranked = ranged.join(parts, ["series", "part"]).withColumn("rank", rank)
+    least = [F.min(F.when(F.col("rank") >= F.ceil(F.lit(p) * F.col("n")), F.col("x"))) for p in probs]
+    return ranked.groupBy("series").agg(F.array(*least).alias("q"))

@@ -1,7 +1,7 @@
 """Sentence ranker (SU3): a supervised re-aim of summariser fine-tuning.
 
-Features per sentence: relative position, token count, mean idf of its words
-and its TF-IDF score; label 1 for the sentence closest to the reference
+Features per sentence: relative position, token count and its TF-IDF score
+(idf of the train documents); label 1 for the sentence closest to the reference
 summary (highest token Jaccard, first on ties). Spark ML logistic regression
 is trained on the train documents of an exact split and scored on the test
 documents.
@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 
 from skein.functions.tokens import jaccard
 from skein.operators.prep import split_exact
-from skein.operators.summarise import sentence_scores
+from skein.operators.summarise import document_idf, sentence_scores
 
 FEATURES = ["rel_pos", "n_tokens", "score"]
 
 
-def sentence_features(df: DataFrame, key: str, text: str, summary: str) -> DataFrame:
-    s = sentence_scores(df.select(key, text), key, text)
+def sentence_features(df: DataFrame, key: str, text: str, summary: str, idf: DataFrame | None = None) -> DataFrame:
+    s = sentence_scores(df.select(key, text), key, text, idf)
     n_sent = F.count(F.lit(1)).over(Window.partitionBy(key))
     s = s.withColumn("rel_pos", F.col("spos") / n_sent)
     s = s.join(df.select(key, summary), key).withColumn("sim", jaccard(F.col("sentence"), F.col(summary)))
@@ -38,6 +38,7 @@ def fit_sentence_ranker(df: DataFrame, key: str, text: str, summary: str, test:
     train_docs, test_docs = split_exact(df.select(key, text, summary), key, test, seed)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"),
                             LogisticRegression(maxIter=20, featuresCol="features", labelCol="label")])
-    model = pipe.fit(sentence_features(train_docs, key, text, summary))
-    scored = model.transform(sentence_features(test_docs, key, text, summary))
+    idf = document_idf(train_docs, text)   # of the train documents, for both
+    model = pipe.fit(sentence_features(train_docs, key, text, summary, idf))
+    scored = model.transform(sentence_features(test_docs, key, text, summary, idf))
     return model, scored.select(key, "spos", "label", vector_to_array("probability")[1].alias("p"))

@@ -15,8 +15,8 @@ The lexicon is an input table ``(token, valence, kind)`` where ``kind`` is
 Shape: the per-text scalars (but position, caps mix, punctuation) are row
 expressions; tokens are exploded once with their three predecessors taken
 from the same array (no window), tagged by joins to the lexicon, and summed
-with a partial aggregate. Lexicon sides are broadcast only under a checked
-row count; above it they join by shuffle with AQE skew splitting.
+with a partial aggregate. Lexicon sides are broadcast if their bytes allow,
+else they join by shuffle with AQE skew splitting.
 """
 
 from __future__ import annotations
@@ -30,15 +30,12 @@ from skein import fixed
 from skein.functions.tokens import WORD_RUN, sentiment_label
 from skein.session import cut_lineage
 
-BROADCAST_ROWS = 2_000_000
-
 
 def _is_upper(t):
     return (F.upper(t) == t) & (F.lower(t) != t)
 
 
-def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFrame,
-                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFrame) -> DataFrame:
     """SE1/SE3: (key, column, score) for every key and text column."""
     long = df.select(key, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"))
                                               for c in cols])).alias("u")).select(key, "u.column", "u.text")
@@ -62,14 +59,10 @@ def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFr
 
     # The lexicon is read by four lookups (token and its three predecessors):
     # checkpoint it once into the shared folder so its lineage (possibly a
-    # whole-corpus aggregate) runs once, then one size check decides how the
-    # lookups join.
+    # whole-corpus aggregate) runs once; Spark decides by bytes how they join.
     lexicon = cut_lineage(lexicon.select("token", "valence", "kind"))
-    small = lexicon.count() <= broadcast_rows
     words = lexicon.filter(F.col("kind") == "word").select("token", "valence")
     mods = lexicon.filter(F.col("kind") != "word").select("token", "kind")
-    if small:
-        words, mods = F.broadcast(words), F.broadcast(mods)
     ex = ex.join(words, "token", "left")
     # Only lexicon words need their predecessors; one anchor row per text
     # (position 0, or the empty-text row) keeps every (key, column) alive.
@@ -99,9 +92,9 @@ def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFr
 
 
 def sentiment_scores(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFrame,
-                     labels: bool = True, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                     labels: bool = True) -> DataFrame:
     """SE1-SE3 wide: key, ``<col>_score`` (and ``<col>_sentiment`` label)."""
-    long = sentiment_long(df, key, cols, lexicon, broadcast_rows)
+    long = sentiment_long(df, key, cols, lexicon)
     wide = long.groupBy(key).agg(*[F.max(F.when(F.col("column") == c, F.col("score"))).alias(f"{c}_score")
                                    for c in cols])
     if labels:

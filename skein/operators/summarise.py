@@ -12,15 +12,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.tokens import ngrams, sentences, tokens, word_tokens
-from skein.operators.terms import BROADCAST_VOCAB_ROWS
-from skein.session import cut_lineage, shuffle_partitions
+from skein.session import shuffle_partitions
 
 # Named generation presets: (max_in, min_tokens, max_tokens, block_ngram).
 # Beams and length penalties have no extractive meaning; they are passed to a
@@ -39,27 +40,29 @@ def lead_k(c, k: int = 3) -> Column:
     return F.array_join(F.slice(sentences(c), 1, k), " ")
 
 
-def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
+def document_idf(df: DataFrame, text: str) -> DataFrame:
+    """(term, idf): ln((1+n)/(1+df)) + 1 over the documents of ``df``; one
+    partial aggregate over each document's distinct words."""
+    n = df.count()
+    return (df.select(F.explode(F.array_distinct(word_tokens(F.coalesce(F.col(text), F.lit(""))))).alias("term"))
+            .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+            .select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+
+
+def sentence_scores(df: DataFrame, key: str, text: str, idf: DataFrame | None = None) -> DataFrame:
     """SU2 scoring: (key, spos, sentence, n_tokens, score, rank).
 
     score = sum over the sentence's distinct word tokens of (count of the term
     in the whole document x idf) / word tokens in the sentence, rounded to 6;
     idf = ln((1+n)/(1+df)) + 1 over the documents of ``df``. Rank 1 is the
-    best sentence, ties to the earlier position.
-
-    Plan: sentences and their terms are exploded once; the document count of
-    a term is a window over (key, term) and its first occurrence marks the
-    document frequency, both inside the key's partition. Only the corpus idf
-    (one partial aggregate by term) moves data by term; its result is
-    broadcast when a row-count check allows, else joined by term and re-keyed
-    once for the per-sentence sum and the rank window."""
-    n = df.count()
+    best sentence, ties to the earlier position. ``idf`` (term, idf) may come from other documents; a term
+    that it lacks weighs nothing."""
     # One exchange of the texts by key; every per-document step below (term
     # counts, the (key, term) window, the per-sentence sum, the sentence join
     # and the rank window) then stays inside the key's partition instead of
     # shuffling term rows several times. Spark drops this exchange when the
-    # input is already hash-partitioned by key with the same count. The count
-    # is fixed (not coalesced by AQE): the steps after it are CPU-heavy.
+    # input is already hash-partitioned by key with the same count.
+    idf = document_idf(df, text) if idf is None else idf
     df = df.select(key, text).repartition(shuffle_partitions(df), key)
     sents = (df.select(key, F.posexplode_outer(sentences(F.col(text))).alias("spos", "sentence"))
              .filter(F.col("sentence").isNotNull()))
@@ -68,22 +71,8 @@ def sentence_scores(df: DataFrame, key: str, text: str) -> DataFrame:
     # being hashed and sorted with every term of the sentence.
     occ = (sents.select(key, "spos", F.explode_outer(word_tokens(F.col("sentence"))).alias("term"))
            .groupBy(key, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
-    by_term = Window.partitionBy(key, "term")
-    occ = occ.withColumns({"tf": F.sum("c").over(by_term),
-                           "first": F.row_number().over(by_term.orderBy("spos")) == 1})
-    idf = (occ.filter(F.col("first") & F.col("term").isNotNull()).groupBy("term")
-           .agg(F.count(F.lit(1)).alias("df"))
-           .select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
-    # The idf table grows with the vocabulary, not the corpus: materialised
-    # once in the shared folder, it is broadcast under a checked row count -
-    # then the sentence terms never leave their document's partition - and
-    # joined by term (then re-keyed) above it.
-    idf = cut_lineage(idf)
-    if idf.limit(BROADCAST_VOCAB_ROWS + 1).count() <= BROADCAST_VOCAB_ROWS:
-        joined = occ.join(F.broadcast(idf), "term", "left")
-    else:
-        joined = occ.join(idf, "term", "left").repartition(key)
-    mass = (joined
+    occ = occ.withColumn("tf", F.sum("c").over(Window.partitionBy(key, "term")))
+    mass = (occ.join(idf, "term", "left")
             .groupBy(key, "spos")
             .agg(F.sum(F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))).alias("mass"),
                  F.sum(F.when(F.col("term").isNotNull(), F.col("c")).otherwise(0)).cast("int").alias("n_tokens"))
@@ -157,9 +146,10 @@ def summarise(df: DataFrame, key: str, text: str, min_tokens: int = 40, max_toke
 def summarise_with(df: DataFrame, key: str, text: str, make_fn: Callable[[], Callable[[str], str]],
                    max_in: int | None = None) -> DataFrame:
     """SU1: run a supplied summariser over partitions. ``make_fn`` is called
-    once per partition (model load); the whole text is passed unless a preset's
-    model input limit ``max_in`` (in words) is given; a failure yields a null
-    summary with the error and the first 100 characters."""
+    once per partition (model load). The text is passed untouched; with a
+    preset's model input limit ``max_in`` (in words) it is cut after that
+    word. A null text has a null summary; a failure yields a null summary
+    with the error and the first 100 characters."""
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -168,8 +158,10 @@ def summarise_with(df: DataFrame, key: str, text: str, make_fn: Callable[[], Cal
             out, err = [], []
             for t in pdf[text]:
                 try:
-                    words = [] if t is None else str(t).split()
-                    out.append(fn(" ".join(words if max_in is None else words[:max_in])))
+                    if t is not None and max_in is not None:
+                        ends = [m.end() for m in islice(re.finditer(r"\S+", t), max_in)]
+                        t = t[:ends[-1]] if ends else ""
+                    out.append(None if t is None else fn(t))
                     err.append(None)
                 except Exception as e:  # noqa: BLE001 - the error is the result
                     out.append(None)

@@ -7,6 +7,8 @@ present everywhere is collapsed inside its task before anything is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,20 +61,15 @@ def doc_top_terms(df: DataFrame, key: str, tok: str, k: int = 5, out: str = "top
     return top.select(key, F.when(F.size("t") > 0, joined).otherwise(F.lit(fixed.NO_TOPIC)).alias(out))
 
 
-BROADCAST_VOCAB_ROWS = 1_000_000
-
-
-def encode(df: DataFrame, key: str, tok: str, vocab: DataFrame, max_len: int,
-           prefix: str = "input", small_vocab: bool | None = None) -> DataFrame:
+def encode(df: DataFrame, key: str, tok: str, vocab: DataFrame, max_len: int, prefix: str = "input") -> DataFrame:
     """Token ids for one text column: 0 = pad, 1 = unknown, 2.. by vocabulary
     rank, truncated to the model input length ``max_len`` (as the model's own
-    tokenizer truncates). The vocabulary is broadcast only when its row count
-    is within ``BROADCAST_VOCAB_ROWS`` (checked unless the caller knows)."""
+    tokenizer truncates) before anything is exploded. Spark broadcasts the
+    vocabulary if its bytes allow."""
     ids = vocab.select(F.col("term"), (F.col("rank") + 1).cast("int").alias("id"))
-    if small_vocab is None:
-        small_vocab = ids.limit(BROADCAST_VOCAB_ROWS + 1).count() <= BROADCAST_VOCAB_ROWS
-    exploded = df.select(key, F.posexplode_outer(tok).alias("pos", "term")).filter(F.col("pos") < max_len)
-    joined = exploded.join(F.broadcast(ids) if small_vocab else ids, "term", "left")
+    exploded = (df.select(key, F.posexplode_outer(F.slice(F.col(tok), 1, max_len)).alias("pos", "term"))
+                .filter(F.col("pos").isNotNull()))
+    joined = exploded.join(ids, "term", "left")
     return (joined.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(1)).alias("id")))).alias("s"))
             .select(key, F.transform("s", lambda s: s["id"]).alias(f"{prefix}_ids")))
@@ -85,14 +82,15 @@ def encode_pairs(df: DataFrame, key: str, doc_tok: str, sum_tok: str, vocab: Dat
     ``pad='longest'`` pads to the longest row (one extra global max, a
     one-row aggregate), ``pad='max'`` to ``max_in`` / ``max_out``."""
     base = df.select(key)
-    small = vocab.limit(BROADCAST_VOCAB_ROWS + 1).count() <= BROADCAST_VOCAB_ROWS
-    enc_in = encode(df, key, doc_tok, vocab, max_in, "input", small)
-    enc_out = encode(df, key, sum_tok, vocab, max_out, "label", small)
+    enc_in = encode(df, key, doc_tok, vocab, max_in, "input")
+    enc_out = encode(df, key, sum_tok, vocab, max_out, "label")
     t = (base.join(enc_in, key, "left").join(enc_out, key, "left")
          .withColumns({"input_ids": F.coalesce("input_ids", F.array().cast("array<int>")),
                        "label_ids": F.coalesce("label_ids", F.array().cast("array<int>"))}))
     if pad == "longest":
-        row = t.agg(F.max(F.size("input_ids")).alias("a"), F.max(F.size("label_ids")).alias("b")).first()
+        # Widths come from the token arrays alone: the encoding itself runs once.
+        row = df.agg(F.max(F.least(F.size(F.coalesce(F.col(doc_tok), F.array().cast("array<string>"))), F.lit(max_in))).alias("a"),
+                     F.max(F.least(F.size(F.coalesce(F.col(sum_tok), F.array().cast("array<string>"))), F.lit(max_out))).alias("b")).first()
         width_in, width_out = int(row["a"] or 0), int(row["b"] or 0)
     else:
         width_in, width_out = max_in, max_out
@@ -110,22 +108,10 @@ def encode_pairs(df: DataFrame, key: str, doc_tok: str, sum_tok: str, vocab: Dat
 
 def batched(df: DataFrame, size: int) -> DataFrame:
     """(partition, batch) for every row: batches of ``size`` consecutive
-    rows inside each partition, numbered in ``mapInPandas`` (no global row
-    number, no shuffle)."""
-    from pyspark import TaskContext
-
-    schema = T.StructType(list(df.schema.fields) + [T.StructField("partition", T.IntegerType()),
-                                                     T.StructField("batch", T.LongType())])
-
-    def run(it):
-        pid = TaskContext.get().partitionId()
-        seen = 0
-        for pdf in it:
-            idx = pd.RangeIndex(seen, seen + len(pdf))
-            seen += len(pdf)
-            yield pdf.assign(partition=pid, batch=(idx // size).to_numpy(dtype="int64"))
-
-    return df.mapInPandas(run, schema=schema)
+    rows inside each partition (the low 33 bits of Spark's increasing id are
+    the row's place in its partition): no global row number, no shuffle."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return df.withColumns({"partition": F.spark_partition_id(), "batch": F.floor(place / size).cast("long")})
 
 
 UNKNOWN_PIECE = "[UNK]"
@@ -144,17 +130,15 @@ def piece_vocabulary(df: DataFrame, tok: str, size: int = 7000) -> DataFrame:
         chars.select(F.concat(F.lit(CONTINUATION), F.col("c")).alias("piece"))).distinct()
 
 
-def word_pieces(words, vocab: set[str], max_chars: int = 100):
+def word_pieces(words, vocab: set[str]):
     """Greedy longest-match split of each word; a word with an unmatched part
-    (or longer than ``max_chars``) becomes one unknown piece."""
-    out = []
+    becomes one unknown piece."""
+    out, longest = [], max(map(len, vocab), default=0)
     for w in words:
-        if len(w) > max_chars:
-            out.append(UNKNOWN_PIECE)
-            continue
         start, pieces = 0, []
         while start < len(w):
-            end, cur = len(w), None
+            # No piece is longer than the longest of the vocabulary, so long words stay linear.
+            end, cur = min(len(w), start + longest), None
             while start < end:
                 sub = w[start:end] if start == 0 else CONTINUATION + w[start:end]
                 if sub in vocab:
@@ -170,17 +154,14 @@ def word_pieces(words, vocab: set[str], max_chars: int = 100):
     return out
 
 
-def wordpiece(df: DataFrame, tok: str, vocab: DataFrame, out: str = "pieces", max_vocab: int = 100_000) -> DataFrame:
-    """Word pieces for a token-array column. The vocabulary table is
-    checked against ``max_vocab`` rows before it is shipped to the tasks;
-    each task memoises the split of every distinct word it meets."""
-    rows = vocab.limit(max_vocab + 1).collect()
-    if len(rows) > max_vocab:
-        raise ValueError(f"piece vocabulary larger than {max_vocab} rows")
-    pieces = frozenset(r[0] for r in rows)
+def wordpiece(df: DataFrame, tok: str, vocab: DataFrame, out: str = "pieces") -> DataFrame:
+    """Word pieces for a token-array column. ``vocab`` is a piece
+    vocabulary: a stated number of words and two pieces a character, and so
+    of bounded size. A task splits each distinct word once."""
+    pieces = frozenset(r[0] for r in vocab.collect())
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split_words(arrs: pd.Series) -> pd.Series:
+    def split_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo: dict = {}
 
         def one(a):
@@ -194,6 +175,7 @@ def wordpiece(df: DataFrame, tok: str, vocab: DataFrame, out: str = "pieces", ma
                 res.extend(p)
             return res
 
-        return arrs.map(one)
+        for arrs in batches:
+            yield arrs.map(one)
 
     return df.withColumn(out, split_words(F.col(tok)))

@@ -625,9 +625,7 @@ _QUANTS = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
                               "SELECT series, " + ", ".join(f"min(x) FILTER (WHERE rk >= ceil({p} * n)) AS {c}"
                                                             for c, p in _QUANTS) + " FROM r GROUP BY series")
 def metric_quantiles(spark, sf):
-    """D4 quartiles of the three Jaccard series: a mergeable sketch (rank
-    error below n / 10,000, so exact at the checked size), bounded memory per
-    task however large a series is."""
+    """D4 quartiles of the three Jaccard series, exact at any size."""
     q = dist.metric_quantiles(_jaccard_raw(spark, sf), _J_COLS, [p for _, p in _QUANTS])
     return q.select("series", *[F.col("q")[i].alias(c) for i, (c, _) in enumerate(_QUANTS)])
 
@@ -643,9 +641,8 @@ def _kp_sql(src: str) -> str:
     def runs(member: str, kind: int) -> str:
         return (f"(SELECT doc_id, {kind} AS kind, string_agg(tok, ' ' ORDER BY pos) AS phrase, min(pos) AS first_pos, "
                 f"count(*) AS n_words, max(CAST(sent_start AS INTEGER)) AS starts FROM "
-                f"(SELECT *, floor((row_number() OVER (PARTITION BY doc_id, run ORDER BY pos) - 1) / 4) AS chunk FROM "
                 f"(SELECT *, sum(CASE WHEN {member} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos "
-                f"ROWS UNBOUNDED PRECEDING) AS run FROM f2) WHERE {member}) GROUP BY doc_id, run, chunk)")
+                f"ROWS UNBOUNDED PRECEDING) AS run FROM f2) WHERE {member} GROUP BY doc_id, run)")
 
     return f"""
 WITH src AS ({src}),

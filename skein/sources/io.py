@@ -38,9 +38,10 @@ def read_threads(spark: SparkSession, paths: str | Sequence[str], fmt: str = "js
     return reader.load(paths)
 
 
-def write_threads(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
+def write_threads(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
                   partition_by: Sequence[str] | None = None, **options) -> None:
-    """IO4: Parquet by default; CSV with header (arrays must be flattened)."""
+    """IO4: Parquet by default; CSV with header (arrays must be flattened). An
+    existing path is an error unless ``mode`` says otherwise."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         options = {"header": "true", "escape": '"', "nullValue": "\\N", "emptyValue": '""', **options}

@@ -36,14 +36,6 @@ def test_split_exact_radix_path(spark, monkeypatch):
     assert train.count() == 350
 
 
-def test_split_exact_rejects_repeated_key(spark, monkeypatch):
-    import pytest
-    monkeypatch.setattr(prep, "_SELECT_FINAL", 3)
-    d = spark.range(0, 40).select(F.lit(5).alias("k"))
-    with pytest.raises(ValueError, match="repeats"):
-        prep.split_exact(d, "k", 0.5, 1)
-
-
 def test_metric_quantiles_exact_ranks(spark):
     vals = [((i * 37) % 101) / 7.0 for i in range(301)]
     df = spark.createDataFrame([(v, -v) for v in vals], "x double, y double")
