@@ -45,7 +45,8 @@ from skein.llm.vec import SPACE, Table, Words, in_parts, sums
 
 ORDER = 5                # bytes of the longest context; 6 at most fit a gram's 64 bits
 GRAMS, WORDS = 1 << 20, 1 << 18
-HELD = 2_000_000         # distinct keys that a counting task holds before it hands them on
+HELD = 600_000           # distinct keys that a counting task holds before it hands them on
+_TABLES: dict[str, tuple] = {}   # of the job that a worker works on
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -80,6 +81,7 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 def _counted(train: DataFrame, order: int) -> DataFrame:
     """(kind, key, n): grams (0) and words (1) of the texts (column text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _TABLES.clear()   # of an earlier job in this worker
         held: dict[int, list] = {0: [], 1: []}
 
         def handed_on():
@@ -95,7 +97,7 @@ def _counted(train: DataFrame, order: int) -> DataFrame:
             raw = [t.encode("utf-8") for t in texts]
             for kind, keys in ((0, gram_keys(raw, order)[0]), (1, word_keys(raw).hashes())):
                 held[kind].append(np.unique(keys, return_counts=True))
-                if len(held[kind]) > 8:
+                if len(held[kind]) > 4:
                     held[kind] = [_merged(held[kind])]
             if sum(len(k) for parts in held.values() for k, _ in parts) > HELD:
                 yield from handed_on()
@@ -185,9 +187,6 @@ class Trie:
         return rows.column("key").to_numpy().astype(np.int64).view(np.uint64), rows.column("logp").to_numpy()
 
 
-_TABLES: dict[str, tuple] = {}
-
-
 def _tables(name: str, shared) -> tuple:
     if name not in _TABLES:
         _TABLES.clear()

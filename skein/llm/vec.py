@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
@@ -90,17 +91,17 @@ def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def in_parts(batches: Iterator[pa.RecordBatch], column: int, most: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches with texts of about ``most`` bytes together (one
-    longer text makes a slice of its own) and their texts, null as empty."""
+    longer text makes a slice of its own) and their texts, null as empty.
+    Only one slice's texts are Python objects at a time."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(column).to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            if i > start and size + len(t) > most:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(t)
-        if texts:
-            yield batch.slice(start), texts[start:]
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            part = batch.slice(start, end - start)
+            yield part, [t or "" for t in part.column(column).to_pylist()]
+            start = end
 
 
 class Table:
