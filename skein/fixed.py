@@ -91,6 +91,11 @@ SPACE_RUN_PATTERN = r"(?U)" + WS + r"+"
 # in the SQL oracle, so both engines split identically).
 WORD = r"[\p{L}\p{N}_]"
 
+# Sentiment tokens: runs without white space, outer punctuation taken off unless nothing else is there,
+# so that contractions and emoticons stay whole.
+CHUNK = r"[^ \t\n\r\f\x0B]+"
+OUTER_PUNCTUATION = r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$"
+
 # --- FIXED VALUES: rule-based sentiment constants (published method) -------------
 SENT_BOOST = 0.293          # booster increment
 SENT_BOOST_DECAY = (1.0, 0.95, 0.9)   # booster at distance 1, 2, 3

@@ -1,12 +1,16 @@
 """Rule-based sentiment (SE1-SE4) over a lexicon table.
 
 The lexicon is an input table ``(token, valence, kind)`` where ``kind`` is
-``word`` (has a valence), ``booster`` or ``negation``. Rules, in order
+``word`` (has a valence), ``booster``, ``dampener`` or ``negation``. Tokens
+are the runs between white space without their outer punctuation (a run of
+nothing else, like an emoticon, stays whole), so entries may hold apostrophes
+and symbols. Rules, in order
 (published rule-based method, Hutto & Gilbert 2014):
 
 * valence of each lexicon word, +/-0.733 if it is in capitals and the text
   mixes case;
-* a booster 1, 2 or 3 tokens before adds +/-0.293 x (1, 0.95, 0.9);
+* a booster 1, 2 or 3 tokens before adds +/-0.293 x (1, 0.95, 0.9), a
+  dampener takes as much away; either adds 0.733 first if it is in capitals;
 * a negation 1, 2 or 3 tokens before multiplies by -0.74 (each);
 * words before the first ``but`` x 0.5, after it x 1.5;
 * sum s; if s != 0 add +/-(0.292 per '!', at most 4; 0.18 per '?' when 2-3,
@@ -27,10 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein import fixed
-from skein.functions.tokens import WORD_RUN, sentiment_label
+from skein.functions.tokens import sentiment_label
 from skein.session import cut_lineage
 
 
+def _stripped(t):
+    inner = F.regexp_replace(t, fixed.OUTER_PUNCTUATION, "")
+    return F.when(inner == "", t).otherwise(inner)
+
+
 def _is_upper(t):
     return (F.upper(t) == t) & (F.lower(t) != t)
 
@@ -39,7 +48,7 @@ def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFr
     """SE1/SE3: (key, column, score) for every key and text column."""
     long = df.select(key, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"))
                                               for c in cols])).alias("u")).select(key, "u.column", "u.text")
-    toks = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD_RUN), 0)
+    toks = F.transform(F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(fixed.CHUNK), 0), _stripped)
     bang = F.length("text") - F.length(F.replace(F.col("text"), F.lit("!"), F.lit("")))
     quest = F.length("text") - F.length(F.replace(F.col("text"), F.lit("?"), F.lit("")))
     amp = (F.least(bang, F.lit(fixed.SENT_EXCLAIM_MAX)) * fixed.SENT_EXCLAIM
@@ -52,10 +61,13 @@ def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFr
     })
     occ = F.transform("low", lambda t, i: F.struct(
         i.alias("pos"), t.alias("token"), _is_upper(F.get(F.col("toks"), i)).alias("up"),
-        F.get(F.col("low"), i - 1).alias("p1"), F.get(F.col("low"), i - 2).alias("p2"),
-        F.get(F.col("low"), i - 3).alias("p3")))
+        *[F.get(F.col("low"), i - d).alias(f"p{d}") for d in (1, 2, 3)],
+        *[_is_upper(F.get(F.col("toks"), i - d)).alias(f"u{d}") for d in (1, 2, 3)]))
     ex = rows.select(key, "column", "is_null", "amp", "but", "caps_mix", F.explode_outer(occ).alias("o"))
     ex = ex.select(key, "column", "is_null", "amp", "but", "caps_mix", "o.*")
+    # A token without a predecessor gets one that no lexicon holds, another for each key: null keys of a
+    # join would all meet in one task.
+    ex = ex.withColumns({f"p{d}": F.coalesce(f"p{d}", F.concat(F.lit(" "), F.col(key).cast("string"))) for d in (1, 2, 3)})
 
     # The lexicon is read by four lookups (token and its three predecessors):
     # checkpoint it once into the shared folder so its lineage (possibly a
@@ -74,8 +86,9 @@ def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFr
     v0 = F.col("valence")
     v = v0 + F.when(F.col("caps_mix") & F.col("up"), F.when(v0 > 0, fixed.SENT_CAPS).otherwise(-fixed.SENT_CAPS)).otherwise(0.0)
     sign = F.when(v < 0, -1.0).otherwise(1.0)
-    boost = sum(F.when(F.col(f"k{d}") == "booster", sign * fixed.SENT_BOOST * fixed.SENT_BOOST_DECAY[d - 1]).otherwise(0.0)
-                for d in (1, 2, 3))
+    boost = sum(F.when(F.col(f"k{d}").isin("booster", "dampener"), sign * fixed.SENT_BOOST_DECAY[d - 1] * (
+        F.when(F.col(f"k{d}") == "booster", fixed.SENT_BOOST).otherwise(-fixed.SENT_BOOST)
+        + F.when(F.col("caps_mix") & F.col(f"u{d}"), fixed.SENT_CAPS).otherwise(0.0))).otherwise(0.0) for d in (1, 2, 3))
     v = v + boost
     for d in (1, 2, 3):
         v = v * F.when(F.col(f"k{d}") == "negation", fixed.SENT_NEGATE).otherwise(1.0)

@@ -490,17 +490,17 @@ def sentiment_score(spark, sf):
     return se.sentiment_long(d, "doc_id", ["text"], fx.lexicon(spark, sf)).select("doc_id", "score")
 
 
-_SENT2 = q.sentiment(fx.SQL["pairs"], "doc_id", ["document", "summary"], fx.SQL["lexicon"])
-_SENT2_WIDE = ("SELECT doc_id, max(score) FILTER (WHERE \"column\" = 'document') AS document_score, "
-               "max(score) FILTER (WHERE \"column\" = 'summary') AS summary_score FROM (" + _SENT2 + ") GROUP BY doc_id")
+_SENT_COLS = ["document", "summary", "predicted_summary"]
+_SENT2 = q.sentiment(fx.SQL["pairs3"], "doc_id", _SENT_COLS, fx.SQL["lexicon"])
+_SENT2_WIDE = ("SELECT doc_id, " + ", ".join(f"max(score) FILTER (WHERE \"column\" = '{c}') AS {c}_score" for c in _SENT_COLS)
+               + " FROM (" + _SENT2 + ") GROUP BY doc_id")
 
 
-@register("sentiment_label", f"SELECT doc_id, document_score, summary_score, {q.label('document_score')} AS "
-                             f"document_sentiment, {q.label('summary_score')} AS summary_sentiment FROM ({_SENT2_WIDE})")
+@register("sentiment_label", "SELECT doc_id, " + ", ".join(f"{c}_score, {q.label(c + '_score')} AS {c}_sentiment" for c in _SENT_COLS)
+          + f" FROM ({_SENT2_WIDE})")
 def sentiment_label(spark, sf):
-    """SE2/SE3: two text columns scored in one token pass, score and label kept."""
-    p = fx.pairs(spark, sf)
-    return se.sentiment_scores(p, "doc_id", ["document", "summary"], fx.lexicon(spark, sf))
+    """SE2/SE3: three text columns scored in one token pass, score and label kept."""
+    return se.sentiment_scores(fx.pairs3(spark, sf), "doc_id", _SENT_COLS, fx.lexicon(spark, sf))
 
 
 @register("sentiment_summary",
@@ -594,7 +594,8 @@ _S2PI = repr(math.sqrt(2 * math.pi)) if (math := __import__("math")) else ""
 @register("density", f"""
 WITH w AS ({_SENT2_WIDE}),
 long AS (SELECT 'document_score' AS series, document_score AS x FROM w WHERE document_score IS NOT NULL
-         UNION ALL SELECT 'summary_score', summary_score FROM w WHERE summary_score IS NOT NULL),
+         UNION ALL SELECT 'summary_score', summary_score FROM w WHERE summary_score IS NOT NULL
+         UNION ALL SELECT 'predicted_summary_score', predicted_summary_score FROM w WHERE predicted_summary_score IS NOT NULL),
 stats AS (SELECT series, count(*) AS n, stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM long GROUP BY series),
 binned AS (SELECT series, floor(x * 1000 + 0.5) / 1000 AS b, count(*) AS c FROM long GROUP BY ALL),
 g AS (SELECT unnest(range(0, 200)) AS i),
@@ -603,9 +604,10 @@ SELECT series, CAST(i AS INTEGER) AS i, round(gx, 6) AS x,
        round(CASE WHEN h > 0 THEN sum(c * exp(-pow((gx - b) / h, 2) / 2)) / (n * h * CAST({_S2PI} AS DOUBLE)) END, 6) AS y
 FROM contrib GROUP BY series, i, gx, n, h""")
 def density(spark, sf):
-    """Kernel density of document and summary sentiment on [-1, 1]."""
-    s = se.sentiment_scores(fx.pairs(spark, sf), "doc_id", ["document", "summary"], fx.lexicon(spark, sf), labels=False)
-    d = dist.density(s, ["document_score", "summary_score"], -1.0, 1.0, 200)
+    """Kernel density of the sentiment of documents, summaries and
+    predicted summaries on [-1, 1]."""
+    s = se.sentiment_scores(fx.pairs3(spark, sf), "doc_id", _SENT_COLS, fx.lexicon(spark, sf), labels=False)
+    d = dist.density(s, [f"{c}_score" for c in _SENT_COLS], -1.0, 1.0, 200)
     return d.select("series", F.col("i").cast("int").alias("i"), "x", "y")
 
 

@@ -199,13 +199,17 @@ def sentiment(src: str, key: str, cols, lexicon: str) -> str:
     u = " UNION ALL ".join(f"SELECT {key}, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS text FROM ({src})"
                            for c in cols)
     B, D, N = fixed.SENT_BOOST, fixed.SENT_BOOST_DECAY, fixed.SENT_NEGATE
-    boost = " + ".join(f"CASE WHEN k{d} = 'booster' THEN sgn * {B} * {D[d - 1]} ELSE 0.0 END" for d in (1, 2, 3))
+    boost = " + ".join(f"CASE WHEN k{d} IN ('booster', 'dampener') THEN sgn * {D[d - 1]} * (CASE WHEN k{d} = 'booster' THEN {B} "
+                       f"ELSE -{B} END + CASE WHEN caps_mix AND u{d} THEN {fixed.SENT_CAPS} ELSE 0.0 END) ELSE 0.0 END"
+                       for d in (1, 2, 3))
+    inner = f"regexp_replace(t, '{fixed.OUTER_PUNCTUATION}', '', 'g')"
     neg = " * ".join(f"CASE WHEN k{d} = 'negation' THEN {N} ELSE 1.0 END" for d in (1, 2, 3))
     return f"""
 WITH lex AS ({lexicon}),
 u AS ({u}),
 r AS (SELECT {key}, "column", text,
-        coalesce(regexp_extract_all(coalesce(text, ''), '{W}+'), []) AS toks,
+        list_transform(coalesce(regexp_extract_all(coalesce(text, ''), '{fixed.CHUNK}'), []),
+          lambda t: CASE WHEN {inner} = '' THEN t ELSE {inner} END) AS toks,
         length(text) - length(replace(text, '!', '')) AS bang,
         length(text) - length(replace(text, '?', '')) AS quest FROM u),
 r2 AS (SELECT *, list_transform(toks, lambda t: lower(t)) AS low,
@@ -216,7 +220,8 @@ r2 AS (SELECT *, list_transform(toks, lambda t: lower(t)) AS low,
 r3 AS (SELECT *, coalesce(list_position(low, 'but'), 0) - 1 AS but FROM r2),
 ex AS (SELECT {key}, "column", caps_mix, but, pos, low[pos + 1] AS token, {_upper('toks[pos + 1]')} AS up,
          CASE WHEN pos >= 1 THEN low[pos] END AS p1, CASE WHEN pos >= 2 THEN low[pos - 1] END AS p2,
-         CASE WHEN pos >= 3 THEN low[pos - 2] END AS p3
+         CASE WHEN pos >= 3 THEN low[pos - 2] END AS p3, pos >= 1 AND {_upper('toks[pos]')} AS u1,
+         pos >= 2 AND {_upper('toks[pos - 1]')} AS u2, pos >= 3 AND {_upper('toks[pos - 2]')} AS u3
        FROM (SELECT *, unnest(range(0, len(low))) AS pos FROM r3)),
 tagged AS (SELECT ex.*, w.valence, m1.kind AS k1, m2.kind AS k2, m3.kind AS k3 FROM ex
        JOIN (SELECT token, valence FROM lex WHERE kind = 'word') w ON w.token = ex.token

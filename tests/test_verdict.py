@@ -4,6 +4,7 @@ import math
 from pyspark.sql import functions as F
 
 from skein.operators import dist, prep
+from skein.operators.sentiment import sentiment_long
 from skein.operators.summarise import summarise_with
 from skein.operators.terms import batched, word_pieces
 
@@ -63,3 +64,14 @@ def test_batches_have_their_size(spark):
 def test_long_words_keep_their_text():
     pieces = word_pieces(["ab" * 300], {"a", "##a", "##b", "##ab"})
     assert "".join(p.removeprefix("##") for p in pieces) == "ab" * 300
+
+
+def test_sentiment_on_real_text(spark):
+    lexicon = spark.createDataFrame([("good", 2.0, "word"), ("don't", None, "negation"), (":)", 1.5, "word"), ("very", None, "booster"),
+                                     ("slightly", None, "dampener")], "token string, valence double, kind string")
+    texts = ["I don't like good", "fine :)", "(good)!", "very good", "slightly good", "VERY good", "so good"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    got = {r.k: r.score for r in sentiment_long(df, "k", ["t"], lexicon).collect()}
+    compound = lambda s: round(s / math.sqrt(s * s + 15), 4)
+    want = [2 * -0.74, 1.5, 2 + 0.292, 2 + 0.293, 2 - 0.293, 2 + 0.293 + 0.733, 2]
+    assert got == {k: compound(s) for k, s in enumerate(want)}
