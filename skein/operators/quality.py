@@ -41,7 +41,7 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     that have no gram at all. On input co-located by ``key`` both aggregates
     run without a shuffle."""
     carry = dict(carry or {})
-    toks = {"rr": rouge_tokens(F.col(ref)), "rh": rouge_tokens(F.col(hyp))}
+    toks = {"rr": rouge_tokens(F.col(ref)), "rh": rouge_tokens(F.col(hyp))} if rouge_orders else {}
     if stem:
         toks = {k: stem_tokens(v) for k, v in toks.items()}
     if bleu:
@@ -113,10 +113,12 @@ def bleu_col(o: DataFrame):
 
 
 def score_pairs(df: DataFrame, key: str, ref: str, hyp: str, rouge_l: bool = False,
-                carry: Sequence[str] | Mapping[str, Column] = (), stem: bool = False) -> DataFrame:
+                carry: Sequence[str] | Mapping[str, Column] = (), stem: bool = False,
+                rouge_orders: Sequence[int] = (1, 2), bleu: bool = True) -> DataFrame:
     """Q1, Q2, Q5, Q6 (and Q3 when asked): one row per key with rouge1,
     rouge2, bleu, token_f1 [, rougeL] and the ``carry`` columns; ``stem``
-    applies Porter stemming to the ROUGE tokens (Q4)."""
+    applies Porter stemming to the ROUGE tokens (Q4). Only the gram tables of
+    the ``rouge_orders`` and, with ``bleu``, of BLEU are made."""
     extra = dict(carry) if isinstance(carry, Mapping) else {c: F.col(c) for c in carry}
     per_row = {"token_f1": token_f1(F.col(ref), F.col(hyp))}
     if rouge_l:
@@ -124,9 +126,9 @@ def score_pairs(df: DataFrame, key: str, ref: str, hyp: str, rouge_l: bool = Fal
         if stem:
             rt, ht = stem_tokens(rt), stem_tokens(ht)
         per_row["rougeL"] = rouge_l_f(rt, ht)
-    o = gram_overlaps(df, key, ref, hyp, carry={**per_row, **extra}, stem=stem)
-    return o.select(key, rouge_n_col(o, 1).alias("rouge1"), rouge_n_col(o, 2).alias("rouge2"),
-                    bleu_col(o).alias("bleu"), *per_row, *extra)
+    o = gram_overlaps(df, key, ref, hyp, rouge_orders, bleu, carry={**per_row, **extra}, stem=stem)
+    return o.select(key, *[rouge_n_col(o, n).alias(f"rouge{n}") for n in rouge_orders],
+                    *([bleu_col(o).alias("bleu")] if bleu else []), *per_row, *extra)
 
 
 def _lcs_len(a, b) -> int:

@@ -334,19 +334,29 @@ def pair_metrics(spark, sf):
     return s.select("doc_id", *[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "bleu", "token_f1")])
 
 
-@register("rouge_1", f"SELECT doc_id, round(rouge1, 6) AS rouge1 FROM ({_SCORES_SQL})")
+def _one_sql(metric: str) -> str:
+    scores = q.pair_scores(fx.SQL["pairs3"], "doc_id", "summary", "predicted_summary", metrics=(metric,))
+    return f"SELECT doc_id, round({metric}, 6) AS {metric} FROM ({scores})"
+
+
+def _one(spark, sf, metric: str, **made):
+    s = qa.score_pairs(fx.pairs3(spark, sf), "doc_id", "summary", "predicted_summary", **made)
+    return s.select("doc_id", _r6(F.col(metric)).alias(metric))
+
+
+@register("rouge_1", _one_sql("rouge1"))
 def rouge_1(spark, sf):
-    return pair_metrics(spark, sf).select("doc_id", "rouge1")
+    return _one(spark, sf, "rouge1", rouge_orders=(1,), bleu=False)
 
 
-@register("rouge_2", f"SELECT doc_id, round(rouge2, 6) AS rouge2 FROM ({_SCORES_SQL})")
+@register("rouge_2", _one_sql("rouge2"))
 def rouge_2(spark, sf):
-    return pair_metrics(spark, sf).select("doc_id", "rouge2")
+    return _one(spark, sf, "rouge2", rouge_orders=(2,), bleu=False)
 
 
-@register("bleu", f"SELECT doc_id, round(bleu, 6) AS bleu FROM ({_SCORES_SQL})")
+@register("bleu", _one_sql("bleu"))
 def bleu(spark, sf):
-    return pair_metrics(spark, sf).select("doc_id", "bleu")
+    return _one(spark, sf, "bleu", rouge_orders=())
 
 
 @register("bleu_turns", "SELECT conv_id, turn, round(bleu, 6) AS bleu FROM (" +
@@ -377,6 +387,21 @@ def evaluate_rollup(spark, sf):
     return e.select("lang", "source", *[_r6(F.col(m)).alias(m) for m in qa.METRICS], "n")
 
 
+@register("evaluate_stemmed", None)
+def evaluate_stemmed(spark, sf):
+    """Q3, Q4, Q7, Q8: stemmed ROUGE-1/2/L, BLEU and token F1, averaged per
+    language with a total, for the three pairs of text columns."""
+    out = []
+    p = fx.pairs3(spark, sf)
+    names = ["rouge1", "rouge2", "rougeL", "bleu", "token_f1"]
+    for name, ref, hyp in (("doc_summary", "document", "summary"), ("summary_predicted", "summary", "predicted_summary"),
+                           ("doc_predicted", "document", "predicted_summary")):
+        s = qa.score_pairs(p, "doc_id", ref, hyp, rouge_l=True, stem=True, carry=["lang"])
+        e = qa.evaluate(s, metrics=names, by=["lang"], rollup=True)
+        out.append(e.select(F.lit(name).alias("pair"), "lang", *[_r6(F.col(m)).alias(m) for m in names], "n"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @register("semantic_distance",
           "SELECT vec_id, round(CASE WHEN list_dot_product(a::DOUBLE[], a::DOUBLE[]) = 0 OR "
           "list_dot_product(b::DOUBLE[], b::DOUBLE[]) = 0 THEN 1.0 ELSE "
@@ -877,3 +902,53 @@ def row_ids(spark, sf):
     docs = fx.table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("key"), "text")
     bench = fx.table(spark, sf, "benchmark").select(F.lit("benchmark").alias("src"), F.col("item_id").alias("key"), "text")
     return prep.with_row_id(io.combine([docs, bench]), ["src", "key"]).select("src", "key", "row_id")
+
+
+# ---------------------------------------------------------------- sources and sinks (IO1-IO4, IO8)
+def _fresh(spark, name: str) -> str:
+    import uuid
+    return os.path.join(session.ensure_checkpoint_dir(spark), f"skein-{name}-{uuid.uuid4().hex}")
+
+
+_DOC_COLS = ["doc_id", "text", "lang", "source"]
+_DOC_SCHEMA = "doc_id long, text string, lang string, source string"
+_DOC_SQL = "SELECT doc_id, text, lang, source FROM documents"
+
+
+@register("io_json", _DOC_SQL)
+def io_json(spark, sf):
+    """IO1/IO2/IO4: documents written as JSON lines to two folders, read back
+    as one multi-path source with a declared schema; other files (here CSV
+    beside them) are left out by suffix."""
+    docs, base = fx.table(spark, sf, "documents").select(*_DOC_COLS), _fresh(spark, "json")
+    halves = [F.col("doc_id") % 2 == 0, F.coalesce(F.col("doc_id") % 2 != 0, F.lit(True))]
+    paths = [f"{base}/train_{i}" for i in (0, 1)]
+    for path, half in zip(paths, halves):
+        io.write_threads(docs.filter(half), path, "json")
+        io.write_threads(docs.filter(half).limit(1), path, "csv", mode="append")
+    return io.read_threads(spark, paths, "json", _DOC_SCHEMA, suffix=".json")
+
+
+@register("io_csv", _DOC_SQL)
+def io_csv(spark, sf):
+    """IO3/IO4: CSV round trip of whole texts (line ends and quotes inside)."""
+    base = _fresh(spark, "csv")
+    io.write_threads(fx.table(spark, sf, "documents").select(*_DOC_COLS), base, "csv")
+    return io.read_threads(spark, base, "csv", _DOC_SCHEMA)
+
+
+@register("io_parquet", _DOC_SQL)
+def io_parquet(spark, sf):
+    """IO4: Parquet round trip, partitioned by language."""
+    base = _fresh(spark, "parquet")
+    io.write_threads(fx.table(spark, sf, "documents").select(*_DOC_COLS), base, partition_by=["lang"])
+    return spark.read.parquet(base).select(*_DOC_COLS)
+
+
+@register("io_model", None)
+def io_model(spark, sf):
+    """IO8: a fitted topic model saved to the shared folder, loaded again and
+    applied to every document."""
+    docs, base = fx.table(spark, sf, "documents").select("doc_id", "text"), _fresh(spark, "model")
+    io.save_model(tp.fit_topics(docs, "text", k=5, iters=3), base)
+    return tp.dominant_topic(io.load_model(base), docs, "text").select("doc_id", "topic")

@@ -160,10 +160,12 @@ def gram_overlap(src: str, key: str, ref: str, hyp: str, n: int, tok) -> str:
             f"GROUP BY {key}, g) GROUP BY {key}")
 
 
-def pair_scores(src: str, key: str, ref: str, hyp: str, extra: str = "") -> str:
-    """(key, rouge1, rouge2, bleu, token_f1 [, extra]) for a pair of columns."""
+def pair_scores(src: str, key: str, ref: str, hyp: str, extra: str = "",
+                metrics: tuple[str, ...] = ("rouge1", "rouge2", "bleu")) -> str:
+    """(key, the metrics asked for, token_f1 [, extra]) for a pair of columns."""
     joins, cols = [], {}
-    specs = [("r1", 1, rouge_tokens), ("r2", 2, rouge_tokens)] + [(f"b{n}", n, symbol_tokens) for n in (1, 2, 3, 4)]
+    specs = [(f"r{n}", n, rouge_tokens) for n in (1, 2) if f"rouge{n}" in metrics]
+    specs += [(f"b{n}", n, symbol_tokens) for n in (1, 2, 3, 4) if "bleu" in metrics]
     for lab, n, tok in specs:
         joins.append(f"LEFT JOIN ({gram_overlap(src, key, ref, hyp, n, tok)}) {lab} USING ({key})")
         cols[f"{lab}_ov"] = f"coalesce({lab}.ov, 0)::DOUBLE"
@@ -182,8 +184,8 @@ def pair_scores(src: str, key: str, ref: str, hyp: str, extra: str = "") -> str:
     bp = "CASE WHEN b1_hyp > b1_ref THEN 1.0 ELSE exp(1.0 - b1_ref::DOUBLE / greatest(b1_hyp, 1)) END"
     bleu = (f"CASE WHEN b1_ov = 0 OR b2_ov = 0 OR b3_ov = 0 OR b4_ov = 0 OR b1_hyp = 0 THEN 0.0 "
             f"ELSE {bp} * {geo} END")
-    return (f"SELECT {key}{extra}, {fm('r1')} AS rouge1, {fm('r2')} AS rouge2, {bleu} AS bleu, token_f1 "
-            f"FROM ({inner})")
+    made = {"rouge1": fm("r1"), "rouge2": fm("r2"), "bleu": bleu}
+    return f"SELECT {key}{extra}, {', '.join(f'{made[m]} AS {m}' for m in metrics)}, token_f1 FROM ({inner})"
 
 
 def lead(x: str, k: int) -> str:
