@@ -10,7 +10,8 @@ original text.
 
 What is shuffled for each unit is two digests and its rank, not its text; the
 grouping combines in the map tasks, so a unit that is everywhere arrives once
-a task. The marks of a document meet its text in one join.
+a task; the join that marks its occurrences is one that Spark splits when a
+key is skewed. The marks of a document meet its text in one join.
 
 Defined results: null and empty texts have no units; a null key ranks first;
 rows that are equal in key and text count as one document and share its
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.frames import col
+from skein.llm.frames import col, written
 from skein.llm.vec import SPACE, Words, in_parts, mixed, powers
 
 LEAST_WORDS = 10
@@ -104,7 +105,8 @@ def marked_units(df: DataFrame, key: str = "doc_id", text: str = "text", unit: s
     rank = F.struct("key", "doc", "idx")
     seen = (units.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
             .filter(~F.col("first").eqNullSafe(F.col("last"))).select("h1", "h2", "first"))
-    later = units.join(seen, ["h1", "h2"]).filter(~rank.eqNullSafe(F.col("first")))
+    # Written, so that both sides of the join are exchanged anew and a unit that is everywhere can be split.
+    later = units.join(written(seen, "repeats"), ["h1", "h2"]).filter(~rank.eqNullSafe(F.col("first")))
     return (later.groupBy("key", "doc")
             .agg(F.collect_set(F.struct("idx", F.col("first.key").alias("kept"))).alias("marks")))
 
