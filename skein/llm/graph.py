@@ -12,10 +12,12 @@ def _stars(edges: DataFrame) -> DataFrame:
     """One round: every node links its larger neighbours, then its smaller
     ones and itself, to the least of them."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+    # The minima are written, so that both sides of the joins are exchanged anew and a hub's links can be split.
+    least = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "stars")
     large = (both.join(least, "a").filter(F.col("b") > F.col("a"))
              .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    large = written(large, "stars")
+    least = written(large.groupBy("a").agg(F.min("b").alias("m")), "stars")
     joined = large.join(least, "a")
     return (joined.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b")
             .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
