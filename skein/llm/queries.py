@@ -51,7 +51,7 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_differencing_shards")
 def op6_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sharding.shard(docs, 8).select("doc_id", *sharding.OUTPUTS)
+    return sharding.shard(docs, 8, carry=["doc_id"])
 
 
 @register("op7_exact_dedup", f"""

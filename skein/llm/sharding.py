@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.frames import col, packed, partitions, unpacked, written
+from skein.llm.frames import col, partitions, unpacked, written
 
 BLOCK = 4096      # items that one task differences
 LEAST = 16        # items that a block hands on, at least
@@ -102,13 +102,15 @@ def assigned(groups: DataFrame, shards: int, block: int = BLOCK) -> DataFrame:
     return out
 
 
-def shard(df: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The columns of ``df`` and of each row ``size``, ``text_crc32``, ``law``
+def shard(df: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """The columns ``carry`` of ``df`` (all, if not given; texts that are not
+    needed further need not travel) and of each row ``size``, ``text_crc32``, ``law``
     ('bytes'), ``shard``, ``slot`` (its place in the shard, from 0) and
     ``grown_shard`` (null: this law deals afresh when the count changes)."""
     n = partitions(df.sparkSession)
     raw = F.coalesce(col(text), F.lit(""))
-    rows = df.select(packed(df), col(key).alias("id"), F.sha2(F.encode(raw, "UTF-8"), 256).alias("item"),
+    carry = df.columns if carry is None else carry
+    rows = df.select(F.struct(*map(col, carry)).alias("row"), col(key).alias("id"), F.sha2(F.encode(raw, "UTF-8"), 256).alias("item"),
                      (F.octet_length(raw) + 1).cast("long").alias("size"),
                      F.crc32(F.encode(raw, "UTF-8")).alias("text_crc32"))
     groups = rows.groupBy("item").agg(F.sum("size").alias("weight"))
@@ -122,7 +124,7 @@ def shard(df: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text
     out = (placed.join(F.broadcast(starts), ["shard", "bucket"])
            .withColumn("slot", (F.row_number().over(within) - 1 + F.col("start")).cast("long"))
            .withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int")))
-    return unpacked(out, df.columns, OUTPUTS)
+    return unpacked(out, carry, OUTPUTS)
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
