@@ -42,8 +42,8 @@ from skein.llm.frames import col, written
 from skein.llm.vec import in_parts
 
 LEXICON_SIZE = 262_144
-CACHE_ENTRIES = 300_000   # memoised words in a worker; only speed depends on it
-PART = 2 << 20             # bytes of text that a worker encodes at once
+CACHE_ENTRIES = 160_000   # memoised words in a worker; only speed depends on it
+PART = 1 << 20             # bytes of text that a worker encodes at once
 COUNT_ENTRIES = 300_000   # distinct words that a counting task holds before it hands them on
 LONG_WORD = 48            # bytes from which merging uses a heap, and the lexicon is not asked
 
