@@ -95,7 +95,7 @@ def op3_qgram_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_repeated_passages")
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return repeats.remove_repeats(docs, unit="sentence")
+    return repeats.remove_repeats(docs, unit="sentence", least_words=10, stays=True)
 
 
 @register("op1_ngram_jaccard_join")

@@ -3,10 +3,14 @@
 A text is cut into units; each is normalised (A-Z in lower case, runs of
 white space as one) and digested to 128 bits. All units of all documents are
 grouped by digest; the earliest occurrence by rank (key, then place in the
-document) stays, every later one is marked. Marked neighbours form runs, and
-runs of at least ``LEAST_WORDS`` words are taken out of the text, so that
-short phrases which meet by chance stay. Offsets are characters of the
-original text.
+document) stays, every later one is marked and taken out of the text. Offsets
+are characters of the original text.
+
+A caller that cuts lines into sentences can ask that pieces inside a line stay
+unless their run of marked neighbours has ``least_words`` words, since short
+phrases meet by chance. Lines (and paragraphs) that are marked as a whole
+leave at any length. The pieces that stay are returned with their offsets and
+keepers on demand (``stays``).
 
 What is shuffled for each unit is two digests and its rank, not its text; the
 grouping combines in the map tasks, so a unit that is everywhere arrives once
@@ -33,7 +37,7 @@ from pyspark.sql import types as T
 from skein.llm.frames import col, written
 from skein.llm.vec import SPACE, Words, in_parts, mixed, powers
 
-LEAST_WORDS = 10
+LEAST_WORDS = 1
 OUTPUTS = ["removed", "n_units", "n_removed", "kept_in"]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -41,8 +45,9 @@ _LOWER[65:91] += 32
 
 class Units:
     """The units of some texts: ``first`` (of each text, one more at the
-    end), ``words`` (how many each has), ``digests`` (two columns) and the
-    character offsets at which they begin and end."""
+    end), ``words`` (how many each has), ``digests`` (two columns), ``line``
+    (equal for the units of one line) and the character offsets at which they
+    begin and end."""
 
     def __init__(self, texts: list[str], unit: str):
         w = Words([t.encode("utf-8") for t in texts], ~SPACE)
@@ -63,6 +68,7 @@ class Units:
         end = np.flatnonzero(last)
         start = np.concatenate([[0], end[:-1] + 1]) if len(end) else end
         self.words = end - start + 1
+        self.line = (lines[w.starts[start]] if unit == "sentence" else start) if n else start
         self.first = np.searchsorted(start, w.first)
         chars = np.concatenate([[0], np.cumsum((w.buf & 0xC0) != 0x80)])
         base = chars[w.text_starts][owner[start]] if n else np.zeros(0, dtype=np.int64)
@@ -111,14 +117,24 @@ def marked_units(df: DataFrame, key: str = "doc_id", text: str = "text", unit: s
             .agg(F.collect_set(F.struct("idx", F.col("first.key").alias("kept"))).alias("marks")))
 
 
+def _runs(mark: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of true values."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))).tolist()
+    return list(zip(edge[0::2], edge[1::2]))
+
+
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", unit: str = "line",
-                   least_words: int = LEAST_WORDS) -> DataFrame:
+                   least_words: int = LEAST_WORDS, stays: bool = False) -> DataFrame:
     """The columns of ``df``, the text without repeated passages, ``removed``
     (their offsets), ``n_units``, ``n_removed`` (units taken out) and
-    ``kept_in`` (sorted keys of the documents that keep what was removed)."""
+    ``kept_in`` (sorted keys of the documents that keep what was removed).
+    ``least_words`` holds for runs of sentences inside a line only. With
+    ``stays``, a column of that name has the repeated units that it leaves in
+    the text: offsets, and the key of the document with the first one."""
     if unit not in ("line", "paragraph", "sentence"):
         raise ValueError("unit is 'line', 'paragraph' or 'sentence'")
-    taken = {o.lower() for o in OUTPUTS}
+    outputs = OUTPUTS + ["stays"] * stays
+    taken = {o.lower() for o in outputs}
     kept = [c for c in df.columns if c.lower() not in taken]
     body = df.select(F.struct(*[col(c) for c in kept]).alias("row"), F.xxhash64(col(key), col(text)).alias("doc"),
                      col(key).alias("key"))
@@ -133,26 +149,33 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", unit:
     schema = T.StructType(fields + [T.StructField("removed", T.ArrayType(span)), T.StructField("n_units", T.IntegerType()),
                                     T.StructField("n_removed", T.IntegerType()),
                                     T.StructField("kept_in", T.ArrayType(key_type))])
+    if stays:
+        schema = schema.add("stays", T.ArrayType(T.StructType([*span.fields, T.StructField("kept_in", key_type)])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for part, texts in in_parts(batches, at):
             u = Units(texts, unit)
             nulls = part.column(at).is_null().to_pylist()
-            left, removed, gone, where = [], [], [], []
+            left, removed, gone, where, rest = [], [], [], [], []
             for i, (t, idx, keys) in enumerate(zip(texts, part.column(n).to_pylist(), part.column(n + 1).to_pylist())):
                 lo, hi = u.first[i], u.first[i + 1]
-                out, cut, count, sources = [], [], 0, set()
+                out, cut, count, sources, kept_units = [], [], 0, set(), []
                 if idx:
                     of = dict(zip(idx, keys))
-                    mark = np.zeros(hi - lo + 2, dtype=np.int8)
-                    mark[np.array(idx) + 1] = 1
-                    edge = np.flatnonzero(np.diff(mark))
-                    for a, b in zip(edge[0::2], edge[1::2]):
+                    mark = np.zeros(hi - lo, dtype=bool)
+                    mark[np.array(idx)] = True
+                    new_line = np.append(True, np.diff(u.line[lo:hi]) != 0)
+                    goes = np.logical_and.reduceat(mark, np.flatnonzero(new_line))[np.cumsum(new_line) - 1]
+                    for a, b in _runs(mark):
                         if u.words[lo + a:lo + b].sum() >= least_words:
-                            cut.append((int(u.begin[lo + a]), int(u.end[lo + b - 1])))
-                            count += b - a
-                            sources.update(of[j] for j in range(a, b))
+                            goes[a:b] = True
+                    for a, b in _runs(goes):
+                        cut.append((int(u.begin[lo + a]), int(u.end[lo + b - 1])))
+                        count += b - a
+                        sources.update(of[j] for j in range(a, b))
+                    kept_units = [{"start": int(u.begin[lo + j]), "end": int(u.end[lo + j]), "kept_in": of[j]}
+                                  for j in np.flatnonzero(mark & ~goes).tolist()] if stays else []
                 done = 0
                 for a, b in cut:
                     out.append(t[done:a])
@@ -161,11 +184,13 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", unit:
                 removed.append([{"start": a, "end": b} for a, b in cut])
                 gone.append(int(count))
                 where.append(sorted(sources, key=lambda k: (k is not None, k)))
+                rest.append(kept_units)
             cols = [pa.array(left, pa.string()) if i == at else part.column(i) for i in range(n)]
             keys_type = part.schema.field(n + 1).type
+            more = [pa.array(rest, pa.list_(pa.struct([*spans.value_type, ("kept_in", keys_type.value_type)])))] if stays else []
             yield pa.RecordBatch.from_arrays(
                 [*cols, pa.array(removed, spans), pa.array(np.diff(u.first).astype(np.int32)), pa.array(gone, pa.int32()),
-                 pa.array(where, keys_type)], names=schema.names)
+                 pa.array(where, keys_type), *more], names=schema.names)
 
     out = flat.mapInArrow(run, schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *OUTPUTS)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *outputs)

@@ -81,3 +81,43 @@ def test_passages_within_lines_leave_and_clean_text_stays(spark):
             assert [t[s.start:s.end] for s in got[i].removed] == [passage + " "]
         else:
             assert got[i].text == t and not got[i].removed
+
+
+def test_short_lines_leave_and_pieces_inside_a_line_are_reported(spark):
+    rows = [(1, "Read more here.\nAlpha beta. Of it."), (2, "Gamma delta epsilon. Of it. Zeta eta\nRead  MORE here.\nTheta iota."),
+            (3, "Read more here.\nKappa.\nOf it."), (4, "Alpha beta. Read more here.\nLambda.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in repeats.remove_repeats(df, unit="sentence", least_words=10, stays=True).collect()}
+    assert got[1].text == rows[0][1] and got[1].stays == []
+    assert got[2].text == "Gamma delta epsilon. Of it. Zeta eta\nTheta iota." and got[2].kept_in == [1]
+    assert [(rows[1][1][s.start:s.end], s.kept_in) for s in got[2].stays] == [("Of it. ", 1)]
+    assert got[3].text == "Kappa.\n" and got[3].n_removed == 2 and got[3].stays == []
+    assert got[4].text == "Lambda." and got[4].n_removed == 2
+    by_line = {r.doc_id: r.text for r in repeats.remove_repeats(df, unit="line", least_words=10).collect()}
+    assert by_line[3] == "Kappa.\nOf it." and by_line[2].endswith("Zeta eta\nTheta iota.")
+    whole = {r.doc_id: r.text for r in repeats.remove_repeats(df, unit="sentence").collect()}
+    assert whole[2] == "Gamma delta epsilon. Zeta eta\nTheta iota."
+
+
+def test_least_words_keep_only_pieces_inside_a_line(spark):
+    rnd = random.Random(3)
+    pool = [" ".join(rnd.choice("abcdef") for _ in range(rnd.randrange(1, 6))) + "." for _ in range(30)]
+    rows = [(i, "\n".join(" ".join(rnd.choices(pool, k=rnd.randrange(1, 4)) + [f"own{i}x{j}."] * rnd.randrange(2))
+                          for j in range(rnd.randrange(1, 6)))) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in repeats.remove_repeats(df, unit="sentence", least_words=8, stays=True).collect()}
+    every, few = brute(rows, "sentence", 1), brute(rows, "sentence", 8)
+    part = 0
+    for k, t in rows:
+        cover = lambda spans: {c for a, b in spans for c in range(a, b)}
+        removed, stays = cover(got[k].removed and [(s.start, s.end) for s in got[k].removed]), cover([(s.start, s.end) for s in got[k].stays])
+        assert removed | stays == cover(every[k, t][1]) and not removed & stays
+        assert cover(few[k, t][1]) <= removed
+        at = 0
+        for line in t.split("\n"):
+            chars = set(range(at, at + len(line)))
+            if chars <= cover(every[k, t][1]):
+                assert chars <= removed
+            at += len(line) + 1
+        part += bool(stays)
+    assert part
