@@ -952,3 +952,94 @@ def io_model(spark, sf):
     docs, base = fx.table(spark, sf, "documents").select("doc_id", "text"), _fresh(spark, "model")
     io.save_model(tp.fit_topics(docs, "text", k=5, iters=3), base)
     return tp.dominant_topic(io.load_model(base), docs, "text").select("doc_id", "topic")
+
+
+# ---------------------------------------------------------------- whole texts (H1-H6, Q1-Q8)
+# The hashtag and metric queries above read the first lines; these read every
+# line of ``text``, and the extractive summary of it.
+_TEXT_SRC = "SELECT doc_id, lang, text FROM documents"
+
+
+def _whole_texts(spark, sf):
+    return fx.table(spark, sf, "documents").select("doc_id", "lang", "text")
+
+
+def _summaries(spark, sf):
+    """(doc_id, lang, source, document, text): whole texts and, as ``text``,
+    their extractive summaries (batch preset)."""
+    d = fx.table(spark, sf, "documents").select("doc_id", "lang", "source", F.col("text").alias("document"))
+    p = su.PRESETS["batch"]
+    s = su.summarise(d, "doc_id", "document", p["min_tokens"], p["max_tokens"], p["block_ngram"])
+    return d.join(s.withColumnRenamed("summary", "text"), "doc_id")
+
+
+def _phrases(src):
+    return tg.key_phrases(src, "doc_id", "text").select(
+        "doc_id", "phrase", F.col("kind").cast("int").alias("kind"), "freq", F.col("first_pos").cast("int").alias("first_pos"))
+
+
+def _tag_counts(src):
+    t = tg.hashtags(src, "doc_id", "text", 3).join(src.select("doc_id", "lang"), "doc_id")
+    return tg.hashtag_counts(t, ["lang"], 10).select("lang", "tag", "n", F.col("rank").cast("int").alias("rank"))
+
+
+@register("key_phrases_text", REGISTRY["key_phrases"].sql.replace(_TAG_SRC, _TEXT_SRC))
+def key_phrases_text(spark, sf):
+    """H1-H3: candidate phrases of every whole text."""
+    return _phrases(_whole_texts(spark, sf))
+
+
+@register("hashtags_text", REGISTRY["hashtags"].sql.replace(_TAG_SRC, _TEXT_SRC))
+def hashtags_text(spark, sf):
+    """H4/H5: three hashtags per whole text."""
+    return tg.hashtags(_whole_texts(spark, sf), "doc_id", "text", 3).select("doc_id", "hashtag_line")
+
+
+@register("hashtag_counts_text", REGISTRY["hashtag_counts"].sql.replace(_TAG_SRC, _TEXT_SRC))
+def hashtag_counts_text(spark, sf):
+    """H6: the ten most used hashtags of whole texts per language."""
+    return _tag_counts(_whole_texts(spark, sf))
+
+
+@register("key_phrases_summary", None)
+def key_phrases_summary(spark, sf):
+    """H1-H3: candidate phrases of every extractive summary."""
+    return _phrases(_summaries(spark, sf))
+
+
+@register("hashtags_summary", None)
+def hashtags_summary(spark, sf):
+    """H4/H5: three hashtags per extractive summary."""
+    return tg.hashtags(_summaries(spark, sf), "doc_id", "text", 3).select("doc_id", "hashtag_line")
+
+
+@register("hashtag_counts_summary", None)
+def hashtag_counts_summary(spark, sf):
+    """H6: the ten most used hashtags of extractive summaries per language."""
+    return _tag_counts(_summaries(spark, sf))
+
+
+_TEXT_METRICS = ["rouge1", "rouge2", "rougeL", "bleu", "token_f1"]
+
+
+@register("pair_metrics_text", None)
+def pair_metrics_text(spark, sf):
+    """Q1-Q3, Q5, Q6: every whole document against its extractive summary."""
+    s = qa.score_pairs(_summaries(spark, sf), "doc_id", "document", "text", rouge_l=True)
+    return s.select("doc_id", *[_r6(F.col(c)).alias(c) for c in _TEXT_METRICS])
+
+
+@register("rouge_stemmed_text", None)
+def rouge_stemmed_text(spark, sf):
+    """Q1-Q4: stemmed ROUGE of every whole document against its extractive summary."""
+    s = qa.score_pairs(_summaries(spark, sf), "doc_id", "document", "text", rouge_l=True, stem=True, bleu=False)
+    return s.select("doc_id", *[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL")])
+
+
+@register("evaluate_rollup_text", None)
+def evaluate_rollup_text(spark, sf):
+    """Q7, Q8: averages of pair_metrics_text per language and source with
+    subtotals and a grand total."""
+    s = qa.score_pairs(_summaries(spark, sf), "doc_id", "document", "text", rouge_l=True, carry=["lang", "source"])
+    e = qa.evaluate(s, metrics=_TEXT_METRICS, by=["lang", "source"], rollup=True)
+    return e.select("lang", "source", *[_r6(F.col(m)).alias(m) for m in _TEXT_METRICS], "n")
