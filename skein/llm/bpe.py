@@ -363,7 +363,8 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
 def build_lexicon(df: DataFrame, spec: dict, text: str = "text", size: int = LEXICON_SIZE) -> bytes:
     """The lexicon of the most frequent words of ``df``, ``size`` at most: all
     those from the least step of a sixteenth power of two on that fits."""
-    counts = written(word_counts(df, text), "word-counts")
+    # Words that the lexicon is never asked for are left out, so what is collected is bounded in bytes too.
+    counts = written(word_counts(df, text).filter(F.octet_length("word") < LONG_WORD), "word-counts")
     step = F.floor(F.log2("count") * 16).cast("int")   # at most 1,024 steps
     steps = counts.groupBy(step.alias("step")).count().collect()
     least, held = None, 0

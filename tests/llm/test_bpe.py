@@ -87,3 +87,13 @@ def test_query_equals_the_library(spark, library):
         assert r.n_tokens == len(want)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_long_words_do_not_reach_the_driver(spark, monkeypatch):
+    held = []
+    made = bpe.compile_lexicon
+    monkeypatch.setattr(bpe, "compile_lexicon", lambda entries: held.extend(w for w, _ in entries) or made(entries))
+    words = ["x" * (bpe.LONG_WORD - 1), "x" * bpe.LONG_WORD, "é" * (bpe.LONG_WORD // 2), "junk" * 5_000, "short"]
+    df = spark.createDataFrame([(w,) for w in words], "text string")
+    bpe.build_lexicon(df, bpe.read_tokenizer(PATH))
+    assert sorted(held) == [b"short", b"x" * (bpe.LONG_WORD - 1)]
