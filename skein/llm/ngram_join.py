@@ -203,7 +203,8 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, threshold: float = THRESHOLD):
     """(documents, sets): documents with ``key``, ``row`` and ``cls``; sets
-    with ``cls``, ``copies``, ``copy_id``, ``links`` and ``class_id``."""
+    with ``cls``, ``copies``, ``copy_id``, ``links``, ``class_id`` and
+    ``component`` (tells apart classes whose least key is the same)."""
     parts = partitions(df.sparkSession)
     docs = written(_documents(df, key, text, n), "gram-docs")
     sets = written(docs.groupBy("cls").agg(F.min("key").alias("copy_id"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"),
@@ -237,7 +238,7 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = WOR
     out = (sets.select("node", "cls", "copies", "copy_id").join(links, "node", "left").join(joined, "node", "left")
            .withColumn("component", F.coalesce("component", "node")))
     names = out.groupBy("component").agg(F.min("copy_id").alias("class_id"))
-    out = out.join(names, "component").select("cls", "copies", "copy_id", F.coalesce("links", F.lit(0)).alias("links"), "class_id")
+    out = out.join(names, "component").select("cls", "copies", "copy_id", F.coalesce("links", F.lit(0)).alias("links"), "class_id", "component")
     return docs.select("key", "row", "cls"), out
 
 
@@ -255,7 +256,7 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS,
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """The row of each class with the least key, with the columns of ``df``."""
     docs, sets = classes(df, key, text, n, threshold)
-    best = (docs.join(sets, "cls").groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("cls")).alias("own"))
+    best = (docs.join(sets, "cls").groupBy("component")
             .agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row")).alias("best")).select(F.col("best.row").alias("row")))
     rows = df.select(packed(df, "whole"), F.xxhash64(*map(col, df.columns)).alias("row"))
     out = rows.join(best, "row", "left_semi").dropDuplicates(["row"])

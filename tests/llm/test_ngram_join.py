@@ -85,6 +85,18 @@ def test_one_of_each_class_stays(spark):
     assert nj.deduplicated(df.limit(0)).collect() == [] and nj.join(df.limit(0)).collect() == []
 
 
+def test_classes_with_the_same_least_key_each_keep_one(spark):
+    rnd = random.Random(12)
+    text = lambda: [f"w{rnd.randrange(10**6)}" for _ in range(120)]
+    a, b, c = text(), text(), text()
+    near = lambda t: " ".join([*t[:-1], "changed"])
+    rows = [(7, " ".join(a)), (8, near(a)), (7, " ".join(b)), (9, near(b)), (None, " ".join(c)), (None, near(c))]
+    assert all(links == 1 for *_, links in brute(rows))
+    got = nj.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id for r in got), key=str) == [7, 7, None]
+    assert {rows[0][1], rows[2][1]} < {r.text for r in got}
+
+
 def test_pruning_bound_is_the_posterior():
     # P(similarity >= t) under Beta(m + 1, n - m + 1), by a fine sum over the density.
     x = np.linspace(0, 1, 200_001)[1:-1]
