@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein import session
@@ -49,3 +49,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{session.ensure_checkpoint_dir(spark).rstrip('/')}/skein-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, *order: Column, name: str = "place") -> DataFrame:
+    """``df`` with the place (from 0, without gaps) of each row in ``order``:
+    rows are dealt by sampled ranges and sorted there, and a place is the one
+    in the range plus the counts of the ranges before (one number a partition)."""
+    n = partitions(df.sparkSession)
+    ranges = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    own = written(ranges.select("*", F.spark_partition_id().alias("_range"), inside.alias("_inside")), "numbered")
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = own.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    return own.join(F.broadcast(starts), "_range").select(*[col(c) for c in df.columns], (F.col("_start") + F.col("_inside")).alias(name))

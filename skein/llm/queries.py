@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein import session
+from skein.functions.tokens import let
 from skein.llm import bpe
 from skein.llm import decontaminate
 from skein.llm import exact_dedup as ed
-from skein.llm import ngram_join, ppm, quality, repeats, sharding, toxicity, warc
+from skein.llm import mixing, ngram_join, ppm, quality, repeats, runs, sharding, toxicity, warc
 from skein.llm.frames import table
 
 
@@ -111,6 +112,38 @@ def op8_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              "base_score", "score")
 
 
+def _with_tail_repeated(docs: DataFrame) -> DataFrame:
+    """Every tenth document by crc32(doc_id): its words from one on are those of a cycle."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+
+    def cycled(row):
+        a = row["g"] % row["n"]
+        p = F.lit(1) + F.floor((row["n"] - a) / (F.lit(3) + row["g"] % 8))
+        place = F.transform(F.sequence(F.lit(0).cast("long"), row["n"] - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.array_join(F.transform(place, lambda i: F.element_at(row["w"], (i + 1).cast("int"))), " ")
+
+    changed = F.when((h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"),
+                     let(cycled, w=words, n=F.size(words).cast("long"), g=F.floor(h / 10)))
+    return docs.withColumn("text", F.coalesce(changed, F.col("text")))
+
+
+@register("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_tail_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return runs.find_runs(docs, carry=["doc_id"]).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register("op13_threshold_mix", mixing.sql())
+def op13_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, carry=["doc_id"]).drop("copies")
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
