@@ -13,7 +13,7 @@ from skein.functions.tokens import let
 from skein.llm import bpe
 from skein.llm import decontaminate
 from skein.llm import exact_dedup as ed
-from skein.llm import mixing, ngram_join, ppm, quality, repeats, runs, sharding, toxicity, warc
+from skein.llm import divergence, mixing, ngram_join, ppm, quality, repeats, runs, sharding, toxicity, warc
 from skein.llm.frames import table
 
 
@@ -138,6 +138,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@register("op12_source_divergence", divergence.sql())
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 @register("op13_threshold_mix", mixing.sql())
 def op13_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
