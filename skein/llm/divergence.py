@@ -49,14 +49,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.llm.automaton import Transducer
-from skein.llm.frames import col, numbered, partitions, written
+from skein.llm.frames import col, numbered, written
 from skein.llm.vec import Words, in_parts
 
 LEAST_DOCS, TOP = 3, 200
 RESIDENT, LONGEST, BUCKET = 1 << 19, 64, 1 << 16
 HELD, HELD_BYTES = 300_000, 24 << 20   # entries (and their bytes) that a counting task holds before it hands them on
 PIECE = 1 << 20
-CELLS = 1 << 20          # groups x terms of a block
+CELLS = 1 << 18          # groups x terms of a block
 TILE = 512               # groups whose pairs one task works out
 UNIT = 10 ** 9
 LETTER = np.zeros(256, dtype=bool)
@@ -287,9 +287,7 @@ def audit(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "
     if bound.gids != bound.n:
         raise ValueError("two groups have the same hash")
     members = bound.members or 1
-    # As many blocks as keep all tasks at work, each of a bounded number of cells.
-    spread = math.ceil(max(1, kept.count()) / (2 * partitions(df.sparkSession)))
-    width = max(1, min(CELLS // members, spread)) if members <= CELLS else 1
+    width = max(1, CELLS // members)
     tiles = math.ceil(members / TILE)
     tile = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile")
     blocks = F.sequence(F.floor(F.col("first") / width), F.greatest(F.floor(F.col("last") / width), F.floor(F.col("first") / width)))
