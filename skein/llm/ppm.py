@@ -44,7 +44,8 @@ from skein.llm.frames import col, written
 from skein.llm.vec import SPACE, Table, Words, in_parts, sums
 
 ORDER = 5                # bytes of the longest context; 6 at most fit a gram's 64 bits
-GRAMS, WORDS = 1 << 20, 1 << 18
+GRAMS, WORDS = 1 << 19, 1 << 18
+PART = 256 << 10         # bytes of text that a worker works on at once
 HELD = 600_000           # distinct keys that a counting task holds before it hands them on
 _TABLES: dict[str, tuple] = {}   # of the job that a worker works on
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -93,7 +94,7 @@ def _counted(train: DataFrame, order: int) -> DataFrame:
                         names=["kind", "key", "n"])
                     parts.clear()
 
-        for _, texts in in_parts(batches, 0):
+        for _, texts in in_parts(batches, 0, PART):
             raw = [t.encode("utf-8") for t in texts]
             for kind, keys in ((0, gram_keys(raw, order)[0]), (1, word_keys(raw).hashes())):
                 held[kind].append(np.unique(keys, return_counts=True))
@@ -224,7 +225,7 @@ def score(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, lexicon, end = _tables(name, shared)
-        for part, texts in in_parts(batches, 3):
+        for part, texts in in_parts(batches, 3, PART):
             raw = [t.encode("utf-8") for t in texts]
             g, first = gram_keys(raw, order)
             logp, held = table.get(g)
