@@ -761,6 +761,7 @@ def assemble_threads(spark, sf):
 # ---------------------------------------------------------------- model-based, rows-only
 from skein.operators import ranker as rk  # noqa: E402
 from skein.operators import similar as sm  # noqa: E402
+from skein.operators import similar_index as si  # noqa: E402
 
 
 def _topic_model(spark, sf):
@@ -810,6 +811,29 @@ def embed(spark, sf):
     return e.select("doc_id", *[_r6(F.col(c)).alias(c) for c in e.columns if c != "doc_id"])
 
 
+_SIMILAR_SQL = """
+WITH e AS (SELECT min(vec_id) AS id, count(*) AS n, embedding::DOUBLE[] AS v FROM embeddings GROUP BY embedding),
+q AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 100 = 0),
+s AS (SELECT q.vec_id, e.id AS similar_id, n - (q.v = e.v)::BIGINT AS n_rows, round(list_cosine_similarity(q.v, e.v), 6) AS similarity
+      FROM q, e WHERE n > 1 OR q.v <> e.v)
+SELECT * FROM (SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, similar_id)::INTEGER AS rank,
+                      similar_id, n_rows, similarity FROM s) WHERE rank <= 10"""
+
+
+@register("similar_vectors", _SIMILAR_SQL)
+def similar_vectors(spark, sf):
+    """SI6 over the embedding table, exact: the ten nearest vectors of every
+    hundredth one, among all, block by block."""
+    return si.similar(fx.table(spark, sf, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, exact=True)
+
+
+@register("similar_documents", None)
+def similar_documents(spark, sf):
+    """SI6: the ten most similar documents of every hundredth one, among all,
+    by an index of cells over hashed-term embeddings of the whole texts."""
+    return si.similar_documents(fx.table(spark, sf, "documents"), "doc_id", "text", F.col("doc_id") % 100 == 0)
+
+
 @register("sentence_ranker", None)
 def sentence_ranker(spark, sf):
     """SU3: logistic sentence ranker trained on the 80 % split, scored on the 20 %."""
