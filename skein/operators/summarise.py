@@ -106,17 +106,18 @@ def greedy_pick(rows: pd.DataFrame, min_tokens: int, max_tokens: int, block_ngra
 
 
 def summarise(df: DataFrame, key: str, text: str, min_tokens: int = 40, max_tokens: int = 150,
-              block_ngram: int = 0) -> DataFrame:
+              block_ngram: int = 0, idf: DataFrame | None = None) -> DataFrame:
     """SU2: extractive summary per document. Rank in SQL, pick greedily: take
     sentences by rank, skipping one that would pass ``max_tokens`` or share a
     ``block_ngram``-gram (lower-cased words) with those already taken, until
     ``min_tokens`` is reached; if nothing fits, the top sentence cut to
-    ``max_tokens`` words; output in document order.
+    ``max_tokens`` words; output in document order. ``idf`` (term, idf): from
+    other documents, as in ``sentence_scores``.
 
     The pick is sequential, so it is a fold (``aggregate``) over each
     document's rank-sorted sentence array - a native expression whose input is
     bounded by that one document."""
-    scored = sentence_scores(df, key, text)
+    scored = sentence_scores(df, key, text, idf)
     words = F.transform(tokens(F.col("sentence")), F.lower)
     grams = ngrams(words, block_ngram) if block_ngram else F.array().cast("array<string>")
     per_doc = (scored.groupBy(key)

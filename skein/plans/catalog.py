@@ -878,20 +878,44 @@ def batched(spark, sf):
     return tb(fx.table(spark, sf, "documents").select("doc_id", "text"), 10).select("doc_id", "partition", "batch")
 
 
+def _stream_paths(spark):
+    return th.sink_paths(_fresh(spark, "stream"))
+
+
 @register("thread_stream", None)
 def thread_stream(spark, sf):
-    """ST1: documents through the streaming flow (file source, foreachBatch,
-    Parquet sink, availableNow), read back from the sink."""
-    import uuid
-
-    from skein.session import ensure_checkpoint_dir
-    base = os.path.join(ensure_checkpoint_dir(spark), "streams", uuid.uuid4().hex)
-    sink, ckpt = th.sink_paths(base)
-    schema = fx.table(spark, sf, "documents").select("doc_id", "text").schema
-    th.thread_stream(spark, sf, "documents.parquet", schema, "doc_id", "text", sink, ckpt)
+    """ST1/ST2: documents through the streaming flow (file source, cleaning in
+    the plan, app-preset summary and hashtags of whole threads per
+    micro-batch, Parquet sink, availableNow), read back from the sink."""
+    sink, ckpt = _stream_paths(spark)
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text")
+    idf = session.cut_lineage(su.document_idf(th.thread_text(docs, "doc_id", "text"), "thread"))
+    th.thread_stream(spark, sf, "documents.parquet", docs.schema, "doc_id", "text", sink, ckpt, idf)
     return spark.read.parquet(sink).select("doc_id", "summary", "share_url", "hashtag_line")
 
 
+@register("thread_batch", None)
+def thread_batch(spark, sf):
+    """ST1 as one batch job: the rows that the stream must give."""
+    return th.thread_batch(fx.table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+@register("conversation_stream", REGISTRY["assemble_threads"].sql.replace(" AS thread FROM", " AS thread, true AS complete FROM"))
+def conversation_stream(spark, sf):
+    """ST3 as a stream: the turns of all conversations dealt by hash over
+    files that arrive one after another, so turns come late and out of order;
+    the last turn of a conversation states how many there are."""
+    sink, ckpt = _stream_paths(spark)
+    turns = fx.table(spark, sf, "conversations")
+    ends = turns.groupBy("conv_id").agg(F.max("turn").alias("turn"), F.count(F.lit(1)).alias("n_turns"))
+    source = _fresh(spark, "turns")
+    # One row of the last turn's number states the count; a turn that comes twice may state it twice.
+    dealt = turns.join(ends, ["conv_id", "turn"], "left").select("conv_id", "turn", "text", "n_turns")
+    dealt.repartition(6, F.xxhash64("conv_id", "turn", "text")).write.parquet(source)
+    th.conversation_stream(spark, source, dealt.schema, sink, ckpt, max_files=2)
+    return spark.read.parquet(sink).select("conv_id", "n_turns", "thread", "complete")
+
+
 @register("rouge_stemmed", None)
 def rouge_stemmed(spark, sf):
     """Q1-Q4: ROUGE-1/2/L with Porter stemming (tokens over 3 characters)."""
