@@ -91,15 +91,21 @@ def jaccard(a, b) -> Column:
     return let(f, a=tokens(a), b=tokens(b))
 
 
-def token_f1(ref, hyp) -> Column:
-    """Q6: set overlap over list lengths (repeats count in the denominators)."""
+def list_f1(ref: Column, hyp: Column) -> Column:
+    """Set overlap of two arrays over their list lengths (repeats count in the
+    denominators)."""
     def f(s):
         tr, th = s["r"], s["h"]
         common = F.size(F.array_intersect(tr, th)).cast("double")
         p = F.when(F.size(th) > 0, common / F.size(th)).otherwise(F.lit(0.0))
         r = F.when(F.size(tr) > 0, common / F.size(tr)).otherwise(F.lit(0.0))
         return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
-    return let(f, r=symbol_tokens(ref, lower=True), h=symbol_tokens(hyp, lower=True))
+    return let(f, r=ref, h=hyp)
+
+
+def token_f1(ref, hyp) -> Column:
+    """Q6 over words and symbols: ``list_f1`` of their lower-cased tokens."""
+    return list_f1(symbol_tokens(ref, lower=True), symbol_tokens(hyp, lower=True))
 
 
 def dot(a, b) -> Column:

@@ -1,14 +1,16 @@
 """Summary quality metrics (Q1-Q9).
 
-ROUGE-N and BLEU share one n-gram table: every (metric, order, side, gram) of
-a row comes out of a single Generate, one partial aggregate clips the counts
-per (key, metric, gram), and a second folds them per key. ROUGE-L needs a
-longest common subsequence, computed per row in an Arrow UDF.
+ROUGE-N and BLEU count the n-grams of one row's two texts, so they are row
+functions: tokens are made in the JVM, one Arrow function counts all orders of
+a row, and formulas on the counts are expressions again. ROUGE-L needs a
+longest common subsequence, also by row in an Arrow function. Only averages
+aggregate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,75 +18,55 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.functions.stem import stem_tokens
-from skein.functions.tokens import ngrams, rouge_tokens, symbol_tokens, token_f1
-from skein.session import shuffle_partitions
+from skein.functions.tokens import rouge_tokens, symbol_tokens, token_f1
+from skein.operators.summarise import summarise_with
 
 BLEU_ORDERS = (1, 2, 3, 4)
 
 
-def _tag(metric: int, side: int):
-    def f(g):
-        return F.struct(F.lit(metric).alias("m"), F.lit(side).alias("s"), g.alias("g"))
-    return f
+def overlap(ref: Sequence, hyp: Sequence, n: int) -> int:
+    """How many n-grams of ``hyp`` are also in ``ref``, each counted as often
+    as both have it. Of the longer side, only grams of the shorter are counted."""
+    short, long = sorted((ref, hyp), key=len)
+    one = Counter(zip(*[short[i:] for i in range(n)]))
+    other = Counter(filter(one.__contains__, zip(*[long[i:] for i in range(n)])))
+    return sum(min(c, one[g]) for g, c in other.items())
 
 
 def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
                   rouge_orders: Sequence[int] = (1, 2), bleu: bool = True,
                   carry: Mapping[str, Column] | None = None, stem: bool = False) -> DataFrame:
-    """(key, <label>_overlap, <label>_ref, <label>_hyp ... , *carry).
-
-    One projection tokenises each side once; one Generate emits every tagged
-    n-gram; the per-row ``carry`` values ride along as one small struct
-    grouped along with the key, so no join back to the input is needed. Gram
-    totals per side are sums of the per-gram counts (the number of n-gram
-    positions), so they need not be carried. ``explode_outer`` keeps rows
-    that have no gram at all. On input co-located by ``key`` both aggregates
-    run without a shuffle."""
+    """(key, <label>_overlap, <label>_ref, <label>_hyp ... , *carry), one row
+    for each row of ``df``.
+
+    The texts are tokenised in the JVM; the grams of a row are counted inside
+    the row by one Arrow function, so no gram is a row, nothing is shuffled,
+    and repeated rows and null keys stay apart. The counts need the memory of
+    the shorter text's grams."""
     carry = dict(carry or {})
-    toks = {"rr": rouge_tokens(F.col(ref)), "rh": rouge_tokens(F.col(hyp))} if rouge_orders else {}
-    if stem:
-        toks = {k: stem_tokens(v) for k, v in toks.items()}
-    if bleu:
-        toks.update(br=symbol_tokens(F.col(ref)), bh=symbol_tokens(F.col(hyp)))
-    # Token arrays are materialised once as columns; the n-gram lambdas then
-    # read them instead of re-running the tokeniser per index.
-    # Co-locate each row's tokens by key at their narrowest (a few token
-    # arrays per row, far smaller than the tagged grams): both aggregates
-    # below then run without an exchange. On input already hash-partitioned
-    # by key with the same partition count, Spark drops this exchange.
-    df = df.select(key, *[v.alias(k) for k, v in toks.items()],
-                   *[v.alias(k) for k, v in carry.items()]).repartition(shuffle_partitions(df), key)
-    specs = [(f"rouge{n}", n, F.col("rr"), F.col("rh")) for n in rouge_orders]
+    specs, sides = [], []
+    if rouge_orders:
+        pair = [rouge_tokens(F.col(ref)), rouge_tokens(F.col(hyp))]
+        sides += [stem_tokens(x) for x in pair] if stem else pair
+        specs += [(f"rouge{n}", n, 0) for n in rouge_orders]
     if bleu:
-        specs += [(f"bleu{n}", n, F.col("br"), F.col("bh")) for n in BLEU_ORDERS]
-    # Grams are tagged with the metric's position in ``specs`` (an int is
-    # cheaper to hash and compare than the label string).
-    tagged = []
-    for i, (_, n, r, h) in enumerate(specs):
-        for side, arr in ((0, r), (1, h)):
-            tagged.append(F.transform(ngrams(arr, n), _tag(i, side)))
-    group = [key]
-    cols = [key]
-    if carry:
-        # ``info`` is functionally dependent on ``key``: as a grouping key it
-        # rides through both hash aggregates (a struct buffer would force a
-        # sort).
-        cols.append(F.struct(*[F.col(k) for k in carry]).alias("info"))
-        group.append("info")
-    ex = df.select(*cols, F.explode_outer(F.flatten(F.array(*tagged))).alias("e"))
-    clipped = (ex.groupBy(*group, F.col("e.m").alias("m"), F.col("e.g").alias("g"))
-               .agg(F.sum(F.when(F.col("e.s") == 0, 1).otherwise(0)).alias("cr"),
-                    F.sum(F.when(F.col("e.s") == 1, 1).otherwise(0)).alias("ch")))
-    aggs = []
-    for i, (label, _, _, _) in enumerate(specs):
-        mine = F.col("m") == i
-        aggs += [F.sum(F.when(mine, F.least("cr", "ch"))).alias(f"{label}_overlap"),
-                 F.sum(F.when(mine, F.col("cr"))).alias(f"{label}_ref"),
-                 F.sum(F.when(mine, F.col("ch"))).alias(f"{label}_hyp")]
-    ov = clipped.groupBy(*group).agg(*aggs)
-    out = [F.coalesce(F.col(f"{label}_{part}"), F.lit(0)).cast("bigint" if part == "overlap" else "int")
-           .alias(f"{label}_{part}") for label, _, _, _ in specs for part in ("overlap", "ref", "hyp")]
-    return ov.select(key, *out, *(["info.*"] if carry else []))
+        specs += [(f"bleu{n}", n, len(sides)) for n in BLEU_ORDERS]
+        sides += [symbol_tokens(F.col(ref)), symbol_tokens(F.col(hyp))]
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def counted(*columns: pd.Series) -> pd.Series:
+        out = []
+        for row in zip(*columns):
+            row = [x.tolist() for x in row]
+            out.append([v for _, n, at in specs
+                        for v in (overlap(row[at], row[at + 1], n), max(0, len(row[at]) - n + 1), max(0, len(row[at + 1]) - n + 1))])
+        return pd.Series(out)
+
+    toks = {f"__t{i}": x for i, x in enumerate(sides)}
+    own = df.select(key, *[v.alias(k) for k, v in toks.items()], *[v.alias(k) for k, v in carry.items()])
+    own = own.withColumn("__n", counted(*toks)) if sides else own
+    parts = [(f"{label}_{part}", 3 * i + j) for i, (label, _, _) in enumerate(specs) for j, part in enumerate(("overlap", "ref", "hyp"))]
+    return own.select(key, *[F.col("__n")[at].cast("bigint" if at % 3 == 0 else "int").alias(name) for name, at in parts], *carry)
 
 
 def _fmeasure(ov, n_ref, n_hyp):
@@ -115,10 +97,10 @@ def bleu_col(o: DataFrame):
 def score_pairs(df: DataFrame, key: str, ref: str, hyp: str, rouge_l: bool = False,
                 carry: Sequence[str] | Mapping[str, Column] = (), stem: bool = False,
                 rouge_orders: Sequence[int] = (1, 2), bleu: bool = True) -> DataFrame:
-    """Q1, Q2, Q5, Q6 (and Q3 when asked): one row per key with rouge1,
+    """Q1, Q2, Q5, Q6 (and Q3 when asked): of each row of ``df`` its key, rouge1,
     rouge2, bleu, token_f1 [, rougeL] and the ``carry`` columns; ``stem``
-    applies Porter stemming to the ROUGE tokens (Q4). Only the gram tables of
-    the ``rouge_orders`` and, with ``bleu``, of BLEU are made."""
+    applies Porter stemming to the ROUGE tokens (Q4). Only grams of the
+    ``rouge_orders`` and, with ``bleu``, of BLEU are counted."""
     extra = dict(carry) if isinstance(carry, Mapping) else {c: F.col(c) for c in carry}
     per_row = {"token_f1": token_f1(F.col(ref), F.col(hyp))}
     if rouge_l:
@@ -131,6 +113,14 @@ def score_pairs(df: DataFrame, key: str, ref: str, hyp: str, rouge_l: bool = Fal
                     *([bleu_col(o).alias("bleu")] if bleu else []), *per_row, *extra)
 
 
+def score_all(df: DataFrame, key: str, pairs: Sequence[tuple[str, str, str]], carry: Sequence[str] = (), **options) -> DataFrame:
+    """SI5: ``score_pairs`` for several pairs (name, ref, hyp) of columns in one
+    scan: a row for each row of ``df`` and each pair, named in ``pair``."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("pair"), F.col(r).alias("__ref"), F.col(h).alias("__hyp")) for n, r, h in pairs]))
+    rows = df.select(key, *carry, each.alias("e")).select(key, *carry, "e.*")
+    return score_pairs(rows, key, "__ref", "__hyp", carry=["pair", *carry], **options)
+
+
 def _lcs_len(a, b) -> int:
     """Length of the longest common subsequence, bit-parallel over ``b``
     (Allison-Dix / Hyyro): one big-integer update per token of ``a``."""
@@ -163,6 +153,20 @@ def rouge_l_f(ref: pd.Series, hyp: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+def evaluate_model(df: DataFrame, key: str, text: str, reference: str, make_fn: Callable[[], Callable[[str], str]],
+                   max_in: int | None = None, by: Sequence[str] | None = None) -> DataFrame:
+    """Q9: a supplied summariser (SU1: ``make_fn`` builds it once a partition)
+    over the texts of ``df``, scored against ``reference`` as the reference
+    metrics are (stemmed ROUGE-1/2/L, BLEU, token F1) and averaged, with ``n``
+    and ``n_failed``. A failed row counts as an empty summary."""
+    made = summarise_with(df.select(key, text, reference, *(by or [])), key, text, make_fn, max_in, carry=[reference, *(by or [])])
+    rows = made.withColumn("summary_made", F.coalesce("summary_made", F.lit("")))
+    s = score_pairs(rows, key, reference, "summary_made", rouge_l=True, stem=True, carry={
+        "failed": F.col("error").isNotNull().cast("long"), **{c: F.col(c) for c in by or []}})
+    means = [F.avg(m).alias(m) for m in ("rouge1", "rouge2", "rougeL", "bleu", "token_f1")]
+    return (s.groupBy(*by) if by else s).agg(*means, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("failed"), F.lit(0)).alias("n_failed"))
+
+
 METRICS = ("rouge1", "rouge2", "bleu", "token_f1")
 
 

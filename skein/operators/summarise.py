@@ -13,12 +13,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein.functions.tokens import ngrams, sentences, tokens, word_tokens
 from skein.session import shuffle_partitions
@@ -145,13 +146,16 @@ def summarise(df: DataFrame, key: str, text: str, min_tokens: int = 40, max_toke
 
 
 def summarise_with(df: DataFrame, key: str, text: str, make_fn: Callable[[], Callable[[str], str]],
-                   max_in: int | None = None) -> DataFrame:
+                   max_in: int | None = None, carry: Sequence[str] | None = None) -> DataFrame:
     """SU1: run a supplied summariser over partitions. ``make_fn`` is called
     once per partition (model load). The text is passed untouched; with a
     preset's model input limit ``max_in`` (in words) it is cut after that
     word. A null text has a null summary; a failure yields a null summary
-    with the error and the first 100 characters."""
-    key_type = df.schema[key].dataType.simpleString()
+    with the error and the first 100 characters. With ``carry``, these columns
+    come along, and the summary is named ``summary_made``."""
+    made = "summary" if carry is None else "summary_made"
+    schema = T.StructType([df.schema[c] for c in [key, *(carry or [])]] + [T.StructField(made, T.StringType()),
+                                                                           T.StructField("error", T.StringType())])
 
     def run(batches):
         fn = make_fn()
@@ -167,6 +171,6 @@ def summarise_with(df: DataFrame, key: str, text: str, make_fn: Callable[[], Cal
                 except Exception as e:  # noqa: BLE001 - the error is the result
                     out.append(None)
                     err.append(f"{type(e).__name__}: {e} | {str(t)[:100]}")
-            yield pd.DataFrame({key: pdf[key], "summary": out, "error": err})
+            yield pd.DataFrame({**{c: pdf[c] for c in [key, *(carry or [])]}, made: out, "error": err})
 
-    return df.select(key, text).mapInPandas(run, schema=f"{key} {key_type}, summary string, error string")
+    return df.select(*dict.fromkeys([key, text, *(carry or [])])).mapInPandas(run, schema=schema)

@@ -8,6 +8,7 @@ that is the feature itself, as in ``sample_n`` or a top-k report).
 from __future__ import annotations
 
 import functools
+import math
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -391,15 +392,24 @@ def evaluate_rollup(spark, sf):
 def evaluate_stemmed(spark, sf):
     """Q3, Q4, Q7, Q8: stemmed ROUGE-1/2/L, BLEU and token F1, averaged per
     language with a total, for the three pairs of text columns."""
-    out = []
-    p = fx.pairs3(spark, sf)
     names = ["rouge1", "rouge2", "rougeL", "bleu", "token_f1"]
-    for name, ref, hyp in (("doc_summary", "document", "summary"), ("summary_predicted", "summary", "predicted_summary"),
-                           ("doc_predicted", "document", "predicted_summary")):
-        s = qa.score_pairs(p, "doc_id", ref, hyp, rouge_l=True, stem=True, carry=["lang"])
-        e = qa.evaluate(s, metrics=names, by=["lang"], rollup=True)
-        out.append(e.select(F.lit(name).alias("pair"), "lang", *[_r6(F.col(m)).alias(m) for m in names], "n"))
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    scored = qa.score_all(fx.pairs3(spark, sf), "doc_id", _TEXT_PAIRS, ["lang"], rouge_l=True, stem=True)
+    averages = [F.avg(m).alias(m) for m in names]
+    e = scored.groupingSets([["pair", "lang"], ["pair"]], "pair", "lang").agg(*averages, F.count(F.lit(1)).alias("n"))
+    return e.select("pair", "lang", *[_r6(F.col(m)).alias(m) for m in names], "n")
+
+
+_TEXT_PAIRS = (("doc_summary", "document", "summary"), ("summary_predicted", "summary", "predicted_summary"),
+               ("doc_predicted", "document", "predicted_summary"))
+
+
+@register("pair_metrics_all", None)
+def pair_metrics_all(spark, sf):
+    """SI5: ROUGE-1/2, BLEU and token F1 of all three pairs of text columns
+    (whole documents among them) in one scan. SQL takes minutes for the whole
+    documents' grams; tests hold it against plain counts."""
+    s = qa.score_all(fx.pairs3(spark, sf), "doc_id", _TEXT_PAIRS)
+    return s.select("doc_id", "pair", *[_r6(F.col(c)).alias(c) for c in qa.METRICS])
 
 
 @register("semantic_distance",
@@ -613,7 +623,7 @@ def histogram(spark, sf):
     return dist.histogram(_jaccard_raw(spark, sf), _J_COLS, 20)
 
 
-_S2PI = repr(math.sqrt(2 * math.pi)) if (math := __import__("math")) else ""
+_S2PI = repr(math.sqrt(2 * math.pi))
 
 
 @register("density", f"""
@@ -636,6 +646,38 @@ def density(spark, sf):
     return d.select("series", F.col("i").cast("int").alias("i"), "x", "y")
 
 
+# D1/D2 of the other two similarities: TF-IDF cosine of the three pairs, and the distance of embedding pairs.
+_SIM_COLS = [n for n, _, _ in _COS_PAIRS] + ["semantic_distance"]
+_SIM_LONG_SQL = f"WITH c AS MATERIALIZED ({_cosine_sql()}) " + " UNION ALL ".join(
+    [f"SELECT '{n}' AS series, {n} AS x FROM c" for n, _, _ in _COS_PAIRS]
+    + [f"SELECT 'semantic_distance', semantic_distance FROM ({REGISTRY['semantic_distance'].sql})"])
+
+
+def _similarities(spark, sf):
+    return cosine_tfidf(spark, sf).unionByName(semantic_distance(spark, sf), allowMissingColumns=True)
+
+
+@register("similarity_histogram", REGISTRY["histogram"].sql.replace(_J_LONG_SQL, _SIM_LONG_SQL))
+def similarity_histogram(spark, sf):
+    """20-bin histograms of TF-IDF cosines and embedding distances."""
+    return dist.histogram(_similarities(spark, sf), _SIM_COLS, 20)
+
+
+@register("similarity_density", f"""
+WITH long AS ({_SIM_LONG_SQL}),
+stats AS (SELECT series, count(*) AS n, stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM long GROUP BY series),
+binned AS (SELECT series, floor(x * 1000 + 0.5) / 1000 AS b, count(*) AS c FROM long GROUP BY ALL),
+g AS (SELECT unnest(range(0, 200)) AS i),
+contrib AS (SELECT series, i, n, h, CAST(0.0 AS DOUBLE) + CAST(1.5 AS DOUBLE) * i / CAST(199 AS DOUBLE) AS gx, b, c FROM binned JOIN stats USING (series), g)
+SELECT series, CAST(i AS INTEGER) AS i, round(gx, 6) AS x,
+       round(CASE WHEN h > 0 THEN sum(c * exp(-pow((gx - b) / h, 2) / 2)) / (n * h * CAST({_S2PI} AS DOUBLE)) END, 6) AS y
+FROM contrib GROUP BY series, i, gx, n, h""")
+def similarity_density(spark, sf):
+    """Density curves of TF-IDF cosines and embedding distances on [0, 1.5]."""
+    d = dist.density(_similarities(spark, sf), _SIM_COLS, 0.0, 1.5, 200)
+    return d.select("series", F.col("i").cast("int").alias("i"), "x", "y")
+
+
 @register("metric_summary", f"SELECT series, CAST(count(*) AS BIGINT) AS n, round(avg(x), 6) AS mean, "
                             f"round(stddev_samp(x), 6) AS sd, min(x) AS min, max(x) AS max FROM ({_J_LONG_SQL}) "
                             "GROUP BY series")
@@ -834,6 +876,35 @@ def similar_documents(spark, sf):
     return si.similar_documents(fx.table(spark, sf, "documents"), "doc_id", "text", F.col("doc_id") % 100 == 0)
 
 
+_FEATURES_SQL = f"""
+WITH d AS ({fx.SQL['pairs']}),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({q.word_tokens('document')}) AS term FROM d) GROUP BY ALL),
+idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM d)) / (1.0 + count(*))) + 1.0 AS idf FROM tf GROUP BY term),
+s AS (SELECT doc_id, summary, len(ss) AS n_sent, unnest(range(0, len(ss))) AS spos, unnest(ss) AS sentence
+      FROM (SELECT doc_id, summary, {q.sentences('document')} AS ss FROM d)),
+st AS (SELECT doc_id, spos, unnest({q.word_tokens('sentence')}) AS term FROM s),
+o AS (SELECT doc_id, spos, term, count(*) AS c FROM st GROUP BY ALL),
+o2 AS (SELECT *, sum(c) OVER (PARTITION BY doc_id, term) AS t FROM o),
+m AS (SELECT doc_id, spos, sum(c) AS n, sum(c * idf) AS mass, sum(c * t * idf * idf) AS both_, sum(c * c * idf * idf) AS own
+      FROM o2 JOIN idf USING (term) GROUP BY ALL),
+m2 AS (SELECT *, sum(both_) OVER (PARTITION BY doc_id) AS whole FROM m),
+r AS (SELECT k, rouge1 FROM ({q.pair_scores("SELECT doc_id * 100000 + spos AS k, summary, sentence FROM s", "k", "summary", "sentence", metrics=("rouge1",))})),
+f AS (SELECT s.doc_id, CAST(s.spos AS INTEGER) AS spos, round(s.spos / n_sent, 6) AS rel_pos, coalesce(n, 0)::DOUBLE AS n_tokens,
+             round(coalesce(mass / n, 0.0), 6) AS mean_idf,
+             round(coalesce(CASE WHEN own > 0 AND whole > 0 THEN both_ / sqrt(own * whole) ELSE 0.0 END, 0.0), 6) AS cosine,
+             round(len(list_filter({q.tokens('sentence')}, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) / greatest(len({q.tokens('sentence')}), 1), 6) AS capitals,
+             round(rouge1, 6) AS rouge1
+      FROM s LEFT JOIN m2 USING (doc_id, spos) JOIN r ON r.k = s.doc_id * 100000 + s.spos)
+SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY rouge1 DESC, spos) = 1)::INTEGER::DOUBLE AS label FROM f"""
+
+
+@register("sentence_features", _FEATURES_SQL)
+def sentence_features(spark, sf):
+    """SU3: the five features of every sentence of every document, its
+    ROUGE-1 F against the summary, and the label."""
+    return rk.sentence_features(fx.pairs(spark, sf), "doc_id", "document", "summary")
+
+
 @register("sentence_ranker", None)
 def sentence_ranker(spark, sf):
     """SU3: logistic sentence ranker trained on the 80 % split, scored on the 20 %."""
@@ -841,6 +912,15 @@ def sentence_ranker(spark, sf):
     return scored.select("doc_id", "spos", "label", _r6(F.col("p")).alias("p"))
 
 
+@register("ranker_evaluation", None)
+def ranker_evaluation(spark, sf):
+    """SU3 evaluated on the 20 %: accuracy at 1, and ROUGE-1 of the pick
+    against lead-1 and the best sentence."""
+    _, scored = rk.fit_sentence_ranker(fx.pairs(spark, sf), "doc_id", "document", "summary")
+    e = rk.ranking_evaluation(scored, "doc_id")
+    return e.select("n", *[_r6(F.col(c)).alias(c) for c in e.columns if c != "n"])
+
+
 @register("summarise_with", None)
 def summarise_with(spark, sf):
     """SU1 with a supplied summariser (here: first sentence of the text, built
@@ -870,6 +950,51 @@ def evaluate_model(spark, sf):
     return e.select(*[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL", "bleu", "token_f1")], "n")
 
 
+def _lead_3():
+    """A summariser as a caller supplies it: the first three sentences."""
+    import re
+    ends = re.compile(r"(?<=[.!?])[ \n]+|\n+")
+    return lambda t: " ".join([x for x in ends.split(t) if x.strip()][:3])
+
+
+def _frequent_3():
+    """Another: the three sentences with the most frequent words of the text, in order."""
+    import re
+    from collections import Counter
+    ends, word = re.compile(r"(?<=[.!?])[ \n]+|\n+"), re.compile(r"\w{2,}")
+
+    def summary(t: str) -> str:
+        parts = [x for x in ends.split(t) if x.strip()]
+        n = Counter(word.findall(t.lower()))
+        weight = [sum(n[w] for w in set(word.findall(x.lower()))) / (1 + len(word.findall(x))) for x in parts]
+        best = sorted(sorted(range(len(parts)), key=lambda i: (-weight[i], i))[:3])
+        return " ".join(parts[i] for i in best)
+    return summary
+
+
+@register("evaluate_summarisers", None)
+def evaluate_summarisers(spark, sf):
+    """Q9 with supplied summarisers: each run over the test documents of the
+    exact split (built once a partition) and scored; one row each."""
+    _, test = prep.split_exact(fx.pairs(spark, sf), "doc_id", 0.2, 42)
+    out = [qa.evaluate_model(test, "doc_id", "document", "summary", make).withColumn("summariser", F.lit(name))
+           for name, make in (("lead_3", _lead_3), ("frequent_3", _frequent_3))]
+    e = out[0].unionByName(out[1])
+    return e.select("summariser", *[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL", "bleu", "token_f1")], "n", "n_failed")
+
+
+@register("token_f1_pieces", None)
+def token_f1_pieces(spark, sf):
+    """Q6 on subword tokens, as the models' tokenizers give them: word pieces
+    of summary and lead-2 over one piece vocabulary."""
+    p = fx.pairs3(spark, sf)
+    both = {c: tk.word_tokens(F.col(c)) for c in ("summary", "predicted_summary")}
+    vocab = terms.piece_vocabulary(p.select(tk.word_tokens(F.col("document")).alias("t")), "t", 7000)
+    w = p.select("doc_id", *[v.alias(c) for c, v in both.items()])
+    w = terms.wordpiece(terms.wordpiece(w, "summary", vocab, "r"), "predicted_summary", vocab, "h")
+    return w.select("doc_id", _r6(tk.list_f1(F.col("r"), F.col("h"))).alias("token_f1"))
+
+
 @register("batched", None)
 def batched(spark, sf):
     """Fixed-size batches of 10 rows, numbered inside each partition
