@@ -40,6 +40,46 @@ def test_estimate_finds_accuracies():
     assert max(v for k, v in posterior.items() if k.count("0") >= 4 and "1" not in k) < 0.01
 
 
+def plain_estimate(counts, rounds=200):
+    """Expectation-maximisation one pattern and one vote at a time."""
+    accuracy, prior = [0.9] * len(quality.LABELLERS), 0.5
+    for _ in range(rounds):
+        post = {}
+        for p in counts:
+            good, bad = prior, 1 - prior
+            for a, c in zip(accuracy, p):
+                good *= {"1": a, "0": 1 - a, "-": 1}[c]
+                bad *= {"1": 1 - a, "0": a, "-": 1}[c]
+            post[p] = good / (good + bad)
+        for l in range(len(accuracy)):
+            right = sum(n * (post[p] if p[l] == "1" else 1 - post[p]) for p, n in counts.items() if p[l] != "-")
+            cast = sum(n for p, n in counts.items() if p[l] != "-")
+            accuracy[l] = min(max((right + 9) / (cast + 10), 0.55), 0.99)
+        prior = min(max((sum(post[p] * n for p, n in counts.items()) + 1) / (sum(counts.values()) + 2), 0.05), 0.95)
+    return post, accuracy
+
+
+def test_estimate_against_plain_rounds():
+    rnd = random.Random(8)
+    counts = {"".join(rnd.choices("01-", [2, 3, 5], k=len(quality.LABELLERS))): rnd.randint(1, 50) for _ in range(60)}
+    posterior, accuracy = quality.estimate(counts)
+    post, acc = plain_estimate(counts)
+    assert np.allclose(accuracy, acc, atol=1e-9) and all(abs(posterior[p] - post[p]) < 1e-9 for p in counts)
+
+
+def test_scores_against_a_plain_scorer(spark):
+    rnd = random.Random(9)
+    rows = [(i, prose(rnd) if i % 4 else junk(rnd)) for i in range(200)] + [(500, ""), (501, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit(df)
+    text = dict(rows)
+    for r in quality.score(df, model).collect():
+        ids, _ = quality.Features([text[r.doc_id] or ""]).ids()
+        z = model["intercept"] + (sum(model["weights"][i] for word in ids for i in word) / (3 * len(ids)) if len(ids) else 0.0)
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9 and r.keep == (r.score >= quality.KEEP)
+        assert r.posterior == model["posterior"][r.votes]
+
+
 def test_rejects_junk_and_keeps_prose(spark):
     rnd = random.Random(1)
     rows = [(i, prose(rnd), "x", None) for i in range(400)] + [(1000 + i, junk(rnd), "x", None) for i in range(80)]
