@@ -12,8 +12,9 @@ the whole item against the text, free at both ends.
 Texts are compared by character, letters in lower case and white space as
 spaces; offsets are those of the original text. Every whole document is
 scanned where it lies; the benchmark goes to the workers in blocks of
-``BLOCK`` characters, one pass over the documents a block, so what is
-broadcast never grows with the benchmark and no pairs are shuffled.
+``BLOCK`` characters, each a broadcast of bounded size and a step of the same
+pass; a benchmark of many blocks needs the room of all of them. No pairs are
+shuffled.
 
 Defined results: null or empty documents and items match nothing; for an item
 too short for its budget the budget shrinks until the bound is at least one
@@ -40,6 +41,8 @@ Q = 8
 EDIT_SHARE = 0.1
 BLOCK = 4 << 20        # characters of benchmark in a pass
 FILTER_BITS = 20       # of the table that sorts out most q-grams
+RUN, PAIRS = 4096, 4 << 20   # places of a run of one q-gram; pairs of places that are counted at once, about
+CELL_BITS, HALF = 40, 1 << 39
 OUTPUTS = ["contaminated", "item_ids", "hits"]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FOLD: list[np.ndarray] = []
@@ -74,7 +77,7 @@ def grams(codes: np.ndarray, q: int = Q) -> np.ndarray:
         if len(h) <= width:
             return np.zeros(0, dtype=np.uint64)
         h = h[:-width] * base + h[width:]
-        base, width = base * base, 2 * width
+        base, width = np.uint64(int(base) ** 2 & 0xFFFFFFFFFFFFFFFF), 2 * width
     return mixed(h)
 
 
@@ -128,27 +131,61 @@ class Items:
                 self._verify(flat, ends, codes, item, np.array(open_), width, hits)
         return [_best(x) for x in hits]
 
+    def _cells(self, first: np.ndarray, last: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cell, count) of the shared q-grams of runs of text places that have
+        one q-gram: a cell is an item and a step of its diagonals (in budgets
+        plus one) as one number. A run meets each place of its q-gram in an
+        item on a row of diagonals, which adds to each step at once."""
+        count = self.count[gram]
+        own = np.repeat(self.start[gram], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        item, place = self.item[own], self.place[own]
+        step = self.k[item] + 1
+        low, high = np.repeat(first, count) - place, np.repeat(last, count) - place
+        bands = high // step - low // step + 1
+        if bands.max(initial=1) == 1:
+            return (item << CELL_BITS) + (low // step + HALF), high - low + 1
+        to = np.repeat(np.arange(len(item)), bands)
+        band = low[to] // step[to] + np.arange(len(to)) - np.repeat(np.cumsum(bands) - bands, bands)
+        weight = np.minimum(high[to], (band + 1) * step[to] - 1) - np.maximum(low[to], band * step[to]) + 1
+        return (item[to] << CELL_BITS) + (band + HALF), weight
+
     def _bands(self, at: np.ndarray, which: np.ndarray):
         """(item, bands that reach the bound); a band is named by the
-        diagonal it begins on, in steps of the budget plus one."""
-        count = self.count[which]
-        if not count.sum():
+        diagonal it begins on, in steps of the budget plus one, and two steps
+        wide. Repetitive texts and items share a q-gram at many pairs of
+        places: runs of one q-gram count as one, and the rest is counted in
+        parts, so memory is bounded."""
+        if not len(at):
+            return
+        # Runs of places with one q-gram, RUN at most.
+        new = np.append(True, (which[1:] != which[:-1]) | (at[1:] != at[:-1] + 1))
+        begin = np.flatnonzero(new)
+        inside = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
+        begin = np.flatnonzero(inside % RUN == 0)
+        first, last, gram = at[begin], at[np.append(begin[1:], len(at)) - 1], which[begin]
+        work = np.cumsum(self.count[gram] * (1 + (last - first) // (int(self.k.min()) + 1)))
+        cuts = np.unique(np.append(np.searchsorted(work, np.arange(PAIRS, int(work[-1]), PAIRS)), [0, len(work)]))
+        cells, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            more, weight = self._cells(first[lo:hi], last[lo:hi], gram[lo:hi])
+            if len(cuts) == 2:
+                # A coarse count first leaves few to sort.
+                slot = lambda x: (x * np.int64(0x9E3779B1)) & ((1 << 22) - 1)
+                total = np.bincount(slot(more), weights=weight, minlength=1 << 22)
+                here, bound = total[slot(more)], self.bound[more >> CELL_BITS]
+                keep = (here + total[slot(more + 1)] >= bound) | (here + total[slot(more - 1)] >= bound)
+                more, weight = more[keep], weight[keep]
+            cells, where = np.unique(np.concatenate([cells, more]), return_inverse=True)
+            n = np.bincount(where, weights=np.concatenate([n, weight]), minlength=len(cells)).astype(np.int64)
+        if not len(cells):
             return
-        run = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        own = np.repeat(self.start[which], count) + run
-        item, diagonal = self.item[own], np.repeat(at, count) - self.place[own]
-        first = diagonal // (self.k[item] + 1)
-        # Each q-gram counts in two bands. A coarse count first leaves few to sort.
-        slot = lambda band: ((item * np.int64(0x9E3779B1) + band * np.int64(0x85EBCA77)) & ((1 << 22) - 1))
-        total = np.bincount(slot(first), minlength=1 << 22) + np.bincount(slot(first - 1), minlength=1 << 22)
-        keys = []
-        for band in (first, first - 1):
-            keep = total[slot(band)] >= self.bound[item]
-            keys.append(np.stack([item[keep], band[keep]], axis=1))
-        pairs, n = np.unique(np.concatenate(keys), axis=0, return_counts=True)
-        pairs = pairs[n >= self.bound[pairs[:, 0]]]
-        for i in np.unique(pairs[:, 0]):
-            yield int(i), pairs[pairs[:, 0] == i, 1]
+        # A band is a step and the next one; it begins where its least diagonal lies.
+        after = np.minimum(np.searchsorted(cells, cells + 1), len(cells) - 1)
+        item = cells >> CELL_BITS
+        good = n + np.where(cells[after] == cells + 1, n[after], 0) >= self.bound[item]
+        band = (cells & ((1 << CELL_BITS) - 1)) - HALF
+        for i in np.unique(item[good]):
+            yield int(i), band[good & (item == i)]
 
     def _hit(self, ends, codes, item: int, start: int, end: int, edits: int, hits: list) -> None:
         doc = int(np.searchsorted(ends, end - 1, "right"))
@@ -221,7 +258,7 @@ def _index(name: str, shared) -> Items:
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple]]:
     """The benchmark in blocks of about BLOCK characters."""
     block, size = [], 0
-    for r in benchmark.select(col(item).cast("long").alias("i"), col(text).alias("t")).filter(F.length("t") > 0).toLocalIterator():
+    for r in benchmark.select(col(item).alias("i"), col(text).alias("t")).filter(F.length("t") > 0).toLocalIterator():
         if block and size + len(r.t) > BLOCK:
             yield block
             block, size = [], 0
@@ -230,28 +267,25 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple]]
     yield block
 
 
-HIT = "array<struct<item_id:long,start:int,end:int,edits:int>>"
-
-
 def scan(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
          share: float = EDIT_SHARE) -> DataFrame:
     """The columns of ``df`` and ``contaminated``, ``item_ids`` (sorted) and
     ``hits`` (item, start and end in characters of the text, edits)."""
     sc = df.sparkSession.sparkContext
     kept = [c for c in df.columns if c.lower() not in OUTPUTS]
-    out = df.select(*[col(c) for c in kept], F.array().cast(HIT).alias("hits"))
+    hit = T.StructType([T.StructField("item_id", benchmark.schema[item].dataType), *[T.StructField(n, T.IntegerType()) for n in ("start", "end", "edits")]])
+    out = df.select(*[col(c) for c in kept], F.array().cast(T.ArrayType(hit)).alias("hits"))
     at = kept.index(text)
     for block in _blocks(benchmark, item, item_text):
         shared, name, schema = sc.broadcast((block, share)), uuid.uuid4().hex, out.schema
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             index = _index(name, shared)
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
             for part, texts in in_parts(batches, at):
                 old = part.column(len(kept)).to_pylist()
                 new = [(o or []) + [dict(zip(("item_id", "start", "end", "edits"), h)) for h in f]
                        for o, f in zip(old, index.find(texts))]
-                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], pa.array(new, kind)],
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], pa.array(new, part.column(len(kept)).type)],
                                                  names=[*kept, "hits"])
 
         out = out.mapInArrow(run, schema)

@@ -1,4 +1,6 @@
 import random
+import time
+import tracemalloc
 
 import numpy as np
 
@@ -62,6 +64,59 @@ def test_never_across_texts():
     assert [len(x) for x in index.find(["", t + t, "tiny", "tiny tiny", t.upper()])] == [0, 2, 1, 0, 1]
 
 
+def plain_bands(index, text):
+    """Shared q-grams of every band, pair by pair."""
+    codes, out = dc.folded(text), {}
+    for i, item in enumerate(index.texts):
+        step, cells = int(index.k[i]) + 1, {}
+        places = {}
+        for y in range(len(item) - dc.Q + 1):
+            places.setdefault(item[y:y + dc.Q].tobytes(), []).append(y)
+        for x in range(len(codes) - dc.Q + 1):
+            for y in places.get(codes[x:x + dc.Q].tobytes(), ()):
+                cells[(x - y) // step] = cells.get((x - y) // step, 0) + 1
+        good = [b for b, n in cells.items() if n + cells.get(b + 1, 0) >= index.bound[i]]
+        if good:
+            out[i] = sorted(good)
+    return out
+
+
+def bands(index, text):
+    h = dc.grams(dc.folded(text))
+    which = np.minimum(np.searchsorted(index.grams, h), len(index.grams) - 1)
+    at = np.flatnonzero(index.grams[which] == h)
+    return {i: sorted(b.tolist()) for i, b in index._bands(at, which[at])}
+
+
+def test_bands_of_repetitive_texts(monkeypatch):
+    items = [(1, "a" * 120), (2, "ab" * 60), (3, "a" * 40 + "b" * 60), (4, "xyz " * 30), (5, ITEMS[0][1])]
+    texts = ["a" * 700, "ab" * 300, "a" * 90 + "b" * 90 + "ab" * 90, "xyz " * 100 + "a" * 200, ITEMS[0][1] * 3, "b" * 50, ""]
+    index = dc.Items(items)
+    want = [plain_bands(index, t) for t in texts]
+    assert sum(map(len, want)) > 6
+    for run, pairs in ((4096, 4 << 20), (5, 64), (1, 1000)):
+        monkeypatch.setattr(dc, "RUN", run)
+        monkeypatch.setattr(dc, "PAIRS", pairs)
+        assert [bands(index, t) for t in texts] == want
+
+
+def test_a_long_run_of_one_character():
+    index = dc.Items([(1, "a" * 500), (2, ITEMS[0][1])])
+    tracemalloc.start()
+    begin = time.perf_counter()
+    hits = index.find(["a" * 1_000_000])[0]
+    assert time.perf_counter() - begin < 30 and tracemalloc.get_traced_memory()[1] < 1 << 30
+    tracemalloc.stop()
+    assert len(hits) > 1000 and {h[0] for h in hits} == {1} and all(h[2] - h[1] == 500 and h[3] == 0 for h in hits)
+
+
+def test_text_item_ids(spark):
+    bench = spark.createDataFrame([("mmlu/7", ITEMS[0][1]), (None, ITEMS[1][1])], "item_id string, text string")
+    df = spark.createDataFrame([(1, "x " + ITEMS[0][1]), (2, ITEMS[1][1]), (3, "clean")], "doc_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.item_ids) for r in dc.scan(df, bench).collect()}
+    assert got == {1: (True, ["mmlu/7"]), 2: (True, [None]), 3: (False, [])}
+
+
 def test_blocks_and_clashing_columns(spark, monkeypatch):
     rows = [(1, "x " + ITEMS[0][1] + " y " + ITEMS[1][1], "h"), (None, None, "h"), (2, "", "h"), (3, "clean " * 50_000, "h"),
             (4, ITEMS[0][1], "h"), (4, ITEMS[0][1], "h")]
