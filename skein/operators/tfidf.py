@@ -16,6 +16,37 @@ from skein.operators.terms import term_counts
 from skein.session import shuffle_partitions
 
 
+def tfidf_counts(df: DataFrame, key: str, tok: str) -> DataFrame:
+    """M1's kept model: (term, tf, df), the corpus and document frequency of
+    each term, and one row with a null term whose ``df`` is the number of rows.
+    Counts of different rows add up (``merged_counts``), so a model is refreshed
+    with new rows alone. One partial aggregate gives per-(row, term) counts;
+    a second gives both frequencies."""
+    per_term = (term_counts(df, key, tok).groupBy("term")
+                .agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("df")))
+    rows = df.agg(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf"), F.count(F.lit(1)).alias("df"))
+    return per_term.unionByName(rows)
+
+
+def merged_counts(*counts: DataFrame) -> DataFrame:
+    """The counts of all rows that any of ``counts`` was made from (each row in
+    one of them)."""
+    both = counts[0]
+    for c in counts[1:]:
+        both = both.unionByName(c)
+    return both.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def idf_of(counts: DataFrame, size: int | None = None) -> DataFrame:
+    """(term, idf) of kept counts: ``idf = ln((1+n)/(1+df)) + 1``; with
+    ``size`` only the most frequent ``size`` terms."""
+    n = counts.filter("term IS NULL").agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first().n
+    terms = counts.filter("term IS NOT NULL")
+    if size:
+        terms = terms.orderBy(F.col("tf").desc(), F.col("term")).limit(size)
+    return terms.select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+
+
 def fit_tfidf(df: DataFrame, key: str, tok: str, size: int | None = None) -> DataFrame:
     """M1 fit: (term, idf) with ``idf = ln((1+n)/(1+df)) + 1`` over the rows of
     ``df``; with ``size`` only the most frequent ``size`` terms are kept.

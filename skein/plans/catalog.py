@@ -457,6 +457,20 @@ def tfidf_apply(spark, sf):
     return _tfidf(spark, sf, True)
 
 
+@register("tfidf_refreshed", REGISTRY["tfidf_weights"].sql)
+def tfidf_refreshed(spark, sf):
+    """M1/M2 as a kept model: counts fitted on one half of the documents and
+    saved, refreshed with the other half's, saved and loaded again; the
+    weights are those of a fit on all."""
+    d = fx.table(spark, sf, "documents").select("doc_id", tk.remove_stops(tk.word_tokens(F.col("text"))).alias("t"))
+    half = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0, F.lit(True))
+    first, model = _fresh(spark, "idf"), _fresh(spark, "idf")
+    tf.tfidf_counts(d.filter(half), "doc_id", "t").write.parquet(first)
+    tf.merged_counts(spark.read.parquet(first), tf.tfidf_counts(d.filter(~half), "doc_id", "t")).write.parquet(model)
+    w = tf.tfidf_weights(d, "doc_id", "t", tf.idf_of(spark.read.parquet(model), 7000), bounded=True)
+    return w.select("doc_id", "term", _r6(F.col("weight")).alias("weight"))
+
+
 _COS_PAIRS = (("cosine_sim_doc_summary", "document", "summary"),
               ("cosine_sim_summary_predicted", "summary", "predicted_summary"),
               ("cosine_sim_doc_predicted", "document", "predicted_summary"))
