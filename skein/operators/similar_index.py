@@ -61,16 +61,21 @@ def entries(df: DataFrame, key: str, vector: str, is_query: Column) -> tuple[Dat
     """(entries, members): one row a distinct vector (id, n_rows, asked, vec of
     length 1), and (key, id) of the query rows."""
     squares = F.aggregate(F.col(vector), F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
-    rows = (df.select(F.col(key).alias("key"), F.col(vector).alias("v"), squares.alias("sq"),
-                      F.coalesce(is_query & F.col(key).isNotNull(), F.lit(False)).alias("asked"))
-            .filter((F.col("sq") > 0) & (F.col("sq") < float("inf"))))
+    hashes = [F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")]
+
+    def usable(part: DataFrame) -> DataFrame:
+        rows = part.select(F.col(key).alias("key"), F.col(vector).alias("v"), squares.alias("sq"),
+                           F.coalesce(is_query & F.col(key).isNotNull(), F.lit(False)).alias("asked"))
+        return rows.filter((F.col("sq") > 0) & (F.col("sq") < float("inf")))
+
     unit = F.transform("v", lambda x: x.cast("double") / F.sqrt("sq"))
-    rows = rows.select("key", "asked", unit.alias("vec"), F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
+    rows = usable(df).select("key", "asked", unit.alias("vec"), *hashes)
     first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "vec"))
     found = rows.groupBy("h1", "h2").agg(first.alias("f"), F.count(F.lit(1)).alias("n_rows"), F.max("asked").alias("asked"))
     found = _written(found.select(F.xxhash64("h1", "h2").alias("id"), "h1", "h2", F.col("f.key").alias("name"), "n_rows", "asked",
                                   F.col("f.vec").alias("vec")), "similar-entries")
-    members = rows.filter("asked").select("key", F.xxhash64("h1", "h2").alias("id"))
+    # The query rows are picked before their vectors are made again.
+    members = usable(df.filter(is_query & F.col(key).isNotNull())).select("key", *hashes).select("key", F.xxhash64("h1", "h2").alias("id"))
     return found.drop("h1", "h2"), members
 
 
