@@ -20,6 +20,7 @@ from skein import fixed, session
 from skein.functions import text as tx
 from skein.functions import tokens as tk
 from skein.operators import prep
+from skein.operators import slang as sl
 from skein.operators import terms
 from skein.plans import sqltext as q
 from skein.sources import fixtures as fx
@@ -119,6 +120,29 @@ def slang_stats(spark, sf):
                                      F.count_distinct("kind", "id").alias("texts"))
 
 
+@register("expand_slang_table", REGISTRY["expand_slang"].sql)
+def expand_slang_table(spark, sf):
+    """C9 by a table: the dictionary's entries, applied as a hash of any size."""
+    low = fx.corpus(spark, sf).withColumn("text", F.lower("text"))
+    return sl.expand_slang_table(low, "text", sl.slang_table(spark, fixed.SLANG), "clean").select("kind", "id", "clean")
+
+
+@register("slang_table_stats",
+          "WITH w AS (SELECT kind, id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS slang "
+          f"FROM ({fx.SQL['corpus']})) SELECT slang, CAST(count(*) AS BIGINT) AS hits, "
+          "CAST(count(DISTINCT (kind, id)) AS BIGINT) AS texts FROM w WHERE substr(md5(slang), 1, 1) < '4' GROUP BY slang")
+def slang_table_stats(spark, sf):
+    """C12 by a large table: a quarter of the corpus' own words as entries,
+    which of them fire, how often and in how many texts."""
+    c = fx.corpus(spark, sf).withColumn("text", F.lower("text"))
+    words = (c.select(F.explode(F.regexp_extract_all("text", F.lit(fixed.WORD + "+"), F.lit(0))).alias("slang")).distinct()
+             .filter(F.substring(F.md5("slang"), 1, 1) < "4"))
+    table = words.select("slang", F.upper("slang").alias("expansion"), F.xxhash64("slang").alias("place"))
+    hits = sl.expand_slang_table(c, "text", table).select("kind", "id", F.explode("slang_hits").alias("slang"))
+    per_text = hits.groupBy("kind", "id", "slang").agg(F.count(F.lit(1)).alias("n"))
+    return per_text.groupBy("slang").agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("texts"))
+
+
 # ---------------------------------------------------------------- tables (IO, U, P)
 @register("union_by_name",
           "SELECT doc_id, text, lang FROM documents UNION ALL BY NAME SELECT item_id AS doc_id, text FROM benchmark")
@@ -867,6 +891,62 @@ def embed(spark, sf):
     return e.select("doc_id", *[_r6(F.col(c)).alias(c) for c in e.columns if c != "doc_id"])
 
 
+_EMBED_PAIRS = (("doc_summary", "document", "summary"), ("summary_predicted", "summary", "predicted_summary"),
+                ("doc_predicted", "document", "predicted_summary"))
+
+
+def _trigram_encoder():
+    """An encoder as a caller supplies it: hashed character trigrams of each
+    text, projected to 64 columns by a fixed matrix that is made once."""
+    import zlib
+
+    import numpy as np
+    matrix = np.random.default_rng(42).standard_normal((4096, 64)) / 8
+
+    def encode(texts: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(texts), 64))
+        for i, t in enumerate(texts.reshape(-1)):
+            raw = np.frombuffer(t.encode(), np.uint8).astype(np.int64)
+            if len(raw) > 2:
+                gram = (raw[:-2] * 65599 + raw[1:-1]) * 65599 + raw[2:]
+                out[i] = np.bincount(gram % 4096, minlength=4096) @ matrix
+            elif len(raw):
+                out[i] = matrix[zlib.crc32(raw.tobytes()) % 4096]
+        return out
+    return encode
+
+
+@register("embed_encoder", None)
+def embed_encoder(spark, sf):
+    """SI3 with a supplied encoder over the three texts, distances per pair."""
+    e = sm.embedding_distances(fx.pairs3(spark, sf), "doc_id", _EMBED_PAIRS, "encoder", model=_trigram_encoder)
+    return e.select("doc_id", *[_r6(F.col(c)).alias(c) for c in e.columns if c != "doc_id"])
+
+
+@register("embed_word2vec", None)
+def embed_word2vec(spark, sf):
+    """SI3 by one Word2Vec model fitted on the documents, distances per pair."""
+    p = fx.pairs3(spark, sf)
+    e = sm.embedding_distances(p, "doc_id", _EMBED_PAIRS, "word2vec", model=sm.fit_word2vec(p, "document"))
+    return e.select("doc_id", *[_r6(F.col(c)).alias(c) for c in e.columns if c != "doc_id"])
+
+
+@register("embed_table",
+          "SELECT d.doc_id, round(CASE WHEN a.embedding IS NULL OR b.embedding IS NULL THEN NULL "
+          "WHEN list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) = 0 OR "
+          "list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]) = 0 THEN 1.0 ELSE "
+          "1.0 - list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) END, 6) AS semantic_distance "
+          "FROM documents d LEFT JOIN embeddings a ON a.vec_id = d.doc_id LEFT JOIN embeddings b ON b.vec_id = d.doc_id // 2")
+def embed_table(spark, sf):
+    """SI3 by a table of vectors: distance of each document to the one with
+    half its number, null where the table lacks a vector."""
+    d = fx.table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 2).alias("other"))
+    v = fx.table(spark, sf, "embeddings")
+    both = sm.embed_from_table(sm.embed_from_table(d, "doc_id", v, "vec_id", "embedding", "a"), "other", v, "vec_id", "embedding", "b")
+    known = F.col("a").isNotNull() & F.col("b").isNotNull()
+    return both.select("doc_id", F.when(known, _r6(tk.semantic_distance(F.col("a"), F.col("b")))).alias("semantic_distance"))
+
+
 _SIMILAR_SQL = """
 WITH e AS (SELECT min(vec_id) AS id, count(*) AS n, embedding::DOUBLE[] AS v FROM embeddings GROUP BY embedding),
 q AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 100 = 0),

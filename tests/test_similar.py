@@ -97,3 +97,18 @@ def brute_fast(rows, k):
                 s[c] = -np.inf
             out[int(key)] = [(None, None, v) for v in sorted(s.tolist(), reverse=True)[:k]]
     return out
+
+
+def test_encoder_and_table_of_vectors(spark):
+    from skein.operators.similar import embed_from_table
+    from skein.plans.catalog import _trigram_encoder
+    df = spark.createDataFrame([(1, "some text"), (1, "some text"), (2, ""), (None, None), (3, "é" * 5000)], "k int, t string")
+    got = embed(df, "t", method="encoder", model=_trigram_encoder).collect()
+    encode = _trigram_encoder()
+    for r in got:
+        assert r.embedding is None if r.t is None else np.allclose(r.embedding, encode(np.array([r.t]))[0])
+    assert len(got) == 5
+    vectors = spark.createDataFrame([(1, [2.0, 0.0]), (1, [1.0, 5.0]), (None, [9.0, 9.0])], "id int, v array<float>")
+    rows = embed_from_table(df, "k", vectors, "id", "v").collect()
+    assert sorted(map(str, ((r.k, r.embedding) for r in rows))) == sorted(map(str, [
+        (1, [1.0, 5.0]), (1, [1.0, 5.0]), (2, None), (None, None), (3, None)]))
