@@ -167,6 +167,19 @@ def evaluate_model(df: DataFrame, key: str, text: str, reference: str, make_fn:
     return (s.groupBy(*by) if by else s).agg(*means, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("failed"), F.lit(0)).alias("n_failed"))
 
 
+def evaluate_summariser(df: DataFrame, key: str, text: str, reference: str, summariser,
+                        by: Sequence[str] | None = None) -> DataFrame:
+    """Q9 for any summariser, a function (df, key, text) -> (key, summary) as
+    ``summarise.extractive``, ``summarise.supplied`` and ``ranker.load_ranker``
+    give: averages as in ``evaluate_model`` and ``n``. A null or missing summary
+    counts as an empty one. ``key`` names one document each."""
+    made = summariser(df.select(key, text), key, text).select(key, F.col("summary").alias("__made"))
+    rows = df.select(key, reference, *(by or [])).join(made, key, "left").withColumn("__made", F.coalesce("__made", F.lit("")))
+    s = score_pairs(rows, key, reference, "__made", rouge_l=True, stem=True, carry=by or [])
+    means = [F.avg(m).alias(m) for m in ("rouge1", "rouge2", "rougeL", "bleu", "token_f1")]
+    return (s.groupBy(*by) if by else s).agg(*means, F.count(F.lit(1)).alias("n"))
+
+
 METRICS = ("rouge1", "rouge2", "bleu", "token_f1")
 
 

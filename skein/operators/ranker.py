@@ -19,13 +19,14 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.functions.tokens import sentences, tokens, word_tokens
 from skein.operators.prep import split_exact
 from skein.operators.quality import score_pairs
-from skein.operators.summarise import document_idf
+from skein.operators.summarise import Summariser, document_idf
+from skein.sources.io import load_model, save_model
 from skein.session import shuffle_partitions
 
 FEATURES = ["rel_pos", "n_tokens", "mean_idf", "cosine", "capitals"]
@@ -62,14 +63,19 @@ def sentence_features(df: DataFrame, key: str, text: str, summary: str, idf: Dat
     return found.withColumn("label", (F.row_number().over(best) == 1).cast("double"))
 
 
+def fit_on(docs: DataFrame, key: str, text: str, summary: str, idf: DataFrame):
+    """The ranker's pipeline, fitted on all sentences of ``docs``."""
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"),
+                            LogisticRegression(maxIter=20, featuresCol="features", labelCol="label")])
+    return pipe.fit(sentence_features(docs, key, text, summary, idf))
+
+
 def fit_sentence_ranker(df: DataFrame, key: str, text: str, summary: str, test: float = 0.2, seed: int = 42):
     """Returns (model, scored test sentences with ``rouge1``, ``label`` and
     ``p`` = probability of label 1)."""
     train_docs, test_docs = split_exact(df.select(key, text, summary), key, test, seed)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"),
-                            LogisticRegression(maxIter=20, featuresCol="features", labelCol="label")])
     idf = document_idf(train_docs, text)   # of the train documents, for both
-    model = pipe.fit(sentence_features(train_docs, key, text, summary, idf))
+    model = fit_on(train_docs, key, text, summary, idf)
     scored = model.transform(sentence_features(test_docs, key, text, summary, idf))
     return model, scored.select(key, "spos", "rouge1", "label", vector_to_array("probability")[1].alias("p"))
 
@@ -83,3 +89,28 @@ def ranking_evaluation(scored: DataFrame, key: str) -> DataFrame:
     docs = scored.groupBy(key).agg(top.alias("top"), lead.alias("lead"), F.max("rouge1").alias("best"))
     return docs.agg(F.count(F.lit(1)).alias("n"), F.avg("top.label").alias("accuracy_at_1"), F.avg("top.rouge1").alias("rouge1_top"),
                     F.avg("lead").alias("rouge1_lead1"), F.avg("best").alias("rouge1_best"))
+
+
+def save_ranker(model, idf: DataFrame, path: str) -> None:
+    """A fitted ranker as a model in a (shared) folder: the pipeline (IO8) and its idf table."""
+    save_model(model, f"{path}/pipeline")
+    idf.write.mode("overwrite").parquet(f"{path}/idf")
+
+
+def load_ranker(spark: SparkSession, path: str, k: int = 3) -> Summariser:
+    """A summariser from that folder: the ``k`` sentences with the highest
+    probability (ties: the earlier one), in document order. A null or empty
+    text has an empty summary; ``key`` names one document each."""
+    model, idf = load_model(f"{path}/pipeline"), spark.read.parquet(f"{path}/idf")
+
+    def run(df: DataFrame, key: str, text: str) -> DataFrame:
+        docs = df.select(key, text).withColumn("__none", F.lit(""))
+        scored = model.transform(sentence_features(docs, key, text, "__none", idf)).select(
+            key, "spos", vector_to_array("probability")[1].alias("p"))
+        best = Window.partitionBy(key).orderBy(F.col("p").desc(), F.col("spos"))
+        top = (scored.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k)
+               .groupBy(key).agg(F.array_sort(F.collect_list("spos")).alias("__at")))
+        picked = F.transform(F.col("__at"), lambda i: F.get(F.col("__s"), i))
+        return (df.select(key, sentences(F.col(text)).alias("__s")).join(top, key, "left")
+                .select(key, F.coalesce(F.array_join(picked, " "), F.lit("")).alias("summary")))
+    return run

@@ -174,3 +174,18 @@ def summarise_with(df: DataFrame, key: str, text: str, make_fn: Callable[[], Cal
             yield pd.DataFrame({**{c: pdf[c] for c in [key, *(carry or [])]}, made: out, "error": err})
 
     return df.select(*dict.fromkeys([key, text, *(carry or [])])).mapInPandas(run, schema=schema)
+
+
+# A summariser is a function (df, key, text) -> (key, summary), one row for each row of ``df``.
+Summariser = Callable[[DataFrame, str, str], DataFrame]
+
+
+def extractive(preset: str) -> Summariser:
+    """SU2 with a named preset."""
+    p = PRESETS[preset]
+    return lambda df, key, text: summarise(df, key, text, p["min_tokens"], p["max_tokens"], p["block_ngram"])
+
+
+def supplied(make_fn: Callable[[], Callable[[str], str]], max_in: int | None = None) -> Summariser:
+    """SU1 with a supplied function; a failed row has a null summary."""
+    return lambda df, key, text: summarise_with(df, key, text, make_fn, max_in).select(key, "summary")

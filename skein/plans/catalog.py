@@ -1077,6 +1077,22 @@ def evaluate_summarisers(spark, sf):
     return e.select("summariser", *[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL", "bleu", "token_f1")], "n", "n_failed")
 
 
+@register("evaluate_loaded", None)
+def evaluate_loaded(spark, sf):
+    """Q9 behind one interface: the extractive summariser, a supplied one, and
+    a ranker fitted on the train documents, saved (IO8) and loaded again;
+    each over the test documents of the exact split, one row each."""
+    p, path = fx.pairs(spark, sf), _fresh(spark, "ranker")
+    train, test = prep.split_exact(p, "doc_id", 0.2, 42)
+    idf = su.document_idf(train, "document")
+    rk.save_ranker(rk.fit_on(train, "doc_id", "document", "summary", idf), idf, path)
+    made = {"extractive": su.extractive("pipeline"), "lead_3": su.supplied(_lead_3), "ranker": rk.load_ranker(spark, path)}
+    out = [qa.evaluate_summariser(test, "doc_id", "document", "summary", s).withColumn("summariser", F.lit(name))
+           for name, s in made.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), out).select(
+        "summariser", *[_r6(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL", "bleu", "token_f1")], "n")
+
+
 @register("token_f1_pieces", None)
 def token_f1_pieces(spark, sf):
     """Q6 on subword tokens, as the models' tokenizers give them: word pieces
@@ -1268,6 +1284,16 @@ def hashtag_counts_text(spark, sf):
     return _tag_counts(_whole_texts(spark, sf))
 
 
+@register("hashtag_trends", None)
+def hashtag_trends(spark, sf):
+    """H6 rolled up: states of the hashtags of whole texts by language and
+    source, written once, and the ten most used of each language from them."""
+    src, path = _whole_texts(spark, sf), _fresh(spark, "tags")
+    t = tg.hashtags(src, "doc_id", "text", 3).join(fx.table(spark, sf, "documents").select("doc_id", "lang", "source"), "doc_id")
+    tg.tag_states(t, ["lang", "source"]).write.parquet(path)
+    return tg.trending(spark.read.parquet(path), ["lang"], 10).select("lang", "tag", "n", "n_over", F.col("rank").cast("int").alias("rank"))
+
+
 @register("key_phrases_summary", None)
 def key_phrases_summary(spark, sf):
     """H1-H3: candidate phrases of every extractive summary."""
