@@ -54,15 +54,17 @@ def sentiment_long(df: DataFrame, key: str, cols: Sequence[str], lexicon: DataFr
     amp = (F.least(bang, F.lit(fixed.SENT_EXCLAIM_MAX)) * fixed.SENT_EXCLAIM
            + F.when(quest > 3, fixed.SENT_QUESTION_MANY).when(quest > 1, quest * fixed.SENT_QUESTION).otherwise(0.0))
     rows = long.select(key, "column", F.col("text").isNull().alias("is_null"), amp.alias("amp"),
-                       toks.alias("toks")).withColumn("low", F.transform("toks", F.lower))
+                       toks.alias("toks"))
+    # Each token is lowered and looked at for capitals once; its followers read that from the arrays.
+    rows = rows.withColumns({"low": F.transform("toks", F.lower), "ups": F.transform("toks", _is_upper)})
     rows = rows.withColumns({
         "but": F.array_position("low", "but") - 1,
-        "caps_mix": F.exists("toks", _is_upper) & F.exists("toks", lambda t: ~_is_upper(t)),
+        "caps_mix": F.array_contains("ups", True) & F.array_contains("ups", False),
     })
     occ = F.transform("low", lambda t, i: F.struct(
-        i.alias("pos"), t.alias("token"), _is_upper(F.get(F.col("toks"), i)).alias("up"),
+        i.alias("pos"), t.alias("token"), F.get(F.col("ups"), i).alias("up"),
         *[F.get(F.col("low"), i - d).alias(f"p{d}") for d in (1, 2, 3)],
-        *[_is_upper(F.get(F.col("toks"), i - d)).alias(f"u{d}") for d in (1, 2, 3)]))
+        *[F.get(F.col("ups"), i - d).alias(f"u{d}") for d in (1, 2, 3)]))
     ex = rows.select(key, "column", "is_null", "amp", "but", "caps_mix", F.explode_outer(occ).alias("o"))
     ex = ex.select(key, "column", "is_null", "amp", "but", "caps_mix", "o.*")
     # A token without a predecessor gets one that no lexicon holds, another for each key: null keys of a
