@@ -8,7 +8,9 @@ on those counts estimates each labeller's accuracy and with that the
 posterior probability of good for each pattern. The posteriors are the labels
 that train a hashed linear scorer (word shapes, words and repetitions, as
 shares of a document's words) by logistic regression in numpy, on a bounded
-sample of ``SAMPLE`` documents. The scorer scores every whole text.
+sample: every so manieth row by its hash, about ``SAMPLE`` to twice that, equal
+rows once, as many as fit ``SAMPLE_BYTES`` in order of hash (a longer one is
+left out, later ones may fit). The scorer scores every whole text.
 
 Defined results: a null text counts as empty; a document without words gets
 no votes and the score of the intercept, and is kept only if that is at least
@@ -31,6 +33,7 @@ from skein.llm.frames import col
 from skein.llm.vec import SPACE, Words, in_parts, sums
 
 SAMPLE = 6000      # documents that train the scorer, about
+SAMPLE_BYTES = 64 << 20   # most bytes of text among them
 BUCKETS = 1 << 12  # hashed features
 EPOCHS = 200
 KEEP = 0.3         # least score of a document that is kept
@@ -181,7 +184,17 @@ def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict:
                 [pa.array(f.patterns(), pa.string()), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
                  pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=["votes", "ids", "shares"])
 
-    rows = (df.filter(F.pmod(F.xxhash64(*map(col, df.columns)), F.lit(every)) == 0).select(col(text)).limit(2 * sample)
+    h = F.xxhash64(*map(col, df.columns))
+    share = df.select(h.alias("h"), col(text).alias("text")).filter(F.pmod("h", F.lit(every)) == 0)
+    # Sizes first (equal rows meet map-side), so that only the texts that fit are read by tasks and come here.
+    sizes = share.groupBy("h").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size")).collect()
+    fits, total = [], 0
+    for r in sorted(sizes, key=lambda r: r.h):
+        if total + r.size <= SAMPLE_BYTES:
+            fits.append((r.h,))
+            total += r.size
+    chosen = F.broadcast(df.sparkSession.createDataFrame(fits, "h long"))   # about 2 x sample numbers at most
+    rows = (share.join(chosen, "h").groupBy("h").agg(F.min("text").alias("text")).select("text")
             .mapInArrow(features, "votes string, ids array<long>, shares array<double>").collect())
     target = np.array([posterior[r.votes] for r in rows])
     w, b = _train([np.array(r.ids, dtype=np.int64) for r in rows], [np.array(r.shares) for r in rows], target)

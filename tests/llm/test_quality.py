@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from skein.llm import quality
 
@@ -106,3 +107,26 @@ def test_against_labels(spark):
     got = quality.classify(docs.select("doc_id", "text")).join(labels, "doc_id").select("quality", "keep").collect()
     bad, good = [r.keep for r in got if r.quality == 0], [r.keep for r in got if r.quality == 1]
     assert np.mean(bad) < 0.05 and np.mean(good) > 0.98
+
+
+def test_sample_is_bounded_in_bytes_and_repeats_do_not_count(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(i, prose(rnd) if i % 3 else junk(rnd), None, "x") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = quality.fit(df)
+    # One row a thousand times over changes the votes that EM counts, not the rows that train.
+    seen = []
+    train = quality._train
+    monkeypatch.setattr(quality, "_train", lambda ids, shares, target: seen.append(len(ids)) or train(ids, shares, target))
+    copies = df.unionByName(spark.range(1000).select(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(rows[0], df.dtypes)]))
+    quality.fit(copies)
+    quality.fit(df)
+    assert seen == [300, 300]
+    # A text that is too long alone is left out, the others stay.
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 1 << 20)
+    long = spark.createDataFrame([(-1, prose(rnd, 300_000), None, "x")], SCHEMA)
+    model = quality.fit(df.unionByName(long))
+    assert seen[-1] == 300 and set(model["posterior"]) >= set(plain["posterior"])
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 4000)
+    quality.fit(df)
+    assert 0 < seen[-1] < 30
