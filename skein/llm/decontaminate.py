@@ -13,8 +13,10 @@ Texts are compared by character, letters in lower case and white space as
 spaces; offsets are those of the original text. Every whole document is
 scanned where it lies; the benchmark goes to the workers in blocks of
 ``BLOCK`` characters, each a broadcast of bounded size and a step of the same
-pass; a benchmark of many blocks needs the room of all of them. No pairs are
-shuffled.
+pass. After ``HELD`` blocks the rows with their hits are written to the shared
+folder and those broadcasts are released, so the room that is needed does not
+grow with the benchmark (a larger one reads the rows once more for every
+``HELD`` blocks). No pairs are shuffled.
 
 Defined results: null or empty documents and items match nothing; for an item
 too short for its budget the budget shrinks until the bound is at least one
@@ -34,12 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.frames import col
+from skein.llm.frames import col, written
 from skein.llm.vec import in_parts, mixed
 
 Q = 8
 EDIT_SHARE = 0.1
 BLOCK = 4 << 20        # characters of benchmark in a pass
+HELD = 4               # passes in one plan; more write the rows in between
 FILTER_BITS = 20       # of the table that sorts out most q-grams
 RUN, PAIRS = 4096, 4 << 20   # places of a run of one q-gram; pairs of places that are counted at once, about
 CELL_BITS, HALF = 40, 1 << 39
@@ -275,16 +278,22 @@ def scan(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "i
     kept = [c for c in df.columns if c.lower() not in OUTPUTS]
     hit = T.StructType([T.StructField("item_id", benchmark.schema[item].dataType), *[T.StructField(n, T.IntegerType()) for n in ("start", "end", "edits")]])
     out = df.select(*[col(c) for c in kept], F.array().cast(T.ArrayType(hit)).alias("hits"))
-    at = kept.index(text)
+    at, alive = kept.index(text), []
     for block in _blocks(benchmark, item, item_text):
+        if len(alive) == HELD:   # more blocks follow: these have done their part once the rows are written
+            out = written(out, "hits")
+            for b in alive:
+                b.unpersist()
+            alive = []
         shared, name, schema = sc.broadcast((block, share)), uuid.uuid4().hex, out.schema
+        alive.append(shared)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             index = _index(name, shared)
             for part, texts in in_parts(batches, at):
                 old = part.column(len(kept)).to_pylist()
-                new = [(o or []) + [dict(zip(("item_id", "start", "end", "edits"), h)) for h in f]
-                       for o, f in zip(old, index.find(texts))]
+                new = [sorted((o or []) + [dict(zip(("item_id", "start", "end", "edits"), h)) for h in f],
+                              key=lambda h: (h["start"], h["end"], str(h["item_id"]))) for o, f in zip(old, index.find(texts))]
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], pa.array(new, part.column(len(kept)).type)],
                                                  names=[*kept, "hits"])
 

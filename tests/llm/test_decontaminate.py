@@ -133,6 +133,35 @@ def test_blocks_and_clashing_columns(spark, monkeypatch):
     assert not any(r.contaminated for r in dc.scan(df, bench.limit(0)).collect())
 
 
+def test_few_broadcasts_alive(spark, monkeypatch):
+    """A benchmark of ten blocks, one or three of them held at a time."""
+    from pyspark.core.broadcast import Broadcast
+    items = [(i, " ".join(random.Random(i).sample("ore fox old under the passages end far mill".split(), 9))) for i in range(8)]
+    items += [(8, items[3][1]), (9, "d" * 40)]
+    df = spark.createDataFrame([(k, "x" * k + items[k % 10][1] + " " + items[(k + 3) % 10][1]) for k in range(20)] + [(None, None)],
+                               "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    want = sorted(map(str, dc.scan(df, bench).collect()))
+    monkeypatch.setattr(dc, "BLOCK", 60)
+    alive, most, released = set(), [], Broadcast.unpersist
+    made = type(spark.sparkContext).broadcast
+
+    def broadcast(sc, value):
+        b = made(sc, value)
+        alive.add(id(b))
+        most.append(len(alive))
+        return b
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "unpersist", lambda b, blocking=False: (alive.discard(id(b)), released(b, blocking))[1])
+    for held in (1, 3):
+        monkeypatch.setattr(dc, "HELD", held)
+        alive.clear()
+        most.clear()
+        assert sorted(map(str, dc.scan(df, bench).collect())) == want
+        assert len(most) == 10 and max(most) == held
+
+
 def test_query_finds_all_whole_passages(spark):
     base = "/root/testdata/sf0.01/"
     items = spark.read.parquet(base + "benchmark.parquet").collect()
