@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from skein.session import cut_lineage
 
-LIMIT = 32 << 20
+LIMIT = 8 << 20
 RUNS = r"(?U)\w+|\W+"
 
 
@@ -115,11 +115,12 @@ def _schema(base: DataFrame) -> T.StructType:
 
 
 def _inside(base: DataFrame, entries: DataFrame) -> DataFrame:
-    rows = entries.select("slang", "place", "expansion", "n", F.get(_runs(F.col("slang")), F.lit(0)).alias("first")).collect()
-    shared = base.sparkSession.sparkContext.broadcast(([tuple(r)[:4] for r in rows], [r.first for r in rows]))
+    first = F.get(_runs(F.col("slang")), F.lit(0)).alias("first")
+    shared = base.sparkSession.sparkContext.broadcast(entries.select("slang", "place", "expansion", "n", first).toArrow())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(*shared.value)
+        *columns, firsts = shared.value.columns
+        index = Index(list(zip(*(c.to_pylist() for c in columns))), firsts.to_pylist())
         for b in batches:
             made = [(None, None) if r is None else _pick(r, index.find(r, w))
                     for r, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
@@ -131,16 +132,22 @@ def _inside(base: DataFrame, entries: DataFrame) -> DataFrame:
 
 def _joined(base: DataFrame, entries: DataFrame) -> DataFrame:
     """The same by a join: every stretch of runs that is as long as some entry meets the table."""
-    lengths = [r.n for r in entries.select("n").distinct().collect()]   # as many as entries have lengths
+    # As many kinds as entries have lengths; a table of words alone never asks for what stands between them.
+    kinds = [(r.n, r.word) for r in entries.select("n", _is_word(F.col("slang")).alias("word")).distinct().collect()]
     # Ids are given before the checkpoint, so they stay the same when a task is run again.
     base = cut_lineage(base.withColumn("id", F.monotonically_increasing_id()))
     last = F.size("runs") - 1
-    at = F.posexplode(F.col("runs"))
-    places = base.filter(F.size("runs") > 0).select("id", "runs", "word", last.alias("last"), at.alias("i", "run"))
-    places = places.filter((F.col("i") > 0) | F.col("word"))
-    stretches = places.select("id", "i", F.explode(F.filter(F.array(*[
-        F.when((F.col("i") + n - 1 < F.col("last")) | ((F.col("i") + n - 1 == F.col("last")) & ((F.col("last") % 2 == 0) == F.col("word"))),
-               F.array_join(F.slice("runs", F.col("i") + 1, n), "")) for n in lengths]), lambda s: s.isNotNull())).alias("slang"))
+
+    def stretches_of(n: int, word: bool) -> Column:
+        def stands(i):
+            starts = (((i % 2 == 0) == F.col("word")) == F.lit(word)) & ((i > 0) | F.col("word"))
+            end = i + F.lit(n - 1)
+            return starts & ((end < last) | ((end == last) & ((last % 2 == 0) == F.col("word"))))
+        return F.transform(F.filter(F.sequence(F.lit(0), last), stands),
+                           lambda i: F.struct(i.alias("i"), F.array_join(F.slice("runs", i + 1, n), "").alias("slang")))
+
+    every = F.flatten(F.array(*[stretches_of(n, w) for n, w in kinds])) if kinds else F.array().cast("array<struct<i:int,slang:string>>")
+    stretches = base.filter(F.size("runs") > 0).select("id", F.explode(every).alias("s")).select("id", "s.*")
     found = (stretches.join(entries, "slang").groupBy("id", "i").agg(F.min(F.struct("place", "n", "slang", "expansion")).alias("e"))
              .groupBy("id").agg(F.collect_list(F.struct("i", "e.n", "e.slang", "e.expansion")).alias("found")))
 
