@@ -12,13 +12,16 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.functions.stem import stem_tokens
-from skein.functions.tokens import rouge_tokens, symbol_tokens, token_f1
+from skein.functions.stem import Stems
+from skein.functions.tokens import let, rouge_tokens, symbol_tokens, token_f1
 from skein.operators.summarise import summarise_with
 
 BLEU_ORDERS = (1, 2, 3, 4)
@@ -33,34 +36,54 @@ def overlap(ref: Sequence, hyp: Sequence, n: int) -> int:
     return sum(min(c, one[g]) for g, c in other.items())
 
 
+def _lists(c: pa.Array) -> list:
+    """A (nested) list array as Python lists; strings are converted all at once."""
+    if not pa.types.is_list(c.type):
+        return c.to_numpy(zero_copy_only=False).tolist()
+    inner, ends = _lists(c.flatten()), np.cumsum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False)).tolist()
+    out = [inner[a:b] for a, b in zip([0, *ends], ends)]
+    return out if c.null_count == 0 else [x if ok else None for x, ok in zip(out, c.is_valid().to_pylist())]
+
+
+def _rows(columns: Sequence[pa.Array], most: int = 64):
+    """The rows of a batch, a few at a time as Python objects."""
+    for at in range(0, len(columns[0]), most):
+        yield from zip(*[_lists(c.slice(at, most)) for c in columns])
+
+
 def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
                   rouge_orders: Sequence[int] = (1, 2), bleu: bool = True,
-                  carry: Mapping[str, Column] | None = None, stem: bool = False) -> DataFrame:
+                  carry: Mapping[str, Column] | None = None, stem: bool = False, rouge_l: bool = False) -> DataFrame:
     """(key, <label>_overlap, <label>_ref, <label>_hyp ... , *carry), one row
-    for each row of ``df``.
-
-    The texts are tokenised in the JVM; the grams of a row are counted inside
-    the row by one Arrow function, so no gram is a row, nothing is shuffled,
-    and repeated rows and null keys stay apart. The counts need the memory of
-    the shorter text's grams."""
+    for each row of ``df``; with ``rouge_l`` also rougeL_*, whose overlap is
+    the longest common subsequence.
+
+    The texts are tokenised in the JVM; stems, grams and the subsequence of a
+    row are made inside the row by one Arrow function, so no gram is a row,
+    nothing is shuffled, and repeated rows and null keys stay apart. The
+    counts need the memory of the shorter text's grams, and the tokens of a
+    few rows are Python objects at a time, however long a batch is."""
     carry = dict(carry or {})
     specs, sides = [], []
-    if rouge_orders:
-        pair = [rouge_tokens(F.col(ref)), rouge_tokens(F.col(hyp))]
-        sides += [stem_tokens(x) for x in pair] if stem else pair
-        specs += [(f"rouge{n}", n, 0) for n in rouge_orders]
+    stemmed = 2 if stem and (rouge_orders or rouge_l) else 0   # the first sides are ROUGE's
+    if rouge_orders or rouge_l:
+        sides += [rouge_tokens(F.col(ref)), rouge_tokens(F.col(hyp))]
+        specs += [(f"rouge{n}", n, 0) for n in rouge_orders] + ([("rougeL", 0, 0)] if rouge_l else [])
     if bleu:
         specs += [(f"bleu{n}", n, len(sides)) for n in BLEU_ORDERS]
         sides += [symbol_tokens(F.col(ref)), symbol_tokens(F.col(hyp))]
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def counted(*columns: pd.Series) -> pd.Series:
-        out = []
-        for row in zip(*columns):
-            row = [x.tolist() for x in row]
-            out.append([v for _, n, at in specs
-                        for v in (overlap(row[at], row[at + 1], n), max(0, len(row[at]) - n + 1), max(0, len(row[at + 1]) - n + 1))])
-        return pd.Series(out)
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def counted(*columns: pa.Array) -> pa.Array:
+        out, stems = [], Stems()
+        for row in _rows(columns):
+            row = [stems.of(x) if i < stemmed else x for i, x in enumerate(row)]
+            found = []
+            for _, n, at in specs:
+                r, h = row[at], row[at + 1]
+                found += [overlap(r, h, n) if n else _lcs_len(r, h), max(0, len(r) - max(n, 1) + 1), max(0, len(h) - max(n, 1) + 1)]
+            out.append(found)
+        return pa.array(out, pa.list_(pa.int64()))
 
     toks = {f"__t{i}": x for i, x in enumerate(sides)}
     own = df.select(key, *[v.alias(k) for k, v in toks.items()], *[v.alias(k) for k, v in carry.items()])
@@ -69,13 +92,33 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     return own.select(key, *[F.col("__n")[at].cast("bigint" if at % 3 == 0 else "int").alias(name) for name, at in parts], *carry)
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _unigram_overlaps(ref: pa.Array, hyps: pa.Array) -> pa.Array:
+    out = []
+    for r, h in _rows([ref, hyps]):
+        own = Counter(r)   # once for all of the row's texts
+        out.append(None if h is None else [sum(min(n, own[t]) for t, n in Counter(filter(own.__contains__, x)).items()) for x in h])
+    return pa.array(out, pa.list_(pa.int64()))
+
+
+def rouge1_each(ref: Column, hyps: Column) -> Column:
+    """Q1 of one text against each of an array of texts: an array of ROUGE-1 F
+    values, so that the text's tokens are made and moved once, not with every
+    other one."""
+    def values(s):
+        return F.transform(F.arrays_zip(s["o"].alias("o"), s["h"].alias("h")),
+                           lambda x: _fmeasure(x["o"].cast("double"), F.size(s["r"]), F.size(x["h"])))
+    r, h = rouge_tokens(ref), F.transform(hyps, rouge_tokens)
+    return let(values, r=r, h=h, o=_unigram_overlaps(r, h))
+
+
 def _fmeasure(ov, n_ref, n_hyp):
     p = ov / F.greatest(n_hyp, F.lit(1))
     r = ov / F.greatest(n_ref, F.lit(1))
     return F.when(ov > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
-def rouge_n_col(o: DataFrame, n: int):
+def rouge_n_col(o: DataFrame, n: int | str):
     lab = f"rouge{n}"
     return _fmeasure(F.col(f"{lab}_overlap").cast("double"), F.col(f"{lab}_ref"), F.col(f"{lab}_hyp"))
 
@@ -103,14 +146,10 @@ def score_pairs(df: DataFrame, key: str, ref: str, hyp: str, rouge_l: bool = Fal
     ``rouge_orders`` and, with ``bleu``, of BLEU are counted."""
     extra = dict(carry) if isinstance(carry, Mapping) else {c: F.col(c) for c in carry}
     per_row = {"token_f1": token_f1(F.col(ref), F.col(hyp))}
-    if rouge_l:
-        rt, ht = rouge_tokens(F.col(ref)), rouge_tokens(F.col(hyp))
-        if stem:
-            rt, ht = stem_tokens(rt), stem_tokens(ht)
-        per_row["rougeL"] = rouge_l_f(rt, ht)
-    o = gram_overlaps(df, key, ref, hyp, rouge_orders, bleu, carry={**per_row, **extra}, stem=stem)
+    o = gram_overlaps(df, key, ref, hyp, rouge_orders, bleu, carry={**per_row, **extra}, stem=stem, rouge_l=rouge_l)
     return o.select(key, *[rouge_n_col(o, n).alias(f"rouge{n}") for n in rouge_orders],
-                    *([bleu_col(o).alias("bleu")] if bleu else []), *per_row, *extra)
+                    *([bleu_col(o).alias("bleu")] if bleu else []), *per_row,
+                    *([rouge_n_col(o, "L").alias("rougeL")] if rouge_l else []), *extra)
 
 
 def score_all(df: DataFrame, key: str, pairs: Sequence[tuple[str, str, str]], carry: Sequence[str] = (), **options) -> DataFrame:
