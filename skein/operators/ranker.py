@@ -22,12 +22,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.functions.tokens import sentences, tokens, word_tokens
+from skein.functions.tokens import let, sentences, tokens
 from skein.operators.prep import split_exact
-from skein.operators.quality import score_pairs
-from skein.operators.summarise import Summariser, document_idf
+from skein.operators.quality import rouge1_each
+from skein.operators.summarise import Summariser, document_idf, term_places
 from skein.sources.io import load_model, save_model
-from skein.session import shuffle_partitions
+from skein.session import shuffle_partitions, written
 
 FEATURES = ["rel_pos", "n_tokens", "mean_idf", "cosine", "capitals"]
 
@@ -39,21 +39,20 @@ def sentence_features(df: DataFrame, key: str, text: str, summary: str, idf: Dat
     idf = document_idf(df, text) if idf is None else idf
     # One exchange of the texts by key; all windows and sums by document stay in its partition.
     docs = df.select(key, text, summary).repartition(shuffle_partitions(df), key)
-    per_doc = docs.select(key, F.col(summary).alias("__summary"), sentences(F.col(text)).alias("__s"))
-    sents = (per_doc.select(key, "__summary", F.size("__s").alias("n_sent"), F.posexplode_outer("__s").alias("spos", "sentence"))
+    per_doc = (docs.select(key, F.col(summary).alias("__summary"), sentences(F.col(text)).alias("__s"))
+               .withColumn("__rouge1", rouge1_each(F.col("__summary"), F.col("__s"))))
+    sents = (per_doc.select(key, F.size("__s").alias("n_sent"), F.posexplode_outer(F.arrays_zip("__s", "__rouge1")).alias("spos", "e"))
+             .select(key, "n_sent", "spos", F.col("e.__s").alias("sentence"), F.col("e.__rouge1").alias("rouge1"))
              .filter(F.col("sentence").isNotNull()))
-    occ = (sents.select(key, "spos", F.explode_outer(word_tokens(F.col("sentence"))).alias("term")).filter(F.col("term").isNotNull())
-           .groupBy(key, "spos", "term").agg(F.count(F.lit(1)).alias("c"))
-           .withColumn("t", F.sum("c").over(Window.partitionBy(key, "term"))))
+    terms = term_places(docs.select(key, F.posexplode(sentences(F.col(text))).alias("spos", "sentence")), key, idf).filter("known")
     w = F.coalesce(F.col("idf"), F.lit(0.0))
-    sums = (occ.join(idf, "term", "left").groupBy(key, "spos")
+    sums = (terms.groupBy(key, "spos")
             .agg(F.sum("c").alias("n"), F.sum(F.col("c") * w).alias("mass"), F.sum(F.col("c") * F.col("t") * w * w).alias("both"),
                  F.sum(F.col("c") * F.col("c") * w * w).alias("own"))
             .withColumn("whole", F.sum("both").over(Window.partitionBy(key))))
-    words = tokens(F.col("sentence"))
-    capitals = F.size(F.filter(words, lambda x: x.rlike(r"^\p{Lu}"))) / F.greatest(F.size(words), F.lit(1))
-    rows = score_pairs(sents, key, "__summary", "sentence", rouge_orders=(1,), bleu=False, carry={
-        "spos": F.col("spos"), "rel_pos": F.col("spos") / F.col("n_sent"), "capitals": F.round(capitals, 6)})
+    capitals = let(lambda x: F.size(F.filter(x["words"], lambda y: y.rlike(r"^\p{Lu}"))) / F.greatest(F.size(x["words"]), F.lit(1)),
+                   words=tokens(F.col("sentence")))
+    rows = sents.select(key, "rouge1", "spos", (F.col("spos") / F.col("n_sent")).alias("rel_pos"), F.round(capitals, 6).alias("capitals"))
     cosine = F.when((F.col("own") > 0) & (F.col("whole") > 0), F.col("both") / F.sqrt(F.col("own") * F.col("whole"))).otherwise(0.0)
     found = rows.join(sums, [key, "spos"], "left").select(
         key, "spos", F.round("rel_pos", 6).alias("rel_pos"), F.coalesce("n", F.lit(0)).cast("double").alias("n_tokens"),
@@ -67,7 +66,8 @@ def fit_on(docs: DataFrame, key: str, text: str, summary: str, idf: DataFrame):
     """The ranker's pipeline, fitted on all sentences of ``docs``."""
     pipe = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"),
                             LogisticRegression(maxIter=20, featuresCol="features", labelCol="label")])
-    return pipe.fit(sentence_features(docs, key, text, summary, idf))
+    # The fit reads its rows more than once: the features are made once and kept.
+    return pipe.fit(written(sentence_features(docs, key, text, summary, idf).select(*FEATURES, "label"), "features"))
 
 
 def fit_sentence_ranker(df: DataFrame, key: str, text: str, summary: str, test: float = 0.2, seed: int = 42):
