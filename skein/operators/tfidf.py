@@ -98,14 +98,17 @@ def cosine_tfidf(df: DataFrame, key: str, cols: Sequence[str], pairs: Sequence[t
     tagged = F.flatten(F.array(*[F.transform(F.col(f"__t{i}"), _side(i)) for i in range(len(cols))]))
     ex = (base.select(key, F.explode_outer(tagged).alias("e")).filter(F.col("e").isNotNull())
           .select(key, "e.side", "e.term"))
-    tf = ex.groupBy(key, "side", "term").agg(F.count(F.lit(1)).alias("n"))
-    w = tf.join(_idf_side(idf, size is not None), "term", "inner").withColumn("w", F.col("n") * F.col("idf"))
-    w = w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key, "side"))))
-    per_term = w.groupBy(key, "term").agg(*[F.sum(F.when(F.col("side") == i, F.col("w"))).alias(f"w{i}")
-                                              for i in range(len(cols))])
+    # One row for each term of a row's key goes to its idf, with its count in every column; lengths and
+    # products are then sums of one aggregate.
+    tf = ex.groupBy(key, "term").agg(*[F.sum(F.when(F.col("side") == i, 1).otherwise(0)).alias(f"n{i}") for i in range(len(cols))])
+    w = tf.join(_idf_side(idf, size is not None), "term", "inner")
     idx = {c: i for i, c in enumerate(cols)}
-    sims = per_term.groupBy(key).agg(*[
-        F.sum(F.coalesce(F.col(f"w{idx[a]}") * F.col(f"w{idx[b]}"), F.lit(0.0))).alias(name)
+    product = {(i, j): F.sum(F.col(f"n{i}") * F.col(f"n{j}") * F.col("idf") * F.col("idf"))
+               for i, j in {(i, i) for i in idx.values()} | {(idx[a], idx[b]) for _, a, b in pairs}}
+    sums = w.groupBy(key).agg(*[v.alias(f"p{i}_{j}") for (i, j), v in product.items()])
+    sims = sums.select(key, *[
+        F.when(F.col(f"p{idx[a]}_{idx[b]}") > 0, F.col(f"p{idx[a]}_{idx[b]}")
+               / F.sqrt(F.col(f"p{idx[a]}_{idx[a]}")) / F.sqrt(F.col(f"p{idx[b]}_{idx[b]}"))).alias(name)
         for name, a, b in pairs])
     return (base.select(key).join(sims, key, "left")
             .select(key, *[F.coalesce(F.col(name), F.lit(0.0)).alias(name) for name, _, _ in pairs]))

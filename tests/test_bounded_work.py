@@ -1,4 +1,5 @@
 """Steps that large tables run through: how often rows are read and made, and plain counts beside them."""
+import math
 import os
 from collections import Counter
 
@@ -8,6 +9,7 @@ from skein.functions import text as tx
 from skein.functions import tokens as tk
 from skein.operators import quality as qa
 from skein.operators import summarise as su
+from skein.operators import tfidf as tf
 from skein.operators import topics as tp
 from skein.plans.catalog import REGISTRY
 
@@ -85,3 +87,20 @@ def test_terms_go_to_their_idf_once_a_document(spark):
     assert sorted(map(tuple, got.select("k", "spos", "c", "t", "idf", "known").collect()), key=key) == sorted(want, key=key)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("collect_list") > plan.index("Join LeftOuter")   # gathered below the join
+
+
+def test_cosine_sends_a_term_once_for_all_columns(spark):
+    rows = [(1, "a b b", "b c", ""), (2, "c d", "c d", "x"), (None, "a", "a", "a"), (3, None, "a", "b")]
+    d = spark.createDataFrame(rows, "k int, x string, y string, z string")
+    pairs = (("xy", "x", "y"), ("xz", "x", "z"))
+    got = tf.cosine_tfidf(d, "k", ["x", "y", "z"], pairs, "x", lambda c: F.split(F.coalesce(c, F.lit("")), " "))
+    df = Counter(t for _, x, *_ in rows for t in set((x or "").split(" ")))
+    idf = {t: math.log(5 / (1 + n)) + 1 for t, n in df.items()}
+
+    def cosine(a, b):
+        u, v = ({t: c * idf[t] for t, c in Counter((x or "").split(" ")).items() if t in idf} for x in (a, b))
+        size = math.sqrt(sum(x * x for x in u.values())) * math.sqrt(sum(x * x for x in v.values()))
+        return sum(x * v.get(t, 0.0) for t, x in u.items()) / size if size else 0.0
+    want = {k: (0.0, 0.0) if k is None else (cosine(x, y), cosine(x, z)) for k, x, y, z in rows}
+    assert {r.k: (round(r.xy, 9), round(r.xz, 9)) for r in got.collect()} == {k: tuple(round(x, 9) for x in v) for k, v in want.items()}
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
