@@ -126,3 +126,14 @@ def test_one_oversized_text_does_not_end_the_sample(spark, monkeypatch):
     got = toxicity.score(docs, model, thresholds).collect()
     toxic, clean = ([r.score for r in got if (r.doc_id in bad) == want and len(r.text) < 100] for want in (True, False))
     assert np.mean(toxic) > np.mean(clean) + 0.2
+
+
+def test_thresholds_count_every_labelled_row(spark, monkeypatch):
+    rows = [(i, f"plain words number {i % 7} here" + (" vileword" if i % 5 == 0 else ""), "en", int(i % 5 == 0)) for i in range(600)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    seen = []
+    kept = toxicity.best_threshold
+    monkeypatch.setattr(toxicity, "best_threshold", lambda s, y, n=None: seen.append((len(s) if n is None else n.sum(), y.sum())) or kept(s, y, n))
+    toxicity.fit(docs, labels, F.lit(True), sample=40)   # far fewer rows train
+    assert seen == [(600, 120), (600, 120)]
