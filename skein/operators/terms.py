@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,10 +132,11 @@ def piece_vocabulary(df: DataFrame, tok: str, size: int = 7000) -> DataFrame:
         chars.select(F.concat(F.lit(CONTINUATION), F.col("c")).alias("piece"))).distinct()
 
 
-def word_pieces(words, vocab: set[str]):
+def word_pieces(words, vocab: set[str], longest: int | None = None):
     """Greedy longest-match split of each word; a word with an unmatched part
-    becomes one unknown piece."""
-    out, longest = [], max(map(len, vocab), default=0)
+    becomes one unknown piece. ``longest``: the length of the vocabulary's
+    longest piece, if it is known."""
+    out, longest = [], max(map(len, vocab), default=0) if longest is None else longest
     for w in words:
         start, pieces = 0, []
         while start < len(w):
@@ -159,23 +162,21 @@ def wordpiece(df: DataFrame, tok: str, vocab: DataFrame, out: str = "pieces") ->
     vocabulary: a stated number of words and two pieces a character, and so
     of bounded size. A task splits each distinct word once."""
     pieces = frozenset(r[0] for r in vocab.collect())
+    longest = max(map(len, pieces), default=0)   # looked for once, not with each word
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def split_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo: dict = {}
-
-        def one(a):
-            if a is None:
-                return None
-            res = []
-            for w in a:
-                p = memo.get(w)
-                if p is None:
-                    p = memo[w] = word_pieces([w], pieces)
-                res.extend(p)
-            return res
-
-        for arrs in batches:
-            yield arrs.map(one)
+        for rows in batches:
+            # Only a batch's distinct words are Python objects; their pieces are dealt to the rows as arrays.
+            words = rows.flatten().dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            for w in distinct:
+                if w not in memo:
+                    memo[w] = word_pieces([w], pieces, longest)
+            own = pa.array([memo[w] for w in distinct], pa.list_(pa.string())).take(words.indices)
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(own).to_numpy(zero_copy_only=False))])
+            at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False))])
+            yield pa.ListArray.from_arrays(pa.array(ends[at], pa.int32()), own.flatten(), mask=rows.is_null())
 
     return df.withColumn(out, split_words(F.col(tok)))

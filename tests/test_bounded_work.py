@@ -104,3 +104,14 @@ def test_cosine_sends_a_term_once_for_all_columns(spark):
     want = {k: (0.0, 0.0) if k is None else (cosine(x, y), cosine(x, z)) for k, x, y, z in rows}
     assert {r.k: (round(r.xy, 9), round(r.xz, 9)) for r in got.collect()} == {k: tuple(round(x, 9) for x in v) for k, v in want.items()}
     assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pieces_are_dealt_to_rows_by_distinct_words(spark):
+    from skein.operators.terms import word_pieces, wordpiece
+    pieces = {"ab", "a", "##a", "b", "##b"}
+    assert word_pieces(["abba"], pieces, 3) == ["ab", "##b", "##a"]   # the longest piece is given, not looked for again
+    v = spark.createDataFrame([(x,) for x in pieces], "piece string")
+    rows = [(1, ["abba", "b", "abba"]), (2, []), (3, None), (4, ["x", ""]), (5, ["b"])]
+    got = wordpiece(spark.createDataFrame(rows, "k int, t array<string>").coalesce(1), "t", v)
+    plain = {k: None if t is None else word_pieces(t, pieces) for k, t in rows}
+    assert {r.k: r.pieces for r in got.collect()} == plain
