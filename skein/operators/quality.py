@@ -36,11 +36,11 @@ def overlap(ref: Sequence, hyp: Sequence, n: int) -> int:
     return sum(min(c, one[g]) for g, c in other.items())
 
 
-def _lists(c: pa.Array) -> list:
+def lists(c: pa.Array) -> list:
     """A (nested) list array as Python lists; strings are converted all at once."""
     if not pa.types.is_list(c.type):
         return c.to_numpy(zero_copy_only=False).tolist()
-    inner, ends = _lists(c.flatten()), np.cumsum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False)).tolist()
+    inner, ends = lists(c.flatten()), np.cumsum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False)).tolist()
     out = [inner[a:b] for a, b in zip([0, *ends], ends)]
     return out if c.null_count == 0 else [x if ok else None for x, ok in zip(out, c.is_valid().to_pylist())]
 
@@ -48,7 +48,7 @@ def _lists(c: pa.Array) -> list:
 def _rows(columns: Sequence[pa.Array], most: int = 64):
     """The rows of a batch, a few at a time as Python objects."""
     for at in range(0, len(columns[0]), most):
-        yield from zip(*[_lists(c.slice(at, most)) for c in columns])
+        yield from zip(*[lists(c.slice(at, most)) for c in columns])
 
 
 def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,

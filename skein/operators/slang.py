@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.session import cut_lineage
+from skein.operators.quality import lists
+from skein.session import cut_lineage, written
 
 LIMIT = 8 << 20
 RUNS = r"(?U)\w+|\W+"
@@ -102,13 +103,21 @@ def expand_slang_table(df: DataFrame, text: str, table: DataFrame, out: str = "e
     kept = [c for c in df.columns if c.lower() not in (out.lower(), hits.lower())]
     entries = cut_lineage(_entries(table))
     size = entries.agg(F.coalesce(F.sum(F.octet_length("slang") + F.octet_length("expansion") + 16), F.lit(0)).alias("b")).first().b
-    runs = _runs(F.col(f"`{text}`"))
-    base = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), runs.alias("runs"))
-    base = base.withColumn("word", _is_word(F.get("runs", F.lit(0))))
-    made = _inside(base, entries) if size <= limit else _joined(base, entries)
+    base = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").alias("text"))
+    if size <= limit:
+        made = _inside(_cut(base, "row"), entries)
+    else:
+        # The text stands in the row already, if the row keeps it.
+        made = _joined(base.drop("text") if text in kept else base, entries, F.col("row").getField(text) if text in kept else F.col("text"))
     return made.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("expanded").alias(out), F.col("hits").alias(hits))
 
 
+def _cut(df: DataFrame, *columns: str, text: Column | None = None) -> DataFrame:
+    """``columns``, the runs of ``text`` and whether the first is a word."""
+    cut = df.select(*columns, _runs(F.col("text") if text is None else text).alias("runs"))
+    return cut.withColumn("word", _is_word(F.get("runs", F.lit(0))))
+
+
 def _schema(base: DataFrame) -> T.StructType:
     return T.StructType([base.schema["row"], T.StructField("expanded", T.StringType()),
                          T.StructField("hits", T.ArrayType(T.StringType()))])
@@ -123,39 +132,65 @@ def _inside(base: DataFrame, entries: DataFrame) -> DataFrame:
         index = Index(list(zip(*(c.to_pylist() for c in columns))), firsts.to_pylist())
         for b in batches:
             made = [(None, None) if r is None else _pick(r, index.find(r, w))
-                    for r, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+                    for r, w in zip(lists(b.column(1)), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in made], pa.string()),
                                               pa.array([m[1] for m in made], pa.list_(pa.string()))], names=["row", "expanded", "hits"])
 
     return base.mapInArrow(run, _schema(base))
 
 
-def _joined(base: DataFrame, entries: DataFrame) -> DataFrame:
-    """The same by a join: every stretch of runs that is as long as some entry meets the table."""
+def _stretches(runs: list[str], first_is_word: bool, kinds: list[tuple[int, bool]]) -> dict[str, list[int]]:
+    """The stretches of runs that are as long as some entry, each with where it stands."""
+    at: dict[str, list[int]] = {}
+    last = len(runs) - 1
+    top = last if (last % 2 == 0) == first_is_word else last - 1   # an entry ends with a word run, unless others follow
+    for n, word in kinds:
+        start = 0 if first_is_word == word else 1
+        for i in range(start if first_is_word or word else 2, last - n + 2, 2):
+            if i + n - 1 < last or i + n - 1 == top:
+                at.setdefault(runs[i] if n == 1 else "".join(runs[i:i + n]), []).append(i)
+    return at
+
+
+def _joined(base: DataFrame, entries: DataFrame, text: Column) -> DataFrame:
+    """The same by a join: every stretch of runs that is as long as some entry
+    meets the table, once for each text with all its places there."""
     # As many kinds as entries have lengths; a table of words alone never asks for what stands between them.
-    kinds = [(r.n, r.word) for r in entries.select("n", _is_word(F.col("slang")).alias("word")).distinct().collect()]
-    # Ids are given before the checkpoint, so they stay the same when a task is run again.
-    base = cut_lineage(base.withColumn("id", F.monotonically_increasing_id()))
-    last = F.size("runs") - 1
-
-    def stretches_of(n: int, word: bool) -> Column:
-        def stands(i):
-            starts = (((i % 2 == 0) == F.col("word")) == F.lit(word)) & ((i > 0) | F.col("word"))
-            end = i + F.lit(n - 1)
-            return starts & ((end < last) | ((end == last) & ((last % 2 == 0) == F.col("word"))))
-        return F.transform(F.filter(F.sequence(F.lit(0), last), stands),
-                           lambda i: F.struct(i.alias("i"), F.array_join(F.slice("runs", i + 1, n), "").alias("slang")))
-
-    every = F.flatten(F.array(*[stretches_of(n, w) for n, w in kinds])) if kinds else F.array().cast("array<struct<i:int,slang:string>>")
-    stretches = base.filter(F.size("runs") > 0).select("id", F.explode(every).alias("s")).select("id", "s.*")
-    found = (stretches.join(entries, "slang").groupBy("id", "i").agg(F.min(F.struct("place", "n", "slang", "expansion")).alias("e"))
-             .groupBy("id").agg(F.collect_list(F.struct("i", "e.n", "e.slang", "e.expansion")).alias("found")))
+    kinds = [(r.n, bool(r.word)) for r in entries.select("n", _is_word(F.col("slang")).alias("word")).distinct().collect()]
+    # Ids are given before the rows are written, so they stay the same when a task is run again.
+    base = written(base.withColumn("id", F.monotonically_increasing_id()), "slang")
+
+    def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                b = whole.slice(start, 256)
+                rows = [(k, s, at) for k, r, w in zip(b.column(0).to_pylist(), lists(b.column(1)), b.column(2).to_pylist())
+                        if r for s, at in _stretches(r, w, kinds).items()]
+                k, s, at = zip(*rows) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(s, pa.string()), pa.array(at, pa.list_(pa.int32()))],
+                                                 names=["id", "slang", "at"])
+
+    met = _cut(base, "id", text=text).mapInArrow(stretch, "id long, slang string, at array<int>").join(entries, "slang")
+    found = met.groupBy("id").agg(F.collect_list(F.struct("place", "n", "slang", "expansion", "at")).alias("found"))
+
+    def best(hits) -> dict[int, tuple[int, str, str]]:
+        """At each place the entry of least place in the table, then the shortest."""
+        at: dict[int, tuple] = {}
+        for h in hits or []:
+            e = (h["place"], h["n"], h["slang"], h["expansion"])
+            for i in h["at"]:
+                if i not in at or e < at[i]:
+                    at[i] = e
+        return {i: e[1:] for i, e in at.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = [(None, None) if r is None else _pick(r, {h["i"]: (h["n"], h["slang"], h["expansion"]) for h in f or []})
-                    for r, f in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in made], pa.string()),
-                                              pa.array([m[1] for m in made], pa.list_(pa.string()))], names=["row", "expanded", "hits"])
-
-    return base.join(found, "id", "left").select("row", "runs", "found").mapInArrow(run, _schema(base))
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                b = whole.slice(start, 256)
+                made = [(None, None) if r is None else _pick(r, best(f)) for r, f in zip(lists(b.column(2)), b.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in made], pa.string()),
+                                                  pa.array([m[1] for m in made], pa.list_(pa.string()))], names=["row", "expanded", "hits"])
+
+    # Runs are cut again behind the join: a text is smaller than its runs.
+    both = base.join(found, "id", "left")
+    return _cut(both, "row", "found", text=text).select("row", "found", "runs").mapInArrow(run, _schema(base))

@@ -63,3 +63,9 @@ def test_fifty_thousand_entries(spark):
     df = spark.createDataFrame([(" ".join(f"w{i}" for i in range(0, 2 * n, 7)),)], "t string")
     got = sl.expand_slang_table(df, "t", table).first()
     assert got.expanded == " ".join((f"x{i}" if i < n else f"w{i}") for i in range(0, 2 * n, 7))
+
+
+def test_stretches_of_a_text_meet_the_table_once():
+    from skein.operators.slang import _stretches
+    assert _stretches(["u", " ", "u", " ", "lol"], True, [(1, True)]) == {"u": [0, 2], "lol": [4]}
+    assert _stretches(["(", "u", " ", "b", ")"], False, [(3, True), (1, False)]) == {"u b": [1], " ": [2]}
