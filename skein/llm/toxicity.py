@@ -13,7 +13,7 @@ one decides. ``FOLDS`` classifiers are trained, each without one part of the
 sample, and the mean of their logits is the raw score; so every row
 of the sample trains. Then every labelled row that may be learned from, in the
 sample or not, gets a logit of a classifier that has not seen it, in Spark
-tasks; counts of rows and toxic rows by language and 1/``STEPS`` of a logit
+tasks that move no text; counts of rows and toxic rows by language and 1/``STEPS`` of a logit
 come back. On these the raw scores are calibrated (a rising logistic curve),
 so that a score is a probability. Labels, language, source and key are never
 inputs of a score.
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.frames import col
+from skein.llm.frames import col, unpacked, written
 from skein.llm.vec import ALNUM, Words, in_parts
 
 SAMPLE = 2500              # labelled rows of each class, about (less than twice as many)
@@ -188,7 +188,10 @@ class Ensemble:
         if not self.trained:
             return self.models[0].scores(texts)
         rows, first = word_rows(texts)
-        return _chance(self.slope * np.mean([m.logits(rows, first) for m in self.models], axis=0) + self.shift)
+        return self.calibrated(np.mean([m.logits(rows, first) for m in self.models], axis=0))
+
+    def calibrated(self, z: np.ndarray) -> np.ndarray:
+        return _chance(self.slope * z + self.shift)
 
 
 def calibrated(z: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> tuple[float, float]:
@@ -230,39 +233,48 @@ def best_threshold(scores: np.ndarray, y: np.ndarray, n: np.ndarray | None = Non
     return float((s[at] + below) / 2)
 
 
-def unseen_counts(rows: DataFrame, models: list[Model], folds: dict) -> list:
-    """Of all ``rows`` (k, lang, t, y): (lang, z, y, n), how many rows and toxic
-    ones have a logit near z (a step's middle) by the classifier that has not
-    trained on their key; ``folds`` has those of the sample's keys."""
-    shared = rows.sparkSession.sparkContext.broadcast((models, folds))
-    rows = rows.select("k", "lang", "y", "t")
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("y", T.IntegerType()), T.StructField("z", T.DoubleType())])
+def logits(df: DataFrame, models: list[Model], folds: dict, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(row, k, lang, z, unseen): each row's columns but the text, the mean
+    logit of all classifiers and that of the one that has not trained on its
+    key; ``folds`` has those of the sample's keys. Texts are read here once
+    and stay where they are: what follows moves numbers."""
+    shared = df.sparkSession.sparkContext.broadcast((models, folds))
+    rows = df.select(F.struct(*[col(c) for c in df.columns if c != text]).alias("row"), col(key).alias("k"),
+                     col(lang).cast("string").alias("lang"), col(text).alias("t"))
+    schema = T.StructType([*rows.schema.fields[:3], T.StructField("z", T.DoubleType()), T.StructField("unseen", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, of = shared.value
         for part, texts in in_parts(batches, 3):
-            fold = np.array([of[k] if k in of else zlib.crc32(str(k).encode()) % FOLDS for k in part.column(0).to_pylist()])
-            z = np.empty(len(texts))
-            for f in set(fold.tolist()):
-                at = np.flatnonzero(fold == f)
-                z[at] = own[f].logits(*word_rows([texts[i] for i in at]))
-            yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(np.clip(z, -30, 30))], names=["lang", "y", "z"])
-
-    near = rows.mapInArrow(run, schema).groupBy("lang", F.floor(F.col("z") * STEPS).alias("step"))
+            fold = np.array([of[k] if k in of else zlib.crc32(str(k).encode()) % FOLDS for k in part.column(1).to_pylist()], dtype=int)
+            words = word_rows(texts)
+            z = np.array([m.logits(*words) for m in own])
+            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(3)], pa.array(np.mean(z, axis=0)),
+                                              pa.array(z[fold, np.arange(len(texts))])], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def unseen_counts(rows: DataFrame, known: DataFrame) -> list:
+    """Of all ``rows`` of ``logits`` whose key is in ``known`` (k, y): (lang,
+    z, y, n), how many rows and toxic ones have an unseen logit near z (a
+    step's middle)."""
+    near = (rows.select("k", "lang", F.least(F.greatest("unseen", F.lit(-30.0)), F.lit(30.0)).alias("z")).join(known, "k")
+            .groupBy("lang", F.floor(F.col("z") * STEPS).alias("step")))
     return (near.agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("n")).orderBy("lang", "step")
             .select("lang", ((F.col("step") + 0.5) / STEPS).alias("z"), "y", "n").collect())
 
 
-def fit(df: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang",
-        label: str = "toxic", sample: int = SAMPLE) -> tuple[Ensemble, dict]:
-    """The model and its thresholds by language (None: all), learned from the
-    labelled rows for which ``learn`` (an expression over ``labels``) holds."""
+def classifiers(df: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang",
+                label: str = "toxic", sample: int = SAMPLE) -> tuple[list[Model], dict, DataFrame]:
+    """The classifiers (one untrained one if the labels do not do), the folds
+    of the sample's keys and the labels (k, y) that may be learned from."""
     known = (labels.filter(learn & col(key).isNotNull() & col(label).isNotNull())
              .groupBy(col(key).alias("k")).agg(F.max(col(label).cast("int")).alias("y")))
     totals = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     if not pos or not neg:
-        return Ensemble([Model(1.0 if pos else 0.0)]), {None: 0.5}
+        return [Model(1.0 if pos else 0.0)], {}, known
     # Of each class every so manieth key by its hash: about ``sample``, less than twice that.
     every = {1: max(1, pos // sample), 0: max(1, neg // sample)}
     chosen = known.filter(F.pmod(F.xxhash64("k"), F.when(F.col("y") == 1, every[1]).otherwise(every[0])) == 0).collect()
@@ -287,13 +299,18 @@ def fit(df: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", te
     places = {k: i for i, k in enumerate(dict.fromkeys(r.k for r in got))}
     part = np.array([places[r.k] % FOLDS for r in got])   # rows of one key are left out together
     if any(len(set(y[part != k])) < 2 for k in range(FOLDS)):
-        return Ensemble([Model(pos / (pos + neg))]), {None: 0.5}
+        return [Model(pos / (pos + neg))], {}, known
     models = []
     for k in range(FOLDS):
         models.append(Model())
         models[k].train([d for d, p in zip(docs, part) if p != k], y[part != k])
-    counts = unseen_counts(df.select(col(key).alias("k"), col(lang).cast("string").alias("lang"), col(text).alias("t")).join(known, "k"),
-                           models, {k: i % FOLDS for k, i in places.items()})
+    return models, {k: i % FOLDS for k, i in places.items()}, known
+
+
+def decided(models: list[Model], rows: DataFrame, known: DataFrame) -> tuple[Ensemble, dict]:
+    """The calibrated model and its thresholds by language (None: all), from
+    the unseen logits of the labelled ``rows``."""
+    counts = unseen_counts(rows, known)
     z, hit, n = (np.array([r[c] for r in counts], dtype=float) for c in ("z", "y", "n"))
     langs = np.array([str(r.lang) for r in counts])
     slope, shift = calibrated(z, hit, n)
@@ -306,6 +323,40 @@ def fit(df: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", te
     return model, thresholds
 
 
+def fit(df: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang",
+        label: str = "toxic", sample: int = SAMPLE) -> tuple[Ensemble, dict]:
+    """The model and its thresholds by language (None: all), learned from the
+    labelled rows for which ``learn`` (an expression over ``labels``) holds."""
+    models, folds, known = classifiers(df, labels, learn, key, text, lang, label, sample)
+    if not models[0].trained:
+        return Ensemble(models), {None: 0.5}
+    return decided(models, logits(df, models, folds, key, text, lang), known)
+
+
+def classify(df: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang",
+             label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
+    """What ``score`` gives by the model of ``fit``, without the text: every
+    text meets the classifiers once, for calibration and for its score."""
+    models, folds, known = classifiers(df, labels, learn, key, text, lang, label, sample)
+    if not models[0].trained:
+        return score(df, Ensemble(models), {None: 0.5}, text, lang).drop(col(text))
+    rows = written(logits(df, models, folds, key, text, lang), "logits")
+    shared = df.sparkSession.sparkContext.broadcast(decided(models, rows, known))
+    kinds = [T.DoubleType(), T.BooleanType(), T.DoubleType()]
+    rows = rows.select("row", "lang", "z")
+    schema = T.StructType([rows.schema["row"], *[T.StructField(o, k) for o, k in zip(OUTPUTS, kinds)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, by_lang = shared.value
+        for part in batches:
+            s = m.calibrated(part.column(2).to_numpy(zero_copy_only=False))
+            limit = np.array([by_lang.get(str(x), by_lang[None]) for x in part.column(1).to_pylist()], dtype=float)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64()), pa.array(s >= limit), pa.array(limit, pa.float64())],
+                                             names=schema.names)
+
+    return unpacked(rows.mapInArrow(run, schema), [c for c in df.columns if c != text], OUTPUTS)
+
+
 def score(df: DataFrame, model: Ensemble, thresholds: dict, text: str = "text", lang: str = "lang") -> DataFrame:
     """The columns of ``df`` and ``score`` (0 to 1), ``flagged`` and the
     ``threshold`` of the row's language that decided it."""

@@ -137,3 +137,27 @@ def test_thresholds_count_every_labelled_row(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "best_threshold", lambda s, y, n=None: seen.append((len(s) if n is None else n.sum(), y.sum())) or kept(s, y, n))
     toxicity.fit(docs, labels, F.lit(True), sample=40)   # far fewer rows train
     assert seen == [(600, 120), (600, 120)]
+
+
+def test_texts_stay_where_they_are(spark):
+    """One pass over the texts, the labels meet numbers only; the same as fit and score."""
+    rows = [(i, f"plain words number {i % 7} here" + (" vileword" if i % 5 == 0 else ""), "en" if i % 3 else None, "x") for i in range(600)]
+    rows += [rows[5], (None, "vileword", "en", "x"), (10, None, "de", "x")]
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(x):
+        seen.add(1)
+        return x
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, z string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    learn = F.col("doc_id") % 4 != 2
+    want = toxicity.score(docs, *toxicity.fit(docs, labels, learn, sample=40)).drop("text").collect()
+    counted = docs.withColumn("text", F.udf(look, "string").asNondeterministic()("text"))
+    got = toxicity.classify(counted, labels, learn, sample=40)
+    assert got.columns == ["doc_id", "lang", "z", "score", "flagged", "threshold"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want))
+    assert seen.value <= 3 * len(rows)   # the sample's sizes, its texts, all logits
+    models, folds, _ = toxicity.classifiers(docs, labels, learn, sample=40)
+    passed = toxicity.logits(docs, models, folds)   # this is what meets the labels
+    assert "Exchange" not in passed._jdf.queryExecution().executedPlan().toString()
+    assert passed.columns == ["row", "k", "lang", "z", "unseen"] and "text" not in passed.schema["row"].dataType.names
