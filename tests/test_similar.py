@@ -112,3 +112,24 @@ def test_encoder_and_table_of_vectors(spark):
     rows = embed_from_table(df, "k", vectors, "id", "v").collect()
     assert sorted(map(str, ((r.k, r.embedding) for r in rows))) == sorted(map(str, [
         (1, [1.0, 5.0]), (1, [1.0, 5.0]), (2, None), (None, None), (3, None)]))
+
+
+def test_word2vec_trains_in_as_many_parts_as_run_at_once(spark):
+    """More shuffle partitions do not add models to move and average; the vocabulary is whole."""
+    from skein.operators.similar import fit_word2vec
+    rows = [(i, f"red green blue word{i % 40} once{i}") for i in range(300)] + [(300, None), (301, "")]
+    df = spark.createDataFrame(rows, "k int, t string").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        for partitions in (10 * cores, 1):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            m = fit_word2vec(df, "t", dim=4)
+            assert m.getNumPartitions() == min(cores, partitions)
+            assert {r.word for r in m.getVectors().collect()} == {"red", "green", "blue"} | {f"word{i}" for i in range(40)}
+            every = fit_word2vec(df, "t", dim=4, min_count=1)
+            assert every.getVectors().count() == 43 + 300
+            got = {r.k: r.embedding for r in embed(df, "t", method="word2vec", dim=4, model=m).collect()}
+            assert len(got) == 302 and got[300] == got[301] == [0.0] * 4 and any(got[0])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
