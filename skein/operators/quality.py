@@ -92,13 +92,31 @@ def gram_overlaps(df: DataFrame, key: str, ref: str, hyp: str,
     return own.select(key, *[F.col("__n")[at].cast("bigint" if at % 3 == 0 else "int").alias(name) for name, at in parts], *carry)
 
 
+def _shared_tokens(ref: pa.Array, hyps: pa.Array) -> pa.Array:
+    """For each row the unigram overlaps of its token list with each of its others."""
+    n, n_ref = (pc.fill_null(pc.list_value_length(x), 0).to_numpy().astype(np.int64) for x in (hyps, ref))
+    each = hyps.flatten()
+    n_toks = pc.list_value_length(each).to_numpy()
+    row = np.repeat(np.arange(len(n)), n)   # of each other text
+    words = pc.unique(ref.flatten())
+    size = max(len(words), 1)
+    own, own_n = np.unique(np.repeat(np.arange(len(n)), n_ref) * size + pc.index_in(ref.flatten(), value_set=words).to_numpy(), return_counts=True)
+    at = pc.index_in(each.flatten(), value_set=words)
+    known, of = at.is_valid().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(each)), n_toks)
+    pairs, count = np.unique(of[known] * size + at.drop_null().to_numpy(), return_counts=True)
+    text, word = np.divmod(pairs, size)
+    place = np.searchsorted(own, row[text] * size + word)
+    both = place < len(own)
+    both[both] = own[place[both]] == (row[text] * size + word)[both]
+    shared = np.bincount(text[both], weights=np.minimum(count[both], own_n[place[both]]), minlength=len(each)).astype(np.int64)
+    ends = pa.array(np.append(0, np.cumsum(n)).astype(np.int32), mask=np.append(hyps.is_null().to_numpy(zero_copy_only=False), False))
+    return pa.ListArray.from_arrays(ends, pa.array(shared))
+
+
 @F.arrow_udf(T.ArrayType(T.LongType()))
 def _unigram_overlaps(ref: pa.Array, hyps: pa.Array) -> pa.Array:
-    out = []
-    for r, h in _rows([ref, hyps]):
-        own = Counter(r)   # once for all of the row's texts
-        out.append(None if h is None else [sum(min(n, own[t]) for t, n in Counter(filter(own.__contains__, x)).items()) for x in h])
-    return pa.array(out, pa.list_(pa.int64()))
+    most = 256   # rows at a time
+    return pa.concat_arrays([_shared_tokens(ref.slice(i, most), hyps.slice(i, most)) for i in range(0, max(len(ref), 1), most)])
 
 
 def rouge1_each(ref: Column, hyps: Column) -> Column:

@@ -9,8 +9,8 @@ documents held out are scored and evaluated as a ranking.
 
 The cosine needs no vectors: with c the count of a term in a sentence, t in
 the document and w its idf, the product of both is the sum of c t w w, and
-the document's squared length is the sum of that over its sentences. So one
-aggregate of narrow rows by sentence gives every feature of the terms.
+the document's squared length is the sum of that over its sentences. So the
+sums of ``sentence_sums`` give every feature of the terms.
 """
 
 from __future__ import annotations
@@ -25,41 +25,45 @@ from pyspark.sql import functions as F
 from skein.functions.tokens import let, sentences, tokens
 from skein.operators.prep import split_exact
 from skein.operators.quality import rouge1_each
-from skein.operators.summarise import Summariser, document_idf, term_places
+from skein.operators.summarise import Summariser, document_idf, sentence_sums
 from skein.sources.io import load_model, save_model
-from skein.session import shuffle_partitions, written
+from skein.session import written
 
 FEATURES = ["rel_pos", "n_tokens", "mean_idf", "cosine", "capitals"]
 
 
-def sentence_features(df: DataFrame, key: str, text: str, summary: str, idf: DataFrame | None = None) -> DataFrame:
-    """(key, spos, *FEATURES, rouge1, label); ``idf`` (term, idf) may come from
-    other documents, a term that it lacks weighs nothing. ``key`` names one
-    document each; a document without sentences has no rows."""
+def sentence_features(df: DataFrame, key: str, text: str, summary: str | None, idf: DataFrame | None = None) -> DataFrame:
+    """(key, spos, *FEATURES, rouge1, label), the last two null without a
+    ``summary``; ``idf`` (term, idf) may come from other documents, a term that
+    it lacks weighs nothing. ``key`` names one document each; a document without
+    sentences has no rows."""
     idf = document_idf(df, text) if idf is None else idf
-    # One exchange of the texts by key; all windows and sums by document stay in its partition.
-    docs = df.select(key, text, summary).repartition(shuffle_partitions(df), key)
-    per_doc = (docs.select(key, F.col(summary).alias("__summary"), sentences(F.col(text)).alias("__s"))
-               .withColumn("__rouge1", rouge1_each(F.col("__summary"), F.col("__s"))))
-    sents = (per_doc.select(key, F.size("__s").alias("n_sent"), F.posexplode_outer(F.arrays_zip("__s", "__rouge1")).alias("spos", "e"))
-             .select(key, "n_sent", "spos", F.col("e.__s").alias("sentence"), F.col("e.__rouge1").alias("rouge1"))
-             .filter(F.col("sentence").isNotNull()))
-    terms = term_places(docs.select(key, F.posexplode(sentences(F.col(text))).alias("spos", "sentence")), key, idf).filter("known")
-    w = F.coalesce(F.col("idf"), F.lit(0.0))
-    sums = (terms.groupBy(key, "spos")
-            .agg(F.sum("c").alias("n"), F.sum(F.col("c") * w).alias("mass"), F.sum(F.col("c") * F.col("t") * w * w).alias("both"),
-                 F.sum(F.col("c") * F.col("c") * w * w).alias("own"))
-            .withColumn("whole", F.sum("both").over(Window.partitionBy(key))))
-    capitals = let(lambda x: F.size(F.filter(x["words"], lambda y: y.rlike(r"^\p{Lu}"))) / F.greatest(F.size(x["words"]), F.lit(1)),
-                   words=tokens(F.col("sentence")))
-    rows = sents.select(key, "rouge1", "spos", (F.col("spos") / F.col("n_sent")).alias("rel_pos"), F.round(capitals, 6).alias("capitals"))
-    cosine = F.when((F.col("own") > 0) & (F.col("whole") > 0), F.col("both") / F.sqrt(F.col("own") * F.col("whole"))).otherwise(0.0)
-    found = rows.join(sums, [key, "spos"], "left").select(
-        key, "spos", F.round("rel_pos", 6).alias("rel_pos"), F.coalesce("n", F.lit(0)).cast("double").alias("n_tokens"),
-        F.round(F.coalesce(F.col("mass") / F.col("n"), F.lit(0.0)), 6).alias("mean_idf"),
-        F.round(F.coalesce(cosine, F.lit(0.0)), 6).alias("cosine"), "capitals", F.round("rouge1", 6).alias("rouge1"))
-    best = Window.partitionBy(key).orderBy(F.col("rouge1").desc(), F.col("spos"))
-    return found.withColumn("label", (F.row_number().over(best) == 1).cast("double"))
+
+    def capitals(x):
+        return let(lambda y: F.size(F.filter(y["words"], lambda z: z.rlike(r"^\p{Lu}"))) / F.greatest(F.size(y["words"]), F.lit(1)),
+                   words=tokens(x))
+
+    def carry(s):
+        made = F.arrays_zip(s.alias("s"), F.coalesce(F.col("__rouge1"), F.array().cast("array<double>")).alias("rouge1"))
+        return let(lambda y: F.transform(y["made"], lambda x, i: F.struct(
+            F.round(x["rouge1"], 6).alias("rouge1"), F.round(capitals(x["s"]), 6).alias("capitals"),
+            F.round(i / F.size(y["made"]), 6).alias("rel_pos"))), made=made)
+
+    against = F.lit(None).cast("array<double>") if summary is None else rouge1_each(F.col(summary), sentences(F.col(text)))
+    docs = df.select(key, text, against.alias("__rouge1"))
+    sums = sentence_sums(docs, key, text, idf, carry)
+    # The label, a document's first sentence of the highest ROUGE-1, is found in its row.
+    best = F.array_sort(F.transform("s", lambda x, i: F.named_struct(
+        F.lit("order"), F.negative(x["e"]["rouge1"]), F.lit("spos"), x["spos"], F.lit("i"), i)))[0]["i"]
+    labelled = let(lambda y: F.transform(y["s"], lambda x, i: F.struct(x.alias("x"), F.when(x["e"]["rouge1"].isNotNull(), (i == y["best"]).cast("double")).alias("label"))),
+                   s=F.col("s"), best=best)
+    rows = sums.select(key, "whole", F.explode_outer(labelled).alias("y")).select(key, "whole", "y.x", "y.label")
+    found = F.when(F.col(key).isNotNull(), F.col("x"))   # the terms of a null key are no document's
+    cosine = F.when((found["own"] > 0) & (F.col("whole") > 0), found["both"] / F.sqrt(found["own"] * F.col("whole"))).otherwise(0.0)
+    return rows.select(
+        key, "x.spos", "x.e.rel_pos", F.coalesce(found["n"], F.lit(0)).cast("double").alias("n_tokens"),
+        F.round(F.when(found["n"] > 0, found["mass"] / found["n"]).otherwise(F.lit(0.0)), 6).alias("mean_idf"),
+        F.round(F.coalesce(cosine, F.lit(0.0)), 6).alias("cosine"), "x.e.capitals", "x.e.rouge1", "label")
 
 
 def fit_on(docs: DataFrame, key: str, text: str, summary: str, idf: DataFrame):
@@ -104,8 +108,7 @@ def load_ranker(spark: SparkSession, path: str, k: int = 3) -> Summariser:
     model, idf = load_model(f"{path}/pipeline"), spark.read.parquet(f"{path}/idf")
 
     def run(df: DataFrame, key: str, text: str) -> DataFrame:
-        docs = df.select(key, text).withColumn("__none", F.lit(""))
-        scored = model.transform(sentence_features(docs, key, text, "__none", idf)).select(
+        scored = model.transform(sentence_features(df.select(key, text), key, text, None, idf)).select(
             key, "spos", vector_to_array("probability")[1].alias("p"))
         best = Window.partitionBy(key).orderBy(F.col("p").desc(), F.col("spos"))
         top = (scored.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k)
